@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from .common import checkpoint_dir, slices, text_or_empty
+from .common import checkpoint_dir, materialize, slices, text_or_empty
 from .lexicon import Lexicon, compile_lexicon
 from .pretokens import Encoder, Vocabulary, gather
 from .wordhash import range_hash
@@ -81,11 +81,23 @@ def _word_rows(seen: Counter) -> pa.RecordBatch:
 
 
 def build_lexicon(docs: DataFrame, text_col: str, path: str, most: int = LEXICON_WORDS, least: int = 4) -> str:
-    """Name under which executors find the compiled file: the `most` most frequent words that occur `least` times or more."""
+    """Name under which executors find the compiled file: the most frequent words, `most` of them at most, that occur `least` times or more.
+
+    A histogram of the counts (a few hundred rows) gives the count from which on at most `most` words qualify; only those
+    words reach the driver.
+    """
     spark = docs.sparkSession
-    found = count_words(docs, text_col, path).where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(most).select("word").collect()
+    counts = materialize(count_words(docs, text_col, path).where(F.col("n") >= least))
+    size = F.floor(F.log2("n") * 16)
+    total, from_ = 0, None
+    for r in counts.groupBy(size.alias("size")).agg(F.count("*").alias("words"), F.min("n").alias("n")).orderBy(F.desc("size")).collect():
+        total += r.words
+        if total > most:
+            break
+        from_ = r.n
+    found = counts.where(F.col("n") >= from_).select("word").toArrow()["word"].to_pylist() if from_ else []
     v = vocabulary(path)
-    data = compile_lexicon({r.word.encode(): v.merge(r.word) for r in found})
+    data = compile_lexicon({w.encode(): v.merge(w) for w in found})
     name = f"lexicon-{hashlib.sha256(data).hexdigest()[:24]}.bin"
     spark.sparkContext.addFile(write_shared(spark, name, data))
     return name

@@ -40,8 +40,8 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def keyed(docs: DataFrame, id_col: str, key: str, extra: list[str] | None = None) -> DataFrame:
-    """docs with a unique non-null long column `key` that sorts as id_col does (nulls first).
+def keyed(docs: DataFrame, id_col: str, key: str, extra: list[str] | None = None) -> tuple[DataFrame, bool]:
+    """docs with a unique non-null long column `key` that sorts as id_col does (nulls first), and whether it is the id.
 
     Unique ids are the key themselves. Where an id is null or repeated, the rows are range-sorted by id
     (ties by the hash of `extra` columns), numbered, and written to the shared folder, so that every later
@@ -49,10 +49,10 @@ def keyed(docs: DataFrame, id_col: str, key: str, extra: list[str] | None = None
     """
     ids = docs.select(F.col(id_col).cast("long").alias("i")).groupBy("i").agg(F.count("*").alias("n"))
     if not ids.where(F.col("i").isNull() | (F.col("n") > 1)).limit(1).collect():
-        return docs.withColumn(key, F.col(id_col).cast("long"))
-    order = [F.col(id_col).asc_nulls_first(), F.xxhash64(*[F.col(c) for c in (extra or [])]) if extra else F.lit(0)]
+        return docs.withColumn(key, F.col(id_col).cast("long")), True
+    order = [F.col(id_col).asc_nulls_first(), F.xxhash64(*[F.col(c) for c in extra or [id_col]])]
     ranged = docs.repartitionByRange(partitions(docs), *order).sortWithinPartitions(*order)
-    return materialize(ranged.withColumn(key, F.monotonically_increasing_id()))
+    return materialize(ranged.withColumn(key, F.monotonically_increasing_id())), False
 
 
 def semi_by_key(rows: DataFrame, ids: DataFrame, key: str, n_ids: int, how: str = "left_semi") -> DataFrame:
