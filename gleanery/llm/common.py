@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 BROADCAST_IDS = 200_000
 
 #: Text characters that a worker turns into numpy arrays at one time.
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 500_000
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -7,22 +7,26 @@ equality must be beyond doubt.
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 
 U = np.uint64
 BASE_A, BASE_B = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
-@functools.cache
+_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of base and of its inverse, `size` of them at least; one table for each base, which grows."""
+
     def run(b: int) -> np.ndarray:
         out = np.full(size, b & (2**64 - 1), dtype=U)
         out[0] = 1
         return np.multiply.accumulate(out)
 
-    return run(base), run(pow(base, -1, 2**64))
+    if base not in _tables or len(_tables[base][0]) < size:
+        _tables[base] = run(base), run(pow(base, -1, 2**64))
+    return _tables[base]
 
 
 def _size(n: int) -> int:
