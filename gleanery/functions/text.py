@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 WS = r"(?U)\s+"
 
@@ -32,7 +33,7 @@ def fold_closed(c: Column) -> Column:
     return F.translate(c, _CLOSED_FROM, _CLOSED_TO)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def fold_accents(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """General fold: decompose, drop combining marks and ® ™ ©, compose again."""
     import unicodedata
