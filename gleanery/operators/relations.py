@@ -140,9 +140,10 @@ def greedy_fold(rows: DataFrame, threshold: float = 0.75) -> DataFrame:
     """The ordered three-pass merge: each row in order goes into the first kept row of equal slot hash, else of equal name, place and time of
     day, else of similar name at the same place within half an hour; else it is kept. (row_ord, into), into = row_ord for kept rows.
 
-    Only rows of one day can merge, so each day is folded on its own; undated rows merge by hash alone and are split by it.
+    Only rows of one day and place can merge, so each such block is folded on its own; rows without a day or a place merge by hash alone
+    and are split by it.
     """
-    block = F.when(F.col("day") == "", F.concat(F.lit("#"), "slot_hash")).otherwise(F.col("day"))
+    block = F.when((F.col("day") == "") | (F.col("loc_norm") == ""), F.concat(F.lit("#"), "slot_hash")).otherwise(F.concat_ws("|", "day", "loc_norm"))
     used = rows.select(block.alias("block"), "row_ord", "slot_hash", "name_norm", "loc_norm", "stamp", "day")
 
     def lcs(a: str, b: str) -> int:
