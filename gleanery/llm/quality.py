@@ -122,7 +122,7 @@ def _at_most(part: np.ndarray, whole: np.ndarray, percent: int) -> np.ndarray:
 RULES: dict[str, Callable[[Batch], np.ndarray]] = {
     "symbols_to_words": lambda b: _at_most(b.n_symbols(), b.n_words(), 10),
     "mean_word_length": lambda b: (b.word_chars() >= 2 * b.n_words()) & (b.word_chars() <= 14 * b.n_words()),
-    "repeated_lines": lambda b: _at_most(b.n_dup_lines(), b.once("full_lines", lambda: _full_lines(b)), 30),
+    "repeated_lines": lambda b: _at_most(b.n_dup_lines(), b.once("full_lines", lambda: _full_lines(b)), 50),
     "capitals": lambda b: _at_most(b.sums(_UPPER[b.bytes]), b.sums(_ALPHA[b.bytes] & ((b.bytes & 0xC0) != 0x80)), 30),
     "letters": lambda b: 100 * b.sums(_ALPHA[b.bytes] & ((b.bytes & 0xC0) != 0x80)) >= 60 * b.word_chars(),
 }
@@ -205,6 +205,6 @@ s AS (SELECT doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND 100 * n_symbols <= 10 * n_words AND word_chars >= 2 * n_words AND word_chars <= 14 * n_words
-  AND 100 * n_dup_lines <= 30 * full_lines AND 100 * upper <= 30 * alpha AND 100 * alpha >= 60 * word_chars AS kept
+  AND 100 * n_dup_lines <= 50 * full_lines AND 100 * upper <= 30 * alpha AND 100 * alpha >= 60 * word_chars AS kept
 FROM b
 """
