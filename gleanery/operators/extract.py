@@ -20,6 +20,7 @@ PAGE = StructType(
     ]
 )
 _SKIP = {"script", "style", "nav", "header", "footer"}
+_BLOCK = {"p", "form", "table", "div", "ul", "ol", "dl", "section", "article", "nav", "header", "footer", "h1", "h2", "h3", "h4"}
 _VOID = {"br", "img", "input", "meta", "link", "hr"}
 #: Shortest prose paragraph and longest excerpt, in characters.
 PROSE_LEAST, PROSE_MOST = 40, 400
@@ -50,7 +51,7 @@ class _Reader(HTMLParser):
             self._options.append((a.get("value") or "").strip())
         if tag in _VOID:
             return
-        if tag == "p" and "p" in self.stack:  # an unclosed paragraph ends here
+        if tag in _BLOCK and "p" in self.stack:  # an unclosed paragraph ends here
             self.handle_endtag("p")
         if tag in ("p", "dt", "dd", "th", "td", "title", "h1", "h2", "h3", "h4"):
             self._text = []

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import extraction, relations, rules, scalars, schedules  # noqa: F401
+from . import extraction, guides, relations, rules, scalars, schedules  # noqa: F401
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
