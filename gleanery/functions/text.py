@@ -48,10 +48,12 @@ def fold_accents(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield s.map(fold)
 
 
-def normalize_name(c: Column) -> Column:
-    """Lower case, single blanks, cut at the first separator between blanks, accents folded, a closing list of weekdays dropped."""
+def normalize_name(c: Column, more_noise: bool = False) -> Column:
+    """Lower case, single blanks, cut at the first separator between blanks, accents folded, a closing list of weekdays dropped;
+    more_noise drops a closing (new), (series) or (term n) too."""
     cut = F.regexp_replace(squeeze(F.lower(c)), r" [-|:–—] .*$", "")
-    return F.regexp_replace(F.trim(fold_closed(cut)), r"\s*\(" + _DAYLIST + r"\)\s*$", "")
+    noise = _DAYLIST + (r"|new|series|term \d+" if more_noise else "")
+    return F.regexp_replace(F.trim(fold_closed(cut)), r"\s*\((?:" + noise + r")\)\s*$", "")
 
 
 def normalize_location(c: Column) -> Column:

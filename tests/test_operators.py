@@ -47,6 +47,11 @@ def test_names(spark, name, want):
     assert row.x == want
 
 
+def test_more_noise(spark):
+    row = spark.createDataFrame([("Yoga (Term 4)",)], "n string").select(text.normalize_name(F.col("n")).alias("x"), text.normalize_name(F.col("n"), more_noise=True).alias("y")).first()
+    assert (row.x, row.y) == ("yoga (term 4)", "yoga")
+
+
 def test_scalars(spark):
     one = spark.createDataFrame([("84 Reserve Road", "2026-10-02T09:00:00Z")], "a string, t string")
     row = one.select(
