@@ -24,7 +24,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from .common import buffer_of, keyed, partitions, slices, text_or_empty
 from .wordhash import U, per_row, range_hash, words
 
-SENTENCES, WORDS, LONG = 3, 20, 24
+SENTENCES, WORDS, LONG = 3, 20, 10
 
 _END = np.zeros(256, dtype=bool)
 _END[list(b".!?")] = True
@@ -90,7 +90,17 @@ def _by(entries: np.ndarray, group: np.ndarray) -> Iterator[tuple[int, bytes]]:
     cuts = np.concatenate(([0], np.flatnonzero(np.diff(group[order])) + 1, [len(order)]))
     for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
         if y > x:
-            yield int(group[order[x]]), entries[order[x:y]].tobytes()
+            yield int(group[order[x]]), _pack(entries[order[x:y]])
+
+
+def _pack(entries: np.ndarray) -> bytes:
+    """Entries byte plane by byte plane, so that the shuffle's compression finds the planes of zeros."""
+    return np.ascontiguousarray(entries.view(np.uint8).reshape(-1, _ENTRY.itemsize).T).tobytes()
+
+
+def _unpack(blobs: pd.Series) -> np.ndarray:
+    parts = [np.frombuffer(b, dtype=np.uint8).reshape(_ENTRY.itemsize, -1).T for b in blobs]
+    return np.ascontiguousarray(np.concatenate(parts)).view(_ENTRY).ravel()
 
 
 def _spans(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -141,7 +151,7 @@ def repeated_spans(docs: DataFrame, key: str, text_col: str, least_words: int =
             yield flush()
 
     def own(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        entries = np.concatenate([np.frombuffer(d, dtype=_ENTRY) for d in pdf["data"]])
+        entries = _unpack(pdf["data"])
         if key[0] >= 0:
             entries, first = _firsts(entries)
             entries = entries[~first]
@@ -152,7 +162,7 @@ def repeated_spans(docs: DataFrame, key: str, text_col: str, least_words: int =
         return pd.DataFrame({"place": [g for g, _ in out], "data": [d for _, d in out]}).astype({"place": "int64"})
 
     def bring(_: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        entries = np.concatenate([np.frombuffer(d, dtype=_ENTRY) for d in pdf["data"]])
+        entries = _unpack(pdf["data"])
         k, s, e = _spans(entries["key"], entries["start"], entries["end"])
         cuts = np.concatenate(([0], np.flatnonzero(np.diff(k)) + 1, [len(k)]))
         pairs = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if len(k) else []
