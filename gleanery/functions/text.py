@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column
@@ -24,6 +24,11 @@ _DAYLIST = "(?:" + "|".join(WEEKDAYS) + r")s?(?:\s*(?:,|&|and)\s*(?:" + "|".join
 _CLOSED_FROM, _CLOSED_TO = "áàâäãåéèêëíìîïóòôöõúùûüñç®©", "aaaaaaeeeeiiiiooooouuuunc"
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value) with value worked out once for each row, however often f uses it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def squeeze(c: Column) -> Column:
     """White space runs to one blank, none at the ends; null is empty."""
     return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), WS, " "))
@@ -84,10 +89,12 @@ def segments(c: Column) -> Column:
 
 def malformed_address(c: Column) -> Column:
     """Comma faults, or a segment that the next repeats."""
-    low = F.transform(segments(c), lambda x: F.lower(x))
-    n = F.size(low)
-    repeats = F.exists(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: (i < n) & (F.get(low, i - 1) == F.get(low, i)))
-    return malformed_commas(c) | repeats
+
+    def repeats(low: Column) -> Column:
+        n = F.size(low)
+        return F.exists(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: (i < n) & (F.get(low, i - 1) == F.get(low, i)))
+
+    return malformed_commas(c) | let(F.transform(segments(c), lambda x: F.lower(x)), repeats)
 
 
 def page_furniture(c: Column) -> Column:
@@ -138,16 +145,18 @@ def canonical_suburb(c: Column, gazetteer: tuple[str, ...]) -> Column:
 def extract_suburb(address: Column, gazetteer: tuple[str, ...]) -> Column:
     """The gazetted suburb that an address states: before a state and postcode, before a state at the end, before a bare 3xxx
     postcode at the end, or the last segment after a street; else empty."""
-    a = F.regexp_replace(F.coalesce(address, F.lit("")), r"\s*\n\s*", " ")
     name = r"([A-Za-z][A-Za-z' ]*?)"
     state = r"(?:VIC|Vic|Victoria|VICTORIA)"
-    first = F.regexp_extract(a, rf"(?:^|,)\s*{name},?\s+{state}\.?,?\s+3\d{{3}}\b", 1)
-    second = F.regexp_extract(a, rf"(?:^|,)\s*{name},?\s+{state}\.?\s*$", 1)
-    third = F.regexp_extract(a, rf"(?:^|,)\s*{name},?\s+3\d{{3}}\s*$", 1)
-    seg = segments(a)
-    fourth = F.when((F.size(seg) > 1) & is_street(F.element_at(F.concat(F.array(F.lit(""), F.lit("")), seg), -2)), F.element_at(F.concat(F.array(F.lit("")), seg), -1)).otherwise(F.lit(""))
-    found = [F.nullif(canonical_suburb(x, gazetteer), F.lit("")) for x in (first, second, third, fourth)]
-    return F.coalesce(*found, F.lit(""))
+    known = lambda x: F.nullif(canonical_suburb(x, gazetteer), F.lit(""))
+
+    def read(a: Column) -> Column:
+        first = F.regexp_extract(a, rf"(?:^|,)\s*{name},?\s+{state}\.?,?\s+3\d{{3}}\b", 1)
+        second = F.regexp_extract(a, rf"(?:^|,)\s*{name},?\s+{state}\.?\s*$", 1)
+        third = F.regexp_extract(a, rf"(?:^|,)\s*{name},?\s+3\d{{3}}\s*$", 1)
+        last = let(segments(a), lambda seg: F.when((F.size(seg) > 1) & is_street(F.get(seg, F.size(seg) - 2)), F.get(seg, F.size(seg) - 1)).otherwise(F.lit("")))
+        return F.coalesce(known(first), known(second), known(third), known(last), F.lit(""))
+
+    return let(F.regexp_replace(F.coalesce(address, F.lit("")), r"\s*\n\s*", " "), read)
 
 
 def venue_compatible(a: Column, b: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gleanery.functions.text import let
+
 # The display order of types.
 TYPES = (
     "Art & Craft", "Books & Reading", "Children & Families", "Community Group", "Dance", "Exercise & Fitness", "Food & Drink", "Games & Cards", "Health & Wellbeing",
@@ -58,15 +60,15 @@ def phrase(c: Column, pattern: str) -> Column:
 def classify_types(title: Column, description: Column, terms: Column | None = None, rules: dict[str, str] = RULES, taxonomy: dict[str, tuple[str, ...]] = TAXONOMY) -> Column:
     """All types whose pattern is in title or description or that the source's terms name, in display order; ["Other"] if none."""
     key = lambda t: F.trim(F.regexp_replace(F.replace(F.lower(t), F.lit(","), F.lit(" ")), r"\s+", " "))
+    both = F.concat_ws("\u0001", title, description)  # no pattern's white space spans the separator
     tags = []
     for t in TYPES:
-        hit = has(title, rules[t]) | has(description, rules[t]) if t in rules else F.lit(False)
+        hit = has(both, rules[t]) if t in rules else F.lit(False)
         own = [k for k, v in taxonomy.items() if t in v]
         if terms is not None and own:
             hit = hit | F.coalesce(F.exists(terms, lambda x: key(x).isin(*own)), F.lit(False))  # noqa: B023
         tags.append(F.when(hit, F.lit(t)))
-    found = F.array_compact(F.array(*tags))
-    return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("Other")))
+    return let(F.array_compact(F.array(*tags)), lambda found: F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("Other"))))
 
 
 def unmapped(terms: Column, taxonomy: dict[str, tuple[str, ...]] = TAXONOMY) -> Column:

@@ -51,8 +51,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The view over the driver's tables; the two small dimensions join by size."""
+    """The view over the driver's tables; the two small dimensions join by size.
+
+    A table that comes as fewer pieces than there are cores is dealt out first; a large one never is.
+    """
     names = {n: table(spark, sf_dir, n) for n in ("events", "part", "supplier")}
+    cores = spark.sparkContext.defaultParallelism
+    if names["events"].rdd.getNumPartitions() * 2 <= cores:
+        names["events"] = names["events"].repartition(cores)
     text = listings_sql(True)
     for n in names:
         text = text.replace(f" {n} ", " {" + n + "} ")
