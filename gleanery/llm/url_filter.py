@@ -73,7 +73,7 @@ def learn(labelled: DataFrame) -> list[DataFrame]:
     counts = materialize(long.groupBy("g").agg(yes.alias("a"), no.alias("r")).where(F.col("a") + F.col("r") >= LEAST))
     models: list[DataFrame] = []
     for n in range(ORDER + 1):
-        own = counts.where(F.length("g") == n + 1).orderBy(F.desc(F.col("a") + F.col("r")), "g").limit(MOST_GRAMS).withColumn("ctx", F.substring("g", 1, n) if n else F.lit(""))
+        own = counts.where(F.length("g") == n + 1).orderBy(F.desc(F.col("a") + F.col("r")), "g").limit(MOST_GRAMS).withColumn("ctx", F.substring("g", 1, n))
         totals = own.groupBy("ctx").agg(F.sum("a").alias("ta"), F.sum("r").alias("tr"))
         joined = own.join(totals, "ctx")
         if n:
