@@ -177,25 +177,27 @@ class Memo:
             both = np.stack((key, check), axis=1)
             _, first, back = np.unique(both, axis=0, return_index=True, return_inverse=True)
             back = back.ravel()
-        if len(self.key) > self.most:
+        if len(self.key) > self.most or len(self.ids) > 16 * self.most:
             self.clear()
-        new = first[self._find(key[first], check[first]) < 0]
-        if len(new):
+        at = self._find(key[first], check[first])
+        start, count = np.zeros(len(first), dtype=np.int64), np.zeros(len(first), dtype=np.int64)
+        start[at >= 0], count[at >= 0] = self.start[at[at >= 0]], self.count[at[at >= 0]]
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            new = first[missing]
             chars = points.astype("<u4").tobytes()
             found = self.resolve([chars[4 * a : 4 * b].decode("utf-32-le", "surrogatepass") for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
-            count = np.array([len(x) for x in found], dtype=np.int64)
-            start = len(self.ids) + np.concatenate(([0], np.cumsum(count)[:-1]))
-            flat = np.fromiter((i for x in found for i in x), dtype=np.uint32, count=int(count.sum()))
+            n = np.array([len(x) for x in found], dtype=np.int64)
+            count[missing] = n
+            start[missing] = len(self.ids) + np.concatenate(([0], np.cumsum(n)[:-1]))
+            self.ids = np.concatenate((self.ids, np.fromiter((i for x in found for i in x), dtype=np.uint32, count=int(n.sum()))))
+            # of words with equal first hashes the table keeps finding one; the other is resolved anew each time
             order = np.argsort(np.concatenate((self.key, key[new])), kind="stable")
             self.key = np.concatenate((self.key, key[new]))[order]
             self.check = np.concatenate((self.check, check[new]))[order]
-            self.start = np.concatenate((self.start, start))[order]
-            self.count = np.concatenate((self.count, count))[order]
-            self.ids = np.concatenate((self.ids, flat))
-        at = self._find(key[first], check[first])
-        if (at < 0).any():  # equal first hashes in the table: resolve these words for this batch alone
-            raise RuntimeError("two words share a 64-bit hash within one worker's table")
-        return self.start[at][back], self.count[at][back]
+            self.start = np.concatenate((self.start, start[missing]))[order]
+            self.count = np.concatenate((self.count, count[missing]))[order]
+        return start[back], count[back]
 
 
 def gather(flat: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:

@@ -65,3 +65,17 @@ def test_query(spark, sf):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_words_under_one_hash_stay_apart(monkeypatch):
+    """With a first hash of a few bits, words meet in the table and are still told apart."""
+    import numpy as np
+
+    whole = pretokens.range_hash
+    monkeypatch.setattr(pretokens, "range_hash", lambda p, a, b, base: whole(p, a, b, base) & np.uint64(7) if base == pretokens.BASE_A else whole(p, a, b, base))
+    v = pretokens.Vocabulary(PATH, False)
+    encoder = pretokens.Encoder(v)
+    texts = [" ".join(f"word{i}x{j}" for j in range(40)) for i in range(6)]
+    for _ in range(2):
+        ids, off = encoder.encode(texts)
+        assert all(ids[off[i] : off[i + 1]].tolist() == v.whole(t) for i, t in enumerate(texts))
