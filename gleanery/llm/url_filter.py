@@ -71,9 +71,10 @@ def learn(labelled: DataFrame) -> list[DataFrame]:
     long = rows.select("good", F.explode(F.array(*[F.col(f"g{n}") for n in range(ORDER + 1)])).alias("g")).where(F.col("g").isNotNull())
     yes, no = F.sum(F.when(F.col("good"), 1).otherwise(0)), F.sum(F.when(F.col("good"), 0).otherwise(1))
     counts = materialize(long.groupBy("g").agg(yes.alias("a"), no.alias("r")).where(F.col("a") + F.col("r") >= LEAST))
+    least = _least_counts(counts)
     models: list[DataFrame] = []
     for n in range(ORDER + 1):
-        own = counts.where(F.length("g") == n + 1).orderBy(F.desc(F.col("a") + F.col("r")), "g").limit(MOST_GRAMS).withColumn("ctx", F.substring("g", 1, n))
+        own = counts.where((F.length("g") == n + 1) & (F.col("a") + F.col("r") >= least.get(n + 1, LEAST))).withColumn("ctx", F.substring("g", 1, n))
         totals = own.groupBy("ctx").agg(F.sum("a").alias("ta"), F.sum("r").alias("tr"))
         joined = own.join(totals, "ctx")
         if n:
@@ -86,6 +87,21 @@ def learn(labelled: DataFrame) -> list[DataFrame]:
     return [m.select("g", F.log(F.col("pa") / F.col("pr")).alias("ratio")) for m in models]
 
 
+def _least_counts(counts: DataFrame) -> dict[int, int]:
+    """For each length the count from which on at most MOST_GRAMS grams are kept, by a histogram of a few hundred rows."""
+    every = F.col("a") + F.col("r")
+    bins = counts.groupBy(F.length("g").alias("length"), F.floor(F.log2(every) * 16).alias("bin")).agg(F.count("*").alias("grams"), F.min(every).alias("least")).collect()
+    out: dict[int, int] = {}
+    for length in {b.length for b in bins}:
+        total = 0
+        for b in sorted((b for b in bins if b.length == length), key=lambda b: -b.bin):
+            total += b.grams
+            out[length] = b.least if total <= MOST_GRAMS else out.get(length, b.least + 1)
+            if total > MOST_GRAMS:
+                break
+    return out
+
+
 def score(rows: DataFrame, keep: list[str], models: list[DataFrame]) -> DataFrame:
     """keep columns and score, the mean ratio over the characters of text (0 for an empty text).
 

@@ -91,3 +91,11 @@ def test_odd_urls(spark):
     none = U.judge(docs.where("url is null"), "page_id", "url").collect()
     assert {r.verdict for r in none} == {"allow"}
     assert U.judge(docs.limit(0), "page_id", "url").collect() == []
+
+
+def test_gram_tables_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(U, "MOST_GRAMS", 3)
+    counts = spark.createDataFrame([("a", 50, 0), ("b", 20, 3), ("c", 4, 0), ("d", 4, 0), ("ab", 9, 9)], "g string, a long, r long")
+    least = U._least_counts(counts)
+    kept = [r.g for r in counts.collect() if r.a + r.r >= least[len(r.g)]]
+    assert kept == ["a", "b", "ab"]
