@@ -119,3 +119,34 @@ def test_query(spark, sf):
     docs = sorted(spark.read.parquet(f"{sf}/documents.parquet").collect(), key=lambda r: r.doc_id)
     got = {r.doc_id: r.text for r in S.op5_sentence_spans(spark, sf).collect()}
     assert [got[d.doc_id] for d in docs] == brute([d.text for d in docs])
+
+
+def test_passages_at_any_word_of_a_host():
+    """Passages of over 50 words, put between any two words of other prose, lose most of their words in all documents but the first."""
+    rng = random.Random(1)
+
+    def prose(n):
+        out = []
+        while n > 0:
+            m = min(rng.choice([1, 2, 3, 5, 8, 12, 20, 30]), n)
+            out.append(" ".join(f"w{rng.randint(0, 10**9)}" for _ in range(m)).capitalize() + ".")
+            n -= m
+        return " ".join(out)
+
+    shares = []
+    for _ in range(100):
+        passage = prose(rng.randint(51, 90)).split()
+        texts = []
+        for _ in range(3):
+            host = prose(120).split()
+            at = rng.randrange(len(host))
+            texts.append(" ".join(host[:at] + passage + host[at:]).encode())
+        raw, offsets = b"".join(texts), np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
+        h, row, start, end, _ = S.span_runs(raw, offsets, S.WORDS, S.SENTENCES)
+        order = np.lexsort((start, row, h))
+        again = order[np.concatenate(([False], h[order][1:] == h[order][:-1]))]
+        key, a, b = S._spans(row[again], start[again], end[again])
+        assert 0 not in key
+        for d in (1, 2):
+            shares.append(sum(len(raw[offsets[d] + x : offsets[d] + y].split()) for k, x, y in zip(key, a, b, strict=True) if k == d) / len(passage))
+    assert min(shares) > 0.6 and np.mean(shares) > 0.9
