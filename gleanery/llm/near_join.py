@@ -29,7 +29,7 @@ TREES, DEPTH = 32, 8
 #: Chance, at least, that a pair exactly at the threshold becomes a candidate.
 RECALL = 0.9999
 #: Texts of a block that one matrix holds.
-CHUNK = 2_048
+CHUNK = 512
 #: Columns of a 0/1 matrix at one time.
 _COLUMNS = 4_096
 
