@@ -14,7 +14,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         both = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    # written first, so that the join below has a shuffle of its own on both sides, which Spark can split at a hub
+    least = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
     linked = both.join(least, "a")
     out = linked.where("b > a") if large else linked.unionByName(least.select("a", F.col("a").alias("b"), "m"))
     return out.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
