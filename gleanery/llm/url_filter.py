@@ -19,7 +19,7 @@ from .common import materialize
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 #: Longest context, in characters.
 ORDER = 3
-#: Times a gram must have been seen to be kept, and grams kept at most for each order (so each table broadcasts).
+#: Times a gram must have been seen to be kept, and grams of each length that are broadcast at most (characters under other grams are looked up by a shuffle).
 LEAST, MOST_GRAMS = 3, 50_000
 #: Weight of the lower order's probability in each context.
 SMOOTHING = 4.0
@@ -63,18 +63,17 @@ def _grams(rows: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def learn(labelled: DataFrame) -> list[DataFrame]:
-    """For each order a small table (g, ratio): log of accepted over rejected probability of a gram's last character after the rest.
+    """For each order a table (g, ratio): log of accepted over rejected probability of a gram's last character after the rest.
 
-    labelled: (text, good). Every table has at most MOST_GRAMS rows.
+    labelled: (text, good). Every gram seen LEAST times or more is in its table, however many there are.
     """
     rows = _grams(labelled.where(F.length("text") > 0), ["good"])
     long = rows.select("good", F.explode(F.array(*[F.col(f"g{n}") for n in range(ORDER + 1)])).alias("g")).where(F.col("g").isNotNull())
     yes, no = F.sum(F.when(F.col("good"), 1).otherwise(0)), F.sum(F.when(F.col("good"), 0).otherwise(1))
     counts = materialize(long.groupBy("g").agg(yes.alias("a"), no.alias("r")).where(F.col("a") + F.col("r") >= LEAST))
-    least = _least_counts(counts)
     models: list[DataFrame] = []
     for n in range(ORDER + 1):
-        own = counts.where((F.length("g") == n + 1) & (F.col("a") + F.col("r") >= least.get(n + 1, LEAST))).withColumn("ctx", F.substring("g", 1, n))
+        own = counts.where(F.length("g") == n + 1).withColumn("ctx", F.substring("g", 1, n))
         totals = own.groupBy("ctx").agg(F.sum("a").alias("ta"), F.sum("r").alias("tr"))
         joined = own.join(totals, "ctx")
         if n:
@@ -88,30 +87,53 @@ def learn(labelled: DataFrame) -> list[DataFrame]:
 
 
 def _least_counts(counts: DataFrame) -> dict[int, int]:
-    """For each length the count from which on at most MOST_GRAMS grams are kept, by a histogram of a few hundred rows."""
+    """For each length the count from which on there are at most MOST_GRAMS grams, by a histogram of a few hundred rows."""
     every = F.col("a") + F.col("r")
-    bins = counts.groupBy(F.length("g").alias("length"), F.floor(F.log2(every) * 16).alias("bin")).agg(F.count("*").alias("grams"), F.min(every).alias("least")).collect()
+    bins = counts.groupBy(F.length("g").alias("length"), F.floor(F.log2(every) * 16).alias("bin")).agg(F.count("*").alias("grams"), F.min(every).alias("least"), F.max(every).alias("most")).collect()
     out: dict[int, int] = {}
     for length in {b.length for b in bins}:
         total = 0
         for b in sorted((b for b in bins if b.length == length), key=lambda b: -b.bin):
             total += b.grams
-            out[length] = b.least if total <= MOST_GRAMS else out.get(length, b.least + 1)
+            out[length] = b.least if total <= MOST_GRAMS else out.get(length, b.most + 1)
             if total > MOST_GRAMS:
                 break
     return out
 
 
-def score(rows: DataFrame, keep: list[str], models: list[DataFrame]) -> DataFrame:
-    """keep columns and score, the mean ratio over the characters of text (0 for an empty text).
-
-    The tables are broadcast (at most MOST_GRAMS rows each). A row's characters stay in its task, which sends on one sum for each row.
-    """
-    at = _grams(rows, keep)
+def lookup(rows: DataFrame, models: list[DataFrame]) -> DataFrame:
+    """(g, seen, ratio) for each distinct longest gram of rows' characters: how often it is there, and the ratio of its longest kept end (0 without one)."""
+    table = _longest(rows, []).groupBy("g").agg(F.count("*").alias("seen"))
     for n, model in enumerate(models):
-        at = at.join(F.broadcast(model.select(F.col("g").alias(f"g{n}"), F.col("ratio").alias(f"r{n}"))), f"g{n}", "left")
+        own = model.select(F.col("g").alias(f"g{n}"), F.col("ratio").alias(f"r{n}"))
+        end = F.when(F.length("g") > n, F.expr(f"right(g, {n + 1})"))
+        table = table.withColumn(f"g{n}", end).join(F.broadcast(own) if model.count() <= MOST_GRAMS else own, f"g{n}", "left")
     best = F.coalesce(*[F.col(f"r{n}") for n in reversed(range(len(models)))], F.lit(0.0))
-    return at.groupBy(*keep).agg(F.avg(best).alias("score"))
+    return materialize(table.select("g", "seen", best.alias("ratio")))
+
+
+def _longest(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """A row for each character of text: `keep`, and g, the longest gram that ends at it."""
+    return _grams(rows, keep).select(*keep, F.coalesce(*[F.col(f"g{n}") for n in reversed(range(ORDER + 1))]).alias("g"))
+
+
+def score(rows: DataFrame, keep: list[str], table: DataFrame) -> DataFrame:
+    """keep columns and score, the mean ratio over the characters of text, which isn't empty. `row`, among keep, is unique.
+
+    table is the lookup of these rows or of more. It is broadcast where it has at most MOST_GRAMS rows. Beyond that its most seen grams are, and a row's
+    characters under these stay in its task, which sends on one sum for each row; the others are joined by a shuffle, where no gram has many rows, as
+    MOST_GRAMS are seen as often or more.
+    """
+    if table.count() <= MOST_GRAMS:
+        at = _longest(rows, keep).join(F.broadcast(table.select("g", "ratio")), "g", "left")
+        return at.groupBy(*keep).agg(F.avg("ratio").alias("score"))
+    least = _least_counts(table.select("g", F.col("seen").alias("a"), F.lit(0).alias("r")))
+    frequent = F.col("seen") >= F.create_map(*[F.lit(x) for pair in least.items() for x in pair])[F.length("g")]
+    at = _longest(materialize(rows.select(*keep, "text")), keep).join(F.broadcast(table.where(frequent).select("g", "ratio")), "g", "left")
+    sums = at.groupBy(*keep).agg(F.coalesce(F.sum("ratio"), F.lit(0.0)).alias("near"), F.count("*").alias("n"))
+    rare = at.where(F.col("ratio").isNull()).select("row", "g").join(table.where(~frequent).select("g", "ratio"), "g")
+    joined = sums.join(rare.groupBy("row").agg(F.sum("ratio").alias("far")), "row", "left")
+    return joined.select(*keep, ((F.col("near") + F.coalesce("far", F.lit(0.0))) / F.col("n")).alias("score"))
 
 
 def calibrate(scored: DataFrame) -> float:
@@ -152,10 +174,10 @@ def judge(pages: DataFrame, id_col: str, url_col: str, rules=RULES) -> DataFrame
         out = numbered.withColumn("score", F.lit(0.0))
         threshold = 0.0
     else:
-        models = learn(ruled.where(~unseen))
+        table = lookup(rows.select("text"), learn(ruled.where(~unseen)))
         check = ruled.where(unseen).withColumn("row", F.monotonically_increasing_id())
-        threshold = calibrate(score(check, ["row", "good"], models))
-        full = score(numbered.where(F.length("text") > 0), keep, models)
+        threshold = calibrate(score(check.where(F.length("text") > 0), ["row", "good"], table))
+        full = score(numbered.where(F.length("text") > 0), keep, table)
         out = full.select(*keep, "score").unionByName(numbered.where(F.length("text") == 0).select(*keep, F.lit(0.0).alias("score")))
     verdict = F.coalesce("ruled", F.when(F.col("score") >= threshold, "allow").otherwise("block"))
     return out.select(F.col("id").alias(id_col), "host", "path", "rule", verdict.alias("verdict"), "score")

@@ -1,4 +1,5 @@
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -99,3 +100,17 @@ def test_gram_tables_are_bounded(spark, monkeypatch):
     least = U._least_counts(counts)
     kept = [r.g for r in counts.collect() if r.a + r.r >= least[len(r.g)]]
     assert kept == ["a", "b", "ab"]
+
+
+def test_no_gram_is_dropped_beyond_the_broadcast(spark, monkeypatch):
+    rng = random.Random(3)
+    hosts = ["a.net", "b.example.net", "c.example.com", "d.org", "e.info", "f.info"]
+    urls = [f"https://{rng.choice(hosts)}/{rng.choice(['en', 'de', 'fr'])}/{''.join(rng.choices('abcdé%019', k=rng.randint(0, 9)))}" for _ in range(1500)] + [""]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    whole = {r.page_id: r for r in U.judge(pages, "page_id", "url").collect()}
+    monkeypatch.setattr(U, "MOST_GRAMS", 20)
+    cut = {r.page_id: r for r in U.judge(pages, "page_id", "url").collect()}
+    assert len(cut) == len(urls)
+    for i, (rule, verdict) in enumerate(brute(urls)):
+        assert (cut[i].rule, cut[i].verdict) == (whole[i].rule, whole[i].verdict) == (rule, verdict)
+        assert math.isclose(cut[i].score, whole[i].score, abs_tol=1e-9)
