@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import materialize, slices
+
+#: Languages in order and log probabilities (buckets x languages).
+Model = tuple[list[str], np.ndarray]
 
 #: Hashed features; with a few dozen languages the broadcast matrix stays below 20 MB.
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
 #: Texts that the model is fitted on, at most, for each language; the rest of the labelled rows isn't needed.
 TRAIN_TEXTS = 4_000
-#: Languages at most, as a guard of the broadcast's size.
+#: Languages of a block of the matrix at most (20 MB); more languages make more blocks, each broadcast and scored on its own.
 MOST_LANGUAGES = 150
 #: n-grams beyond which more text doesn't sharpen the score.
 EVIDENCE = 50.0
@@ -79,71 +82,104 @@ def fit(counts: dict[str, np.ndarray], alpha: float = 0.5) -> tuple[list[str], n
 
 def score(texts: list[str], langs: list[str], log_p: np.ndarray) -> tuple[list[str], np.ndarray]:
     """Most likely language of each text and its posterior probability (uniform prior, evidence of EVIDENCE n-grams at most)."""
+    return score_blocks(texts, [(langs, log_p)])
+
+
+def score_blocks(texts: list[str], blocks: Iterable[Model]) -> tuple[list[str], np.ndarray]:
+    """score over the languages of all blocks: the best total, and the posterior among all of them."""
     flat, offsets = _points(texts)
     n = len(texts)
-    total, grams = np.zeros((n, len(langs))), np.zeros(n)
     full = np.flatnonzero(np.diff(offsets))
-    if len(full) and langs:
-        for bucket, valid in features(flat, offsets):
-            grams[full] += np.add.reduceat(valid.astype(np.float32), offsets[full])
+    found = list(features(flat, offsets)) if len(full) else []
+    grams = np.zeros(n)
+    for _, valid in found:
+        grams[full] += np.add.reduceat(valid.astype(np.float32), offsets[full])
+    best, mass, lang = np.full(n, -np.inf), np.zeros(n), np.full(n, "und", dtype=object)
+    top = np.full(n, -np.inf)  # mass is the sum of exp(mean - top)
+    for langs, log_p in blocks:
+        if not langs:
+            continue
+        total = np.zeros((n, len(langs)))
+        for bucket, valid in found:
             for k in range(len(langs)):
                 total[full, k] += np.add.reduceat(np.where(valid, log_p[:, k][bucket], np.float32(0)).astype(np.float64), offsets[full])
-    known = [has_letter(t) and bool(langs) for t in texts]
-    mean = total / np.maximum(grams, 1)[:, None] * np.minimum(grams, EVIDENCE)[:, None]
-    if not langs:
-        return ["und"] * n, np.zeros(n)
-    best = total.argmax(axis=1)
-    p = np.exp(mean - mean.max(axis=1, keepdims=True))
-    p = (p / p.sum(axis=1, keepdims=True))[np.arange(n), best]
-    return [langs[b] if k else "und" for b, k in zip(best.tolist(), known, strict=True)], np.where(known, p, 0.0)
-
-
-def train(rows: DataFrame, text_col: str, lang_col: str, most: int = TRAIN_TEXTS) -> tuple[list[str], np.ndarray]:
-    """Fit on at most about `most` texts of each language: all of a rare one, of a frequent one those whose text hash is lowest."""
+        mean = total / np.maximum(grams, 1)[:, None] * np.minimum(grams, EVIDENCE)[:, None]
+        at = total.argmax(axis=1)
+        own, high = total[np.arange(n), at], np.maximum(top, mean.max(axis=1))
+        mass = mass * np.exp(top - high) + np.exp(mean - high[:, None]).sum(axis=1)
+        better = own > best
+        best[better], lang[better] = own[better], np.array(langs, dtype=object)[at[better]]
+        top = high
+    known = [has_letter(t) and m > 0 for t, m in zip(texts, mass.tolist(), strict=True)]
+    p = np.divide(1.0, mass, out=np.zeros(n), where=mass > 0)
+    return [k if good else "und" for k, good in zip(lang.tolist(), known, strict=True)], np.where(known, p, 0.0)
+
+
+def train(rows: DataFrame, text_col: str, lang_col: str, most: int = TRAIN_TEXTS) -> list[Model]:
+    """Fit on at most about `most` texts of each language: all of a rare one, of a frequent one those whose text hash is lowest.
+
+    Every language is learned, in blocks of MOST_LANGUAGES in order; none without labelled texts.
+    """
     labelled = rows.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    sizes = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()}
+    sizes = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
-        return fit({})
-    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, most / n))])
-    chosen = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
+        return []
+    names = sorted(sizes)
+    share = rows.sparkSession.createDataFrame([(k, min(1.0, most / sizes[k]), i // MOST_LANGUAGES) for i, k in enumerate(names)], "lang string, share double, block int")
+    chosen = labelled.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.col("share") * 1_000_000).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            for lang, total in sums.items():
+                at = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(total[at])], ["lang", "bucket", "n"])
+            sums.clear()
+
         for batch in slices(batches, "text"):
             by: dict[str, list[str]] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 by.setdefault(lang, []).append(text)
             for lang, texts in by.items():
+                if lang not in sums and len(sums) >= MOST_LANGUAGES:
+                    yield from sent()
                 sums[lang] = sums.get(lang, 0) + count(texts)
-        for lang, total in sums.items():
-            at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(total[at])], ["lang", "bucket", "n"])
-
-    counts: dict[str, np.ndarray] = {k: np.zeros(BUCKETS, dtype=np.int64) for k in sizes}
-    table = chosen.mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    lang, bucket, n = np.array(table["lang"].to_pylist(), dtype=object), np.asarray(table["bucket"]), np.asarray(table["n"])
-    for k in counts:
-        own = lang == k
-        counts[k][bucket[own]] = n[own]
-    return fit(counts)
-
-
-def identify(docs: DataFrame, text_col: str, model: tuple[list[str], np.ndarray], extra: dict[str, Column]) -> DataFrame:
+        yield from sent()
+
+    table = chosen.mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    starts = range(0, len(names), MOST_LANGUAGES)
+    if len(starts) > 1:
+        table = materialize(table.join(F.broadcast(share.select("lang", "block")), "lang"))
+    models: list[Model] = []
+    for block, start in enumerate(starts):
+        part = (table.where(F.col("block") == block) if len(starts) > 1 else table).select("lang", "bucket", "n").toArrow()
+        lang, bucket, n = np.array(part["lang"].to_pylist(), dtype=object), np.asarray(part["bucket"]), np.asarray(part["n"])
+        counts: dict[str, np.ndarray] = {k: np.zeros(BUCKETS, dtype=np.int64) for k in names[start : start + MOST_LANGUAGES]}
+        for k in counts:
+            own = lang == k
+            counts[k][bucket[own]] = n[own]
+        models.append(fit(counts))
+    return models
+
+
+def identify(docs: DataFrame, text_col: str, model: Model | list[Model], extra: dict[str, Column]) -> DataFrame:
     """`extra` columns of each row of docs, then lang_pred and score.
 
+    model is what fit or train returns.
     `und` with score 0 for a null text, one without a letter, or an empty model. Nothing but the text is looked at; an empty
     table gives no rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x languages floats: at most MOST_LANGUAGES * 128 kB
+    blocks = model if isinstance(model, list) else [model]
+    shared = [docs.sparkSession.sparkContext.broadcast(b) for b in blocks]  # BUCKETS x languages floats: at most MOST_LANGUAGES * 128 kB each
     rows = docs.select(*[c.alias(k) for k, c in extra.items()], F.col(text_col).cast("string").alias("__text__"))
     n = len(extra)
     names = [*extra, "lang_pred", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, log_p = shared.value
         for batch in slices(batches, "__text__"):
             texts = [t or "" for t in batch.column(n).to_pylist()]
-            lang, p = score(texts, langs, log_p)
+            lang, p = score_blocks(texts, (b.value for b in shared))
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(lang, pa.string()), pa.array(p)], names)
 
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:n]]

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from gleanery.llm import langid, toxicity
 
@@ -45,6 +46,21 @@ def test_language_odd_rows(spark, odd_texts):
     assert {r.lang_pred for r in langid.identify(docs, "text", nothing, {}).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    words = {"aa": "aba", "bb": "bcb", "cc": "cdc", "dd": "ded", "ee": "efe"}
+    rows = [(k, f"{w} {w}{w}") for k, w in words.items() for _ in range(3)] + [("aa", "aba"), (None, "zzz"), ("bb", None)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+
+    def judged():
+        return [(r.lang, r.lang_pred, r.score) for r in langid.identify(docs, "text", langid.train(docs, "text", "lang"), {"lang": F.col("lang")}).collect()]
+
+    whole = judged()
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 2)
+    cut = judged()
+    assert all(pred == lang for (lang, text), (_, pred, _) in zip(rows, cut, strict=True) if lang and text)
+    assert [x[:2] for x in cut] == [x[:2] for x in whole] and np.allclose([x[2] for x in cut], [x[2] for x in whole])
+
+
 def test_toxicity_held_out(spark):
     d = "/root/testdata/sf0.1"
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
