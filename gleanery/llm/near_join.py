@@ -1,11 +1,12 @@
-"""N-gram Jaccard self-join by a MinHash LSH forest with exact verification (operator 3).
+"""N-gram Jaccard self-join by MinHash banding with exact verification (operator 3).
 
 1. One pass makes each text's set of word shingles, a 128-bit class hash of the set (texts with equal sets are one
-   class, and only one of them goes on) and, for each tree of the forest, a label of min-hash values.
-2. Labels are matched by prefix. The prefix starts at the full depth and is shortened until the chance that a pair
-   at the threshold shares it in some tree reaches the target recall. Tasks match their own rows first and
-   send on one row for each prefix, so a prefix that very many texts share costs its owner a row for each task.
-3. Texts linked through any prefix form a block. All pairs of a block are verified exactly by their shingle sets, as products of
+   class, and only one of them goes on) and, for each tree (band), a label: one hash of `depth` min-hash values.
+2. Equal labels of a tree are matched. The depth is computed beforehand: the greatest, from DEPTH down, at which a pair at
+   the threshold shares a label in some tree with the target recall. All pairs have that one depth, so no sorted tries of longer
+   signatures are kept: pairs that share more values share these too. Tasks match their own rows first and
+   send on one row for each label, so a label that very many texts share costs its owner a row for each task.
+3. Texts linked through any label form a block. All pairs of a block are verified exactly by their shingle sets, as products of
    0/1 matrices over blocks of at most CHUNK texts, which emit a row for each text and never a row for each pair.
 """
 
