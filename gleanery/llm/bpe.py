@@ -58,6 +58,7 @@ def count_words(docs: DataFrame, text_col: str, path: str) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoders.setdefault(("count", path), Encoder(vocabulary(path)))
         seen: Counter[bytes] = Counter()
+        held = 0  # characters in seen: words without blanks between them can be long
 
         for batch in slices(batches, "text"):
             _, points, starts, ends, _ = encoder.segmented(batch.column(0).to_pylist())
@@ -66,10 +67,13 @@ def count_words(docs: DataFrame, text_col: str, path: str) -> DataFrame:
             _, first, n = np.unique(range_hash(points, starts, ends), return_index=True, return_counts=True)
             chars = points.astype("<u4").tobytes()
             for a, b, k in zip(starts[first].tolist(), ends[first].tolist(), n.tolist(), strict=True):
-                seen[chars[4 * a : 4 * b]] += k  # UTF-32
-            if len(seen) > 1_000_000:
+                word = chars[4 * a : 4 * b]  # UTF-32
+                held += 0 if word in seen else b - a
+                seen[word] += k
+            if len(seen) > 1_000_000 or held > 20_000_000:
                 yield _word_rows(seen)
                 seen.clear()
+                held = 0
         yield _word_rows(seen)
 
     return docs.select(text_or_empty(text_col).alias("text")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))

@@ -1,12 +1,14 @@
 """Pre-tokens of two public BPE tokenizers for whole batches, found by character classes in numpy.
 
 The classes (letter, number, white space) come from the tokenizers library itself, so they are its own by
-construction. Texts with characters outside the tables' range, or that need normalising, go through the library.
+construction. Byte-level texts are cut at special tokens and take every character. Texts of the word tokenizer with
+characters outside the tables' range, that need normalising or hold a special token go through the library.
 """
 
 from __future__ import annotations
 
 import functools
+import re
 import unicodedata
 
 import numpy as np
@@ -16,20 +18,29 @@ from .wordhash import BASE_A, BASE_B, U, range_hash
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 LIMIT = 0x2E80  # characters below it have table entries
+WIDE = 0x40000  # so have those below it in a table that is built once such a character comes; Unicode has no letter, number or white space beyond
 _SURE = 0x300  # below it no character combines or composes
 
 
 @functools.cache
-def classes() -> np.ndarray:
-    """The class of each character below LIMIT, as the library's own regular expressions see it."""
-    table = np.zeros(LIMIT, dtype=np.uint8)
-    every = "".join(map(chr, range(LIMIT)))
+def classes(limit: int = LIMIT) -> np.ndarray:
+    """The class of each character below the limit, as the library's own regular expressions see it."""
+    table = np.zeros(limit, dtype=np.uint8)
+    known = np.array([i for i in range(limit) if not 0xD800 <= i < 0xE000])
+    every = "".join(map(chr, known.tolist()))
     for kind, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (SPACE, r"\s")):
         for _, (a, b) in pre_tokenizers.Split(Regex(f"[^{pattern}]+" if kind != SPACE else r"\S+"), "removed").pre_tokenize_str(every):
-            table[a:b] = kind
+            table[known[a:b]] = kind
     return table
 
 
+def kinds(points: np.ndarray) -> np.ndarray:
+    """The class of each of points."""
+    if points.max() < LIMIT:
+        return classes()[points]
+    return classes(WIDE)[np.minimum(points, WIDE - 1)]
+
+
 @functools.cache
 def lowered() -> np.ndarray:
     """The library's lower case below LIMIT; 0xFFFFFFFF where it isn't one character below LIMIT."""
@@ -56,7 +67,7 @@ def segment(points: np.ndarray, offsets: np.ndarray, blanks: bool, single_number
     if not n:
         z = np.zeros(0, dtype=np.int64)
         return z, z, z
-    kind = classes()[points]
+    kind = kinds(points)
     cuts = offsets[(offsets > 0) & (offsets < n)]
     edge = np.zeros(n, dtype=bool)
     edge[0] = True
@@ -129,11 +140,17 @@ class Vocabulary:
         self.words = words
         alphabet = byte_alphabet()
         self.to_symbols = {b: alphabet[b] for b in range(256)}
-        self.specials = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.specials = tuple(t.content for t in added.values())
+        #: Ids of the added tokens at which a byte-level text is simply cut.
+        self.cuts = {} if words else {t.content: i for i, t in added.items() if not (t.normalized or t.single_word or t.lstrip or t.rstrip)}
+        self.cut_at = re.compile("|".join(map(re.escape, sorted(self.cuts, key=len, reverse=True)))) if self.cuts else None
         self._table = str.maketrans({chr(b): c for b, c in alphabet.items()})
 
     def merge(self, word: str) -> list[int]:
-        """Ids of one pre-token by exact merging."""
+        """Ids of one pre-token by exact merging; the id of a special token that texts are cut at."""
+        if word in self.cuts:
+            return [self.cuts[word]]
         symbols = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self._table)
         return [t.id for t in self.tokenizer.model.tokenize(symbols)]
 
@@ -218,17 +235,17 @@ class Encoder:
 
     def _fit(self, texts: list[str], points: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Whether the tables are enough for each text."""
-        fit = np.array([not any(s in t for s in self.vocabulary.specials) for t in texts], dtype=bool)
+        others = [s for s in self.vocabulary.specials if s not in self.vocabulary.cuts]
+        fit = np.array([not any(s in t for s in others) for t in texts], dtype=bool)
         full = np.flatnonzero(np.diff(offsets))
-        if len(full):
+        if len(full) and self.vocabulary.words:
             top = np.zeros(len(texts), dtype=np.uint32)
             top[full] = np.maximum.reduceat(points, offsets[full])
             fit &= top < LIMIT
-            if self.vocabulary.words:
-                for i in np.flatnonzero(fit & (top >= _SURE)).tolist():
-                    fit[i] = unicodedata.is_normalized("NFC", texts[i])
-                odd = np.flatnonzero(lowered()[np.minimum(points, LIMIT - 1)] == 0xFFFFFFFF)
-                fit[np.searchsorted(offsets, odd, side="right") - 1] = False
+            for i in np.flatnonzero(fit & (top >= _SURE)).tolist():
+                fit[i] = unicodedata.is_normalized("NFC", texts[i])
+            odd = np.flatnonzero(lowered()[np.minimum(points, LIMIT - 1)] == 0xFFFFFFFF)
+            fit[np.searchsorted(offsets, odd, side="right") - 1] = False
         return fit
 
     def segmented(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -239,7 +256,17 @@ class Encoder:
             points, offsets = codepoints([t if f else "" for t, f in zip(texts, fit.tolist(), strict=True)])
         if self.vocabulary.words and len(points):
             points = lowered()[points]
-        return fit, points, *segment(points, offsets, blanks=not self.vocabulary.words, single_numbers=self.vocabulary.words)
+        cut = self.vocabulary.cut_at
+        found = [(at + m.start(), at + m.end()) for t, f, at in zip(texts, fit.tolist(), offsets.tolist(), strict=False) if f for m in cut.finditer(t)] if cut else []
+        if not found:
+            return fit, points, *segment(points, offsets, blanks=not self.vocabulary.words, single_numbers=self.vocabulary.words)
+        opens, closes = np.array(found, dtype=np.int64).T
+        starts, ends, _ = segment(points, np.unique(np.concatenate((offsets, opens, closes))), blanks=True, single_numbers=False)
+        last = np.searchsorted(opens, starts, side="right") - 1
+        outside = (last < 0) | (starts >= closes[last])
+        starts, ends = np.concatenate((starts[outside], opens)), np.concatenate((ends[outside], closes))
+        order = np.argsort(starts, kind="stable")
+        return fit, points, starts[order], ends[order], np.searchsorted(offsets, starts[order], side="right") - 1
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and row offsets."""

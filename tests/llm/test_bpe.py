@@ -39,6 +39,26 @@ def test_encoder_matches_library(odd_texts, name, words):
         assert ids[off[i] : off[i + 1]].tolist() == v.whole(t), t[:60]
 
 
+def test_every_text_is_counted_and_segmented(spark, monkeypatch):
+    texts = ["日本 日本", "😀 a", "a<|endoftext|> a", "<|endoftext|><|endoftext|>x  ", "a  <|endoftext|>\n b", "𠀀x\u3000y １２", "\U000e0041a\U00100000", "plain 日本"]
+    v = pretokens.Vocabulary(PATH, False)
+    want = [v.whole(t) for t in texts]
+    monkeypatch.setattr(v, "whole", None)  # no text needs the library
+    ids, off = pretokens.Encoder(v).encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == want
+    counts = {r.word: r.n for r in bpe.count_words(spark.createDataFrame([(t,) for t in texts], "text string"), "text", PATH).collect()}
+    assert (counts["日本"], counts[" 日本"], counts["<|endoftext|>"]) == (1, 2, 4)
+
+
+@pytest.mark.parametrize("at", range(4))
+def test_all_characters_match_library(at):
+    v = pretokens.Vocabulary(PATH, False)
+    points = [c for c in range(0x2E80 + at * 13, 0x110000, 53) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"a{chr(c)}B '{chr(c)}{chr(c)}1 {chr(c)} " for c in points[i : i + 64]) for i in range(0, len(points), 64)]
+    ids, off = pretokens.Encoder(v).encode(texts)
+    assert all(ids[off[i] : off[i + 1]].tolist() == v.whole(t) for i, t in enumerate(texts))
+
+
 def test_encode_decode_frame(spark, odd_texts):
     library = Tokenizer.from_file(PATH)
     rows = [(i if i % 9 else None, t, "x") for i, t in enumerate(odd_texts)] + [(3, "same", "y"), (3, "same", "y")]
