@@ -1,8 +1,10 @@
 """Quality rules as a short-circuit cascade (operator 9).
 
-Every rule is a numpy function over a batch of texts that says which texts pass. On a bounded sample each rule's cost
-(seconds a text) and selectivity (share rejected) are estimated; rules then run in the order of rejection per cost,
-each only over the texts that all rules before it passed. The order changes the time, never the verdict.
+Every rule is a numpy function over a batch of texts that says which texts pass. The base counts of every text are worked out
+first, as they are part of the result. Each task then estimates every rule's cost (seconds a text, beyond the base counts) and
+selectivity (share rejected) on a sample, the first SAMPLE_TEXTS texts of its partition that the base passes; from then on its rules run
+in the order of rejection per cost, each only over the texts that all rules before it passed. The order changes the time, never the verdict,
+and no text leaves its task for it.
 """
 
 from __future__ import annotations
@@ -18,8 +20,8 @@ from pyspark.sql import functions as F
 from .common import buffer_of, slices, text_or_empty
 from .wordhash import BASE_B, U, mix, per_row, range_hash, runs
 
-#: Texts on which costs and selectivities are estimated, at most.
-SAMPLE_TEXTS = 2_000
+#: Texts of a partition on which costs and selectivities are estimated.
+SAMPLE_TEXTS = 200
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -34,7 +36,7 @@ _ALPHA[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 class Batch:
     """A batch of texts; what several rules need is worked out once, when first asked for."""
 
-    def __init__(self, raw: bytes, offsets: np.ndarray):
+    def __init__(self, raw: bytes | np.ndarray, offsets: np.ndarray):
         self.bytes = np.frombuffer(raw, dtype=np.uint8)
         self.offsets = offsets
         self.n = len(offsets) - 1
@@ -46,11 +48,15 @@ class Batch:
         return self._kept[name]
 
     def subset(self, rows: np.ndarray) -> Batch:
+        """A batch of these rows (in order); counts that are known already go with them."""
         if len(rows) == self.n:
             return self
-        parts = [self.bytes[self.offsets[r] : self.offsets[r + 1]] for r in rows.tolist()]
-        size = [len(p) for p in parts]
-        return Batch(b"".join(p.tobytes() for p in parts), np.concatenate(([0], np.cumsum(size))).astype(np.int64))
+        size = np.diff(self.offsets)
+        inside = np.zeros(self.n, dtype=bool)
+        inside[rows] = True
+        out = Batch(self.bytes[np.repeat(inside, size)], np.concatenate(([0], np.cumsum(size[rows]))).astype(np.int64))
+        out._kept = {k: self._kept[k][rows] for k in _COUNTS if k in self._kept}
+        return out
 
     def sums(self, flags: np.ndarray) -> np.ndarray:
         """True bytes of each text."""
@@ -60,11 +66,8 @@ class Batch:
     def words(self):
         return self.once("words", lambda: runs(~_SPACE[self.bytes], self.offsets))
 
-    def word_offsets(self) -> np.ndarray:
-        return self.once("word_offsets", lambda: per_row(self.words()[2], self.n))
-
     def n_words(self) -> np.ndarray:
-        return np.diff(self.word_offsets())
+        return self.once("n_words", lambda: np.diff(per_row(self.words()[2], self.n)))
 
     def word_chars(self) -> np.ndarray:
         return self.once("word_chars", lambda: self.sums(~_SPACE[self.bytes] & ((self.bytes & 0xC0) != 0x80)))
@@ -72,20 +75,27 @@ class Batch:
     def n_symbols(self) -> np.ndarray:
         return self.once("n_symbols", lambda: self.sums(_SYMBOL[self.bytes]))
 
+    def n_letters(self) -> np.ndarray:
+        return self.once("n_letters", lambda: self.sums(_ALPHA[self.bytes] & ((self.bytes & 0xC0) != 0x80)))
+
     def lines(self):
-        return self.once("lines", lambda: runs(self.bytes != 10, self.offsets))
+        """Starts, ends and rows of the lines that have a word."""
+        return self.once("lines", self._lines)
+
+    def _lines(self):
+        starts, ends, row = runs(self.bytes != 10, self.offsets)
+        full = np.concatenate(([0], np.cumsum(~_SPACE[self.bytes])))
+        some = full[ends] > full[starts]
+        return starts[some], ends[some], row[some]
+
+    def n_full_lines(self) -> np.ndarray:
+        return self.once("n_full_lines", lambda: np.bincount(self.lines()[2], minlength=self.n).astype(np.int64))
 
     def n_dup_lines(self) -> np.ndarray:
         return self.once("n_dup_lines", self._dup_lines)
 
     def _dup_lines(self) -> np.ndarray:
         starts, ends, row = self.lines()
-        full = np.concatenate(([0], np.cumsum(~_SPACE[self.bytes])))
-        some = full[ends] > full[starts]
-        starts, ends, row = starts[some], ends[some], row[some]
-        out = np.zeros(self.n, dtype=np.int64)
-        if not len(starts):
-            return out
         key = mix(range_hash(self.bytes, starts, ends) + row.astype(U) * U(BASE_B))
         _, first = np.unique(key, return_index=True)
         again = np.ones(len(key), dtype=bool)
@@ -97,89 +107,100 @@ class Batch:
 
     def _repeat_words(self) -> np.ndarray:
         starts, ends, row = self.words()
-        if len(starts) < 3:
-            return np.zeros(self.n, dtype=np.int64)
         h = range_hash(self.bytes, starts, ends)
-        key = mix(mix(h[:-2] * U(3) + h[1:-1]) * U(5) + h[2:] + row[:-2].astype(U) * U(BASE_B))
-        inside = row[:-2] == row[2:]
+        at = np.flatnonzero(row[:-2] == row[2:])  # windows that end within their own text; the others are no windows
+        if not len(at):
+            return np.zeros(self.n, dtype=np.int64)
+        key = mix(mix(h[at] * U(3) + h[at + 1]) * U(5) + h[at + 2] + row[at].astype(U) * U(BASE_B))
         order = np.argsort(key)
         same = key[order][1:] == key[order][:-1]
         twice = np.zeros(len(key), dtype=bool)
         twice[order[1:][same]] = True
         twice[order[:-1][same]] = True
-        twice &= inside
         covered = np.zeros(len(h), dtype=bool)
         for k in range(3):
-            covered[k : len(key) + k] |= twice
+            covered[at[twice] + k] = True
         return np.bincount(row[covered], minlength=self.n).astype(np.int64)
 
 
+#: What subset takes over: counts with an entry for each text.
+_COUNTS = ("n_words", "word_chars", "n_symbols", "n_letters", "n_full_lines", "n_dup_lines", "n_repeat_words")
+
+
 def _at_most(part: np.ndarray, whole: np.ndarray, percent: int) -> np.ndarray:
     return 100 * part <= percent * whole
 
 
+Rule = Callable[[Batch], np.ndarray]
 #: Rules beyond the base. Each passes a text or rejects it; all must pass.
-RULES: dict[str, Callable[[Batch], np.ndarray]] = {
+RULES: dict[str, Rule] = {
     "symbols_to_words": lambda b: _at_most(b.n_symbols(), b.n_words(), 10),
     "mean_word_length": lambda b: (b.word_chars() >= 2 * b.n_words()) & (b.word_chars() <= 14 * b.n_words()),
-    "repeated_lines": lambda b: _at_most(b.n_dup_lines(), b.once("full_lines", lambda: _full_lines(b)), 50),
-    "capitals": lambda b: _at_most(b.sums(_UPPER[b.bytes]), b.sums(_ALPHA[b.bytes] & ((b.bytes & 0xC0) != 0x80)), 30),
-    "letters": lambda b: 100 * b.sums(_ALPHA[b.bytes] & ((b.bytes & 0xC0) != 0x80)) >= 60 * b.word_chars(),
+    "repeated_lines": lambda b: _at_most(b.n_dup_lines(), b.n_full_lines(), 50),
+    "capitals": lambda b: _at_most(b.sums(_UPPER[b.bytes]), b.n_letters(), 30),
+    "letters": lambda b: 100 * b.n_letters() >= 60 * b.word_chars(),
 }
 
 
-def _full_lines(b: Batch) -> np.ndarray:
-    starts, ends, row = b.lines()
-    full = np.concatenate(([0], np.cumsum(~_SPACE[b.bytes])))
-    return np.bincount(row[full[ends] > full[starts]], minlength=b.n).astype(np.int64)
-
-
-def estimate_order(texts: list[str], rules: dict[str, Callable[[Batch], np.ndarray]] = RULES) -> list[str]:
-    """Rule names by rejected texts per second on the sample, best first; ties by name."""
-    raws = [t.encode() for t in texts]
-    offsets = np.concatenate(([0], np.cumsum([len(r) for r in raws]))).astype(np.int64)
-    rate = {}
-    for name, rule in rules.items():
-        began = time.thread_time()
-        passed = rule(Batch(b"".join(raws), offsets)) if raws else np.ones(0, dtype=bool)
-        rate[name] = float((~passed).sum() + 0.01) / max(time.thread_time() - began, 1e-6)
-    return sorted(rate, key=lambda k: (-rate[k], k))
-
-
-def cascade(batch: Batch, alive: np.ndarray, order: list[str], rules: dict[str, Callable[[Batch], np.ndarray]] = RULES) -> np.ndarray:
-    """alive, less the texts that a rule rejects; a rule sees only the texts still alive."""
-    alive = alive.copy()
-    for name in order:
+class Cascade:
+    """The rules of one task: measured one by one until SAMPLE_TEXTS texts were seen, then in their order of rejection per cost."""
+
+    def __init__(self, rules: dict[str, Rule] = RULES, order: list[str] | None = None, sample: int = SAMPLE_TEXTS):
+        self.rules, self.fixed, self.sample, self.seen = rules, order, sample, 0
+        self.rejected, self.seconds = dict.fromkeys(rules, 0), dict.fromkeys(rules, 0.0)
+
+    def order(self) -> list[str]:
+        """Rule names by rejected texts per second of the sample, best first; ties by name. Without a sample, by name."""
+        if self.fixed is not None:
+            return self.fixed
+        return sorted(self.rules, key=lambda k: (-(self.rejected[k] + 0.01) / max(self.seconds[k], 1e-6) if self.seen else 0, k))
+
+    def _measure(self, batch: Batch) -> None:
+        """Every rule on the batch, each as if it came first: with the base counts alone at hand."""
+        known = dict(batch._kept)
+        for name, rule in self.rules.items():
+            batch._kept = dict(known)
+            began = time.thread_time()
+            passed = rule(batch)
+            self.seconds[name] += time.thread_time() - began
+            self.rejected[name] += int((~passed).sum())
+        batch._kept = known
+        self.seen += batch.n
+
+    def run(self, batch: Batch, alive: np.ndarray) -> np.ndarray:
+        """alive, less the texts that a rule rejects; a rule sees only the texts still alive."""
+        alive = alive.copy()
         rows = np.flatnonzero(alive)
-        if not len(rows):
-            break
-        own = batch if len(rows) * 2 > batch.n else batch.subset(rows)
-        passed = rules[name](own)
-        alive[rows] = passed[rows] if own is batch else passed
-    return alive
+        now = batch.subset(rows)
+        if self.fixed is None and self.seen < self.sample and len(rows):
+            self._measure(now.subset(np.arange(min(len(rows), self.sample - self.seen))))
+        for name in self.order():
+            if not len(rows):
+                break
+            passed = self.rules[name](now)
+            alive[rows[~passed]] = False
+            rows, now = rows[passed], now.subset(np.flatnonzero(passed))
+        return alive
 
 
 def judge(docs: DataFrame, id_col: str, text_col: str, order: list[str] | None = None) -> DataFrame:
     """One row for each row of docs: id_col, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept.
 
     A null text has no word and fails the base; null and repeated ids pass through; other columns aren't read; an empty table
-    gives no rows.
+    gives no rows. order: names of RULES, in place of the order that each task estimates.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
-    if order is None:
-        order = estimate_order([r.text for r in rows.select("text").limit(SAMPLE_TEXTS).collect()])
-    chosen = order
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cascade = Cascade(order=order)
         for part in slices(batches, "text"):
             batch = Batch(*buffer_of(part.column(1)))
             n_words, repeats = batch.n_words(), batch.n_repeat_words()
+            columns = [n_words, batch.word_chars(), batch.n_symbols(), batch.n_dup_lines(), repeats]
             failed = (n_words < 50) | (100 * repeats > 50 * n_words)
-            kept = cascade(batch, ~failed, chosen)
-            columns = [n_words, batch.word_chars(), batch.n_symbols(), batch.n_dup_lines(), repeats, failed, kept]
-            yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, columns)], names)
+            yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, [*columns, failed, cascade.run(batch, ~failed)])], names)
 
-    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     kind = rows.schema["doc_id"].dataType.simpleString()
     out = rows.mapInArrow(run, f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean")
     return out.withColumnRenamed("doc_id", id_col)

@@ -28,21 +28,45 @@ def test_empty(spark):
     assert quality.judge(spark.createDataFrame([], "doc_id long, text string"), "doc_id", "text").collect() == []
 
 
+def batch_of(texts):
+    raws = [t.encode() for t in texts]
+    return quality.Batch(b"".join(raws), np.concatenate(([0], np.cumsum([len(r) for r in raws]))).astype(np.int64))
+
+
 def test_order_and_short_circuit():
     texts = ["# " * 60, "plain words of some kind " * 20, "LOUD WORDS HERE " * 30]
-    order = quality.estimate_order(texts)
-    assert sorted(order) == sorted(quality.RULES)
-    raw = "".join(texts).encode()
-    offsets = np.concatenate(([0], np.cumsum([len(t.encode()) for t in texts])))
-    verdicts = {tuple(quality.cascade(quality.Batch(raw, offsets), np.ones(3, dtype=bool), o).tolist()) for o in (order, order[::-1])}
+    measured = quality.Cascade()
+    measured.run(batch_of(texts), np.ones(3, dtype=bool))
+    order = measured.order()
+    assert sorted(order) == sorted(quality.RULES) and measured.seen == 3
+    verdicts = {tuple(quality.Cascade(order=o).run(batch_of(texts), np.ones(3, dtype=bool)).tolist()) for o in (order, order[::-1])}
     assert verdicts == {(False, True, False)}
     seen = []
     rules = {"all": lambda b: seen.append(b.n) or np.arange(b.n) > 0, "next": lambda b: seen.append(b.n) or np.ones(b.n, dtype=bool)}
-    quality.cascade(quality.Batch(b"a" * 4, np.arange(5)), np.array([True, True, False, False]), ["all", "next"], rules)
-    assert seen == [2, 1]
+    alive = np.array([True, True, False, True])
+    assert quality.Cascade(rules, ["all", "next"]).run(batch_of(list("abcd")), alive).tolist() == [False, True, False, True]
+    assert seen == [3, 2]  # a rejected text is never seen again, however many are alive
+
+
+def test_neighbours_do_not_matter(spark, odd_texts):
+    words = "a b c d e f g h a b".split()
+    texts = [" ".join(words), "c d e f", "b c d", "a b", "c", "a b c a b", "c a b", None, "", "a b c"] + odd_texts[:60]
+    alone = []
+    for t in texts:
+        b = batch_of([t or ""])
+        alone.append((int(b.n_repeat_words()[0]), int(b.n_dup_lines()[0])))
+    assert alone[0] == (0, 0)
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        order = rng.permutation(len(texts))
+        b = batch_of([texts[i] or "" for i in order])
+        assert list(zip(b.n_repeat_words().tolist(), b.n_dup_lines().tolist(), strict=True)) == [alone[i] for i in order]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert len({str(rows_of(quality.judge(docs.repartition(n), "doc_id", "text"))) for n in (1, 2, 211)}) == 1
 
 
 def test_query(spark, sf):
-    con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
-    assert rows_of(quality.op9_quality_rules(spark, sf)) == sql(con)
+    for folder in (sf, sf.replace("sf0.001", "sf0.01")):
+        con = duckdb.connect()
+        con.sql(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+        assert rows_of(quality.op9_quality_rules(spark, folder)) == sql(con)
