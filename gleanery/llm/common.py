@@ -40,21 +40,46 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """name, with as many underscores before it as make it no column's name (case aside)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def keyed(docs: DataFrame, id_col: str, key: str, extra: list[str] | None = None) -> tuple[DataFrame, bool]:
     """docs with a unique non-null long column `key` that sorts as id_col does (nulls first), and whether it is the id.
 
-    Unique ids are the key themselves. Where an id is null or repeated, the rows are range-sorted by id
+    Unique ids of a whole-number type are the key themselves. Where an id is null or repeated, or of another type, the rows are range-sorted by id
     (ties by the hash of `extra` columns), numbered, and written to the shared folder, so that every later
-    pass sees the same numbers.
+    pass sees the same numbers. The check shuffles ids alone, added up in their tasks first.
     """
-    ids = docs.select(F.col(id_col).cast("long").alias("i")).groupBy("i").agg(F.count("*").alias("n"))
-    if not ids.where(F.col("i").isNull() | (F.col("n") > 1)).limit(1).collect():
-        return docs.withColumn(key, F.col(id_col).cast("long")), True
+    if docs.schema[id_col].dataType.typeName() in ("byte", "short", "integer", "long"):
+        ids = docs.select(F.col(id_col).cast("long").alias("i")).groupBy("i").agg(F.count("*").alias("n"))
+        if not ids.where(F.col("i").isNull() | (F.col("n") > 1)).limit(1).collect():
+            return docs.withColumn(key, F.col(id_col).cast("long")), True
     order = [F.col(id_col).asc_nulls_first(), F.xxhash64(*[F.col(c) for c in extra or [id_col]])]
     ranged = docs.repartitionByRange(partitions(docs), *order).sortWithinPartitions(*order)
     return materialize(ranged.withColumn(key, F.monotonically_increasing_id())), False
 
 
+def groups_for(df: DataFrame, n: int, most: int) -> int:
+    """How many groups n items are dealt into: as many as there are shuffle partitions, and no more than about `most` items in one."""
+    return max(partitions(df), -(-n // most))
+
+
+def size_of(df: DataFrame) -> int:
+    """The optimizer's estimate of the bytes of df, from file sizes where it reads files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the shared file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def semi_by_key(rows: DataFrame, ids: DataFrame, key: str, n_ids: int, how: str = "left_semi") -> DataFrame:
     """rows whose key is (left_semi) or is not (left_anti) among ids; ids is broadcast only if its counted size is small."""
     ids = ids.select(key)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from .bpe import op1_bpe
 from .exact_dedup import OP2_SQL, op2_exact_dedup
 from .langid import op8_langid
-from .near_join import op3_ngram_jaccard
+from .near_join import OP3_SQL, op3_ngram_jaccard
 from .packing import op7_packing
 from .quality import OP9_SQL, op9_quality_rules
 from .sentence_spans import op5_sentence_spans
@@ -25,4 +25,4 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_warc": op10_warc,
 }
-ORACLES: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op9_quality_rules": OP9_SQL}
+ORACLES: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op3_ngram_jaccard": OP3_SQL, "op9_quality_rules": OP9_SQL}

@@ -104,7 +104,7 @@ def shingles(hashes: np.ndarray, row: np.ndarray, n_rows: int, k: int) -> tuple[
     acc = np.zeros(len(hashes), dtype=U)
     for i in range(k):  # a word beyond its row takes no part
         shifted = np.zeros(len(hashes), dtype=U)
-        shifted[: len(hashes) - i] = hashes[i:]
+        shifted[: max(len(hashes) - i, 0)] = hashes[i:]
         if i:
             at = np.flatnonzero(np.arange(len(hashes)) + i >= off[row + 1])
             shifted[at] = 0

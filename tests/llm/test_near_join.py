@@ -1,7 +1,9 @@
 import random
 import re
 
+import duckdb
 import numpy as np
+from pyspark.sql import functions as F
 
 from gleanery.llm import near_join
 from gleanery.llm.components import components
@@ -57,10 +59,43 @@ def corpus():
     return texts
 
 
-def test_prefix_depth():
-    assert near_join.prefix_depth(0.8) == 6
-    assert near_join.prefix_depth(0.999) == near_join.DEPTH
-    assert near_join.prefix_depth(0.01) == 1
+def by_rule(threshold):
+    return [1 - (1 - threshold ** (d + 1)) ** near_join.TREES for d in range(near_join.DEPTH)]
+
+
+def test_prefix_is_shortened_until_the_target():
+    assert near_join.prefix_depth(by_rule(0.8)) == 6
+    assert near_join.prefix_depth(by_rule(0.999)) == near_join.DEPTH
+    assert near_join.prefix_depth(by_rule(0.01)) == 1
+    assert near_join.prefix_depth(by_rule(0.8), 0.99) == near_join.DEPTH
+
+
+def test_planted_pairs_show_the_recall(spark):
+    rng = np.random.default_rng(2)
+    own = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (9, 40, 333, 1000)]
+    for x in own:
+        y = near_join.planted_partner(x, 4, 5, 1)
+        common = len(np.intersect1d(x, y))
+        assert 5 * common >= 4 * len(np.union1d(x, y)) and 5 * (common - 1) < 4 * (len(x) + len(y) - common + 1)
+    assert near_join.planted_partner(own[0][:5], 4, 5, 1) is None
+    docs = spark.createDataFrame([(i, " ".join(f"w{x}" for x in rng.integers(0, 10**6, 120))) for i in range(1500)], "k long, t string")
+    rows = near_join.signature_rows(docs, "k", "t", 4, 5)
+    recall = near_join.measured_recall(rows, 0.8)
+    assert np.allclose(recall, by_rule(0.8), atol=0.004) and recall != by_rule(0.8)
+    # with a hash family that never agrees, the measurement shortens the prefix where a formula would not
+    bad = rows.withColumn("planted", F.transform(F.array_repeat(F.lit(0), near_join.DEPTH), lambda x: x))
+    assert near_join.prefix_depth(near_join.measured_recall(bad, 0.8)) < 6
+
+
+def test_runs_of_a_trie_share_a_prefix():
+    rng = np.random.default_rng(5)
+    sig, key = rng.integers(0, 2, (200, near_join.DEPTH)).astype(np.uint16), rng.permutation(200)
+    for depth in (1, 3, near_join.DEPTH):
+        order, start, least = near_join._trie_runs(sig, key, depth)
+        want = {}
+        for s, k in zip(sig.tolist(), key.tolist(), strict=True):
+            want[tuple(s[:depth])] = min(want.get(tuple(s[:depth]), 999), k)
+        assert [want[tuple(sig[o, :depth].tolist())] for o in order] == least.tolist() and len(start) == len(want)
 
 
 def test_links_exact():
@@ -91,7 +126,9 @@ def test_components(spark):
 
 
 def test_against_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(near_join, "CHUNK", 16)  # blocks in several parts
+    monkeypatch.setattr(near_join, "PART_WISH", 16)  # blocks in several parts
+    monkeypatch.setattr(near_join, "_STRIP", 7)  # and tiles in several matrices
+    monkeypatch.setattr(near_join, "_SMALL", 20)
     texts = corpus()
     root, links = brute(texts)
     docs = spark.createDataFrame([(i, t, "k", 1) for i, t in enumerate(texts)], "doc_id long, text string, key string, n_links int").repartition(5)
@@ -114,6 +151,25 @@ def test_null_and_repeated_ids(spark):
     assert near_join.join_near(docs.limit(0), "doc_id", "text").collect() == []
 
 
+def test_ids_stay_ids(spark):
+    docs = spark.createDataFrame([(70, "a b c d e f g"), (70, "q w e r t y u"), (50, "A b c d e f g"), (None, "a b c d e f g"), (60, "k k")], "doc_id long, text string")
+    out = {(r.doc_id, r.class_id, r.rep_id, r.copies, r.n_links) for r in near_join.join_near(docs, "doc_id", "text").collect()}
+    assert out == {(None, None, None, 3, 2), (50, None, None, 3, 2), (70, None, None, 3, 2), (70, 70, 70, 1, 0), (60, 60, 60, 1, 0)}
+    named = spark.createDataFrame([("x", "a b"), ("b", "A b")], "__key string, text string")
+    assert {(r["__key"], r.class_id) for r in near_join.join_near(named, "__key", "text").collect()} == {("x", "b"), ("b", "b")}
+    kept = near_join.keep_one(docs.withColumn("__KEY", F.lit(1)), "doc_id", "text")
+    assert kept.columns == ["doc_id", "text", "__KEY"] and kept.count() == 3
+
+
+def test_sql(spark):
+    d = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{d}/documents.parquet'")
+    names = "doc_id, class_id, rep_id, copies, n_links"
+    want = sorted(con.sql(f"SELECT {names} FROM ({near_join.OP3_SQL})").fetchall())
+    assert sorted(tuple(r) for r in near_join.op3_ngram_jaccard(spark, d).selectExpr(*names.split(", ")).collect()) == want
+
+
 def test_query(spark, sf):
     docs = sorted(spark.read.parquet(f"{sf}/documents.parquet").collect(), key=lambda r: r.doc_id)
     root, links = brute([d.text for d in docs])
