@@ -60,3 +60,14 @@ def test_query_against_sql(spark, sf):
     cols = sorted(got.columns)
     assert sorted(map(str, (tuple(r[c] for c in cols) for r in got.collect()))) == sorted(map(str, con.sql(f"SELECT {','.join(cols)} FROM ({exact_dedup.OP2_SQL})").fetchall()))
     assert sorted(want.columns) == cols
+
+
+def test_clashing_names_and_few_rows_a_sender(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "HELD", 3)
+    rows = [(i, f"Text {i % 5}", 7, i) for i in range(40)] + [(100, None, 7, 1), (101, "", 7, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __key int, sha int").repartition(9)
+    kept = exact_dedup.keep_one(docs, "doc_id", "text")
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [35, 36, 37, 38, 39, 101]
+    out = {r.doc_id: (r.keep_id, r.group_size) for r in exact_dedup.dedup(docs, "doc_id", "text").collect()}
+    assert out == {**{i: (35 + i % 5, 8) for i in range(40)}, 100: (101, 2), 101: (101, 2)}
