@@ -21,6 +21,8 @@ ORDERS = (1, 2, 3)
 TRAIN_TEXTS = 4_000
 #: Languages of a block of the matrix at most (20 MB); more languages make more blocks, each broadcast and scored on its own.
 MOST_LANGUAGES = 150
+#: Languages whose log probabilities are multiplied at one time.
+_COLUMNS = 8
 #: n-grams beyond which more text doesn't sharpen the score.
 EVIDENCE = 50.0
 
@@ -85,24 +87,32 @@ def score(texts: list[str], langs: list[str], log_p: np.ndarray) -> tuple[list[s
     return score_blocks(texts, [(langs, log_p)])
 
 
-def score_blocks(texts: list[str], blocks: Iterable[Model]) -> tuple[list[str], np.ndarray]:
-    """score over the languages of all blocks: the best total, and the posterior among all of them."""
+def gram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sparse counts of texts: row, bucket and count of each distinct (row, bucket), sorted."""
     flat, offsets = _points(texts)
+    keys: list[np.ndarray] = []
+    if len(flat):
+        row = np.repeat(np.arange(len(texts), dtype=np.uint64) * np.uint64(BUCKETS), np.diff(offsets))
+        keys = [row[valid] + bucket[valid] for bucket, valid in features(flat, offsets)]
+    key, n = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *keys]), return_counts=True)
+    return (key // np.uint64(BUCKETS)).astype(np.int64), (key % np.uint64(BUCKETS)).astype(np.int64), n
+
+
+def score_blocks(texts: list[str], blocks: Iterable[Model]) -> tuple[list[str], np.ndarray]:
+    """score over the languages of all blocks: the best total, and the posterior among all of them. Of languages with equal totals the first by name wins."""
     n = len(texts)
-    full = np.flatnonzero(np.diff(offsets))
-    found = list(features(flat, offsets)) if len(full) else []
-    grams = np.zeros(n)
-    for _, valid in found:
-        grams[full] += np.add.reduceat(valid.astype(np.float32), offsets[full])
+    row, bucket, times = gram_counts(texts)
+    full, starts = np.unique(row, return_index=True)
+    grams = np.bincount(row, weights=times, minlength=n)
     best, mass, lang = np.full(n, -np.inf), np.zeros(n), np.full(n, "und", dtype=object)
     top = np.full(n, -np.inf)  # mass is the sum of exp(mean - top)
     for langs, log_p in blocks:
         if not langs:
             continue
         total = np.zeros((n, len(langs)))
-        for bucket, valid in found:
-            for k in range(len(langs)):
-                total[full, k] += np.add.reduceat(np.where(valid, log_p[:, k][bucket], np.float32(0)).astype(np.float64), offsets[full])
+        for k in range(0, len(langs), _COLUMNS):  # some columns at a time, so that the products of a long text stay small
+            if len(full):
+                total[full, k : k + _COLUMNS] = np.add.reduceat(log_p[bucket, k : k + _COLUMNS] * times[:, None].astype(np.float64), starts, axis=0)
         mean = total / np.maximum(grams, 1)[:, None] * np.minimum(grams, EVIDENCE)[:, None]
         at = total.argmax(axis=1)
         own, high = total[np.arange(n), at], np.maximum(top, mean.max(axis=1))
@@ -115,18 +125,21 @@ def score_blocks(texts: list[str], blocks: Iterable[Model]) -> tuple[list[str],
     return [k if good else "und" for k, good in zip(lang.tolist(), known, strict=True)], np.where(known, p, 0.0)
 
 
-def train(rows: DataFrame, text_col: str, lang_col: str, most: int = TRAIN_TEXTS) -> list[Model]:
-    """Fit on at most about `most` texts of each language: all of a rare one, of a frequent one those whose text hash is lowest.
+def train(rows: DataFrame, text_col: str, lang_col: str, id_col: str | None = None, most: int = TRAIN_TEXTS) -> list[Model]:
+    """Fit on about `most` texts of each language: all of a rare one, of a frequent one those whose hash of id and text is lowest.
 
-    Every language is learned, in blocks of MOST_LANGUAGES in order; none without labelled texts.
+    Rows that share id (if one is named) and text count once, so no number of copies swells the sample. Every language is learned, in blocks of
+    MOST_LANGUAGES in order; none without labelled texts.
     """
-    labelled = rows.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    own = F.xxhash64(*[F.col(c) for c in (id_col, text_col) if c])
+    labelled = rows.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), own.alias("own"))
     sizes = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return []
     names = sorted(sizes)
     share = rows.sparkSession.createDataFrame([(k, min(1.0, most / sizes[k]), i // MOST_LANGUAGES) for i, k in enumerate(names)], "lang string, share double, block int")
-    chosen = labelled.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.col("share") * 1_000_000).select("lang", "text")
+    chosen = labelled.join(F.broadcast(share), "lang").where(F.pmod("own", F.lit(1_000_000)) < F.col("share") * 1_000_000)
+    chosen = chosen.groupBy("lang", "own").agg(F.min("text").alias("text")).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -195,5 +208,5 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query: learned from rows that aren't held out, applied to all documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = held_out("doc_id", 4, 2)
-    model = train(docs.where(~out), "text", "lang")
+    model = train(docs.where(~out), "text", "lang", "doc_id")
     return identify(docs, "text", model, {"doc_id": F.col("doc_id"), "held_out": out})
