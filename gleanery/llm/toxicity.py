@@ -15,13 +15,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from .common import SLICE_CHARS, slices, text_or_empty
 from .langid import held_out
 from .wordhash import FOLD, U, mix, per_row, range_hash, words
 
-#: Labelled texts that the model is fitted on, at most about.
+#: Labelled texts that the model is fitted on, at most.
 TRAIN_TEXTS = 6_000
 #: Hashed features (the broadcast weights take 4 MB).
 BUCKETS = 1 << 20
@@ -94,17 +94,38 @@ class Model:
         return _sigmoid(self.bias + sums[offsets[1:]] - sums[offsets[:-1]])
 
 
+@dataclass
+class Sample:
+    """Features of the labelled texts, and of the swapped copies of those that name a group (index says which)."""
+
+    label: np.ndarray
+    values: np.ndarray
+    offsets: np.ndarray
+    index: np.ndarray
+    swapped: np.ndarray
+    swapped_offsets: np.ndarray
+
+
+def sample_of(texts: list[str], label: np.ndarray) -> Sample:
+    """The sample of texts at hand."""
+    def many(every: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        parts = [text_features(part) for _, part in chunks(every)]
+        sizes = np.concatenate([np.zeros(1, dtype=np.int64), *[np.diff(o) for _, o in parts]])
+        return np.concatenate([np.zeros(0, dtype=np.int64), *[v for v, _ in parts]]), np.cumsum(sizes)
+
+    index = np.array([i for i, t in enumerate(texts) if _TERM.search(t)], dtype=np.int64)
+    return Sample(np.asarray(label, dtype=np.float64), *many(texts), index, *many([swap_terms(texts[i]) for i in index.tolist()]))
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def choose_features(texts: list[str], label: np.ndarray, most: int) -> np.ndarray:
+def choose_features(sample: Sample, most: int) -> np.ndarray:
     """The buckets whose share among the two classes differs most (a two-proportion z score of at least 4)."""
-    positive, every = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for at, part in chunks(texts):
-        values, offsets = text_features(part)
-        every += np.bincount(values, minlength=BUCKETS)
-        positive += np.bincount(values, weights=np.repeat(label[at : at + len(part)], np.diff(offsets)), minlength=BUCKETS)
+    label = sample.label
+    every = np.bincount(sample.values, minlength=BUCKETS)
+    positive = np.bincount(sample.values, weights=np.repeat(label, np.diff(sample.offsets)), minlength=BUCKETS)
     n1, n0 = max(label.sum(), 1), max((1 - label).sum(), 1)
     share = every / max(len(label), 1)
     z = np.abs(positive / n1 - (every - positive) / n0) / np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n1 + 1 / n0))
@@ -113,40 +134,39 @@ def choose_features(texts: list[str], label: np.ndarray, most: int) -> np.ndarra
     return np.sort(best[z[best] >= 4])
 
 
-def _matrix(texts: list[str], features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _matrix(values: np.ndarray, offsets: np.ndarray, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row and column (place in `features`) of each feature that a text has."""
     column = np.full(BUCKETS, -1, dtype=np.int64)
     column[features] = np.arange(len(features))
-    rows, cols = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-    for at, part in chunks(texts):
-        values, offsets = text_features(part)
-        col = column[values]
-        rows.append(np.repeat(np.arange(at, at + len(part)), np.diff(offsets))[col >= 0])
-        cols.append(col[col >= 0])
-    return np.concatenate(rows), np.concatenate(cols)
+    col = column[values]
+    return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[col >= 0], col[col >= 0]
 
 
 def fit(texts: list[str], label: np.ndarray, base_rate: float | None = None, penalty: float = PENALTY, most: int = FEATURES, rounds: int = 400) -> Model:
+    """fit_sample of texts at hand."""
+    return fit_sample(sample_of(texts, label), base_rate, penalty, most, rounds)
+
+
+def fit_sample(sample: Sample, base_rate: float | None = None, penalty: float = PENALTY, most: int = FEATURES, rounds: int = 400) -> Model:
     """Fit by accelerated full-batch gradient steps; deterministic.
 
-    The loss is the log loss, plus `penalty` times the mean squared difference between the score of a text that names a group
+    The loss is the mean log loss, plus `penalty` times the mean squared difference between the score of a text that names a group
     and that of its swapped copy, plus a little L2. base_rate moves the bias from the sample's share of positives to the table's.
     """
-    label = np.asarray(label, dtype=np.float64)
+    label, index = sample.label, sample.index
     weights = np.zeros(BUCKETS, dtype=np.float32)
     if not len(label):
         return Model(weights, -3.0)
     prior = np.clip(label.mean(), 1e-3, 1 - 1e-3)
     rate = np.clip(prior if base_rate is None else base_rate, 1e-3, 1 - 1e-3)
     shift = np.log(rate / (1 - rate)) - np.log(prior / (1 - prior))
-    features = choose_features(texts, label, most)
+    features = choose_features(sample, most)
     n, k = len(label), len(features)
     w, bias = np.zeros(k), float(np.log(prior / (1 - prior)))
     if not k:
         return Model(weights, float(bias + shift))
-    index = np.array([i for i, t in enumerate(texts) if _TERM.search(t)], dtype=np.int64)
-    rows, cols = _matrix(texts, features)
-    pair_rows, pair_cols = _matrix([swap_terms(texts[i]) for i in index.tolist()], features)
+    rows, cols = _matrix(sample.values, sample.offsets, features)
+    pair_rows, pair_cols = _matrix(sample.swapped, sample.swapped_offsets, features)
     step = 4.0 / (1 + np.bincount(rows, minlength=n).mean() + 2 * penalty * (len(index) > 0))
     seen_w, seen_b = w, bias
     for t in range(1, rounds + 1):
@@ -168,27 +188,43 @@ def fit(texts: list[str], label: np.ndarray, base_rate: float | None = None, pen
     return Model(weights, float(bias + shift))
 
 
-def train(labelled: DataFrame, text_col: str, label_col: str, most: int = TRAIN_TEXTS) -> Model:
-    """Fit on about `most` rows at most, those of the lowest text hash; positive and negative rows each get up to half."""
-    rows = labelled.where(F.col(label_col).isNotNull()).select(text_or_empty(text_col).alias("text"), F.col(label_col).cast("int").alias("label"))
-    sizes = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).where("label in (0, 1)").collect()}
-    parts = [
-        rows.where((F.col("label") == k) & (F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < min(1.0, most / 2 / n) * 1_000_000)) for k, n in sorted(sizes.items())
-    ]
-    texts: list[str] = []
-    label: list[int] = []
-    for part in parts:
-        table = part.toArrow()
-        texts += table["text"].to_pylist()
-        label += table["label"].to_pylist()
-    every = sum(sizes.values())
-    return fit(texts, np.array(label), sizes.get(1, 0) / every if every else None)
+SAMPLE = StructType([StructField("label", IntegerType()), StructField("features", ArrayType(IntegerType())), StructField("swapped", ArrayType(IntegerType()))])
+
+
+def sample_rows(labelled: DataFrame) -> DataFrame:
+    """(label, features, swapped) of (text, label): the buckets of each text, and of its swapped copy where it names a group. Texts stay in their task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            texts = batch.column(0).to_pylist()
+            values, offsets = text_features(texts)
+            own = [values[a:b].astype(np.int32) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            swapped: list[np.ndarray | None] = [text_features([swap_terms(t)])[0].astype(np.int32) if _TERM.search(t) else None for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(own, pa.list_(pa.int32())), pa.array(swapped, pa.list_(pa.int32()))], SAMPLE.fieldNames())
+
+    return labelled.select(text_or_empty("text").alias("text"), F.col("label").cast("int").alias("label")).mapInArrow(run, SAMPLE)
+
+
+def gathered(rows: DataFrame) -> Sample:
+    """The sample that sample_rows makes, on the driver: a few hundred numbers of 4 bytes for each text, in an order of their own."""
+    table = rows.toArrow()
+    made = sorted(
+        ((y, f.values.to_numpy(), None if not s.is_valid else s.values.to_numpy()) for y, f, s in zip(table["label"].to_pylist(), table["features"], table["swapped"], strict=True)),
+        key=lambda r: (r[0], r[1].tobytes()),
+    )
+    index = [i for i, r in enumerate(made) if r[2] is not None]
+
+    def flat(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate([np.zeros(0, dtype=np.int64), *parts]).astype(np.int64), np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int64)
+
+    return Sample(np.array([r[0] for r in made], dtype=np.float64), *flat([r[1] for r in made]), np.array(index, dtype=np.int64), *flat([made[i][2] for i in index]))
 
 
 def score(docs: DataFrame, text_col: str, model: Model, extra: dict[str, Column]) -> DataFrame:
     """`extra` columns of each row of docs, then score (0 to 1) and predicted (score >= 0.5).
 
-    The score looks at the whole text alone; null and empty texts get the model's base rate; an empty table gives no rows.
+    The score looks at the whole text alone; null and empty texts get the model's base rate; rows that are repeated, or have null ids, are scored each on
+    its own; an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS weights: 4 MB
     rows = docs.select(*[c.alias(k) for k, c in extra.items()], text_or_empty(text_col).alias("__text__"))
@@ -203,10 +239,22 @@ def score(docs: DataFrame, text_col: str, model: Model, extra: dict[str, Column]
     return rows.mapInArrow(run, StructType([*rows.schema.fields[:n], StructField("score", DoubleType()), StructField("predicted", IntegerType())]))
 
 
-def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic") -> Model:
-    """The model from labelled rows that aren't held out (crc32 of the id modulo 5 isn't 0)."""
-    kept = labels.select(id_col, label_col).where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col, 5, 0)).dropDuplicates([id_col])
-    return train(docs.select(id_col, "text").join(kept, id_col), "text", label_col)
+def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic", text_col: str = "text", most: int = TRAIN_TEXTS) -> Model:
+    """The model from labelled rows that aren't held out (crc32 of the id modulo 5 isn't 0).
+
+    The sample is chosen by id, from the labels alone: of each label (0, 1) at most `most` / 2 ids, those of the lowest hash. An id with several labels counts as 1 if
+    any of them is; of documents that share an id the least text counts. So at most `most` texts are fitted on, whatever is copied how
+    often, and documents are read once. Null ids, labels other than 0 and 1, and ids without a document take no part.
+    """
+    label = F.max(F.col(label_col).cast("int")).alias("label")
+    known = labels.select(id_col, label_col).where(F.col(id_col).isNotNull() & F.col(label_col).cast("int").isin(0, 1) & ~held_out(id_col, 5, 0)).groupBy(id_col).agg(label)
+    sizes = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    halves = [known.where(F.col("label") == k).orderBy(F.xxhash64(id_col), id_col).limit(most // 2) for k in (0, 1)]
+    ids = halves[0].unionByName(halves[1]).select(F.col(id_col).alias("__id"), "label")
+    found = docs.select(F.col(id_col).alias("__id"), text_or_empty(text_col).alias("text")).join(F.broadcast(ids), "__id")  # at most `most` ids
+    one = found.groupBy("__id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
+    every = sum(sizes.values())
+    return fit_sample(gathered(sample_rows(one)), sizes.get(1, 0) / every if every else None)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
