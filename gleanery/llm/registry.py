@@ -11,7 +11,7 @@ from .quality import OP9_SQL, op9_quality_rules
 from .sentence_spans import op5_sentence_spans
 from .toxicity import op6_toxicity
 from .url_filter import op4_url_filter
-from .warc import op10_warc
+from .warc import OP10_SQL, op10_warc
 
 QUERIES = {
     "op1_bpe": op1_bpe,
@@ -25,4 +25,4 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_warc": op10_warc,
 }
-ORACLES: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op3_ngram_jaccard": OP3_SQL, "op9_quality_rules": OP9_SQL}
+ORACLES: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op3_ngram_jaccard": OP3_SQL, "op9_quality_rules": OP9_SQL, "op10_warc": OP10_SQL}

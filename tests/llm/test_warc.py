@@ -1,7 +1,11 @@
 import base64
 import hashlib
+import io
 import os
 
+import duckdb
+import pytest
+
 from gleanery.llm import warc
 
 
@@ -45,6 +49,54 @@ def test_null_and_repeated_ids(spark):
     assert warc.archive(pages.limit(0), "page_id", "url", "html").collect() == []
 
 
+def test_same_bytes_under_other_settings(spark, tmp_path, odd_texts, monkeypatch):
+    monkeypatch.setattr(warc, "LEAST_SHARD", 20_000)
+    rows = [(i * 7 - 300, f"http://ü.example/{i} x", t) for i, t in enumerate([*odd_texts, *odd_texts[:9]])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    names = []
+    for parts in (3, 11):
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        folder = f"file://{tmp_path}/{parts}"
+        manifest = warc.write(pages.repartition(parts), "page_id", "url", "html", folder).collect()
+        names.append({f: open(f"{tmp_path}/{parts}/{f}", "rb").read() for f in sorted(os.listdir(f"{tmp_path}/{parts}")) if not f.endswith(".crc")})
+        assert len({r.name[:12] for r in manifest}) > 5 and sum(r.records for r in manifest) == len(rows)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert names[0] == names[1]
+    first = next(warc.members(io.BytesIO(names[0]["shard-000000-00000.warc.gz"])))
+    assert b"WARC-Type: warcinfo" in first
+
+
+def test_records():
+    assert warc.target_uri(3, "http://ü.example/a b\r\n%20") == "http://%C3%BC.example/a%20b%0D%0A%20"
+    assert warc.target_uri(3, None) == warc.target_uri(3, "") == "urn:page:3"
+    data = warc.member(warc.info_record("x")) + warc.member(warc.record(1, "u", b"p" * 3_000_000, None)) + warc.member(warc.record(2, "u", b"p" * 3_000_000, 1))
+    got = list(warc.records(io.BytesIO(data)))
+    assert [(f["x-page"], len(p)) for f, p in got] == [("1", 3_000_000), ("2", 0)]
+    assert got[1][0]["warc-refers-to"] == got[0][0]["warc-record-id"]
+    with pytest.raises(ValueError):
+        list(warc.records(io.BytesIO(data[:-9])))
+
+
+def test_a_revisit_of_nothing_fails(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u", "p"), (2, "u", "p"), (3, "u", "q")], "page_id long, url string, html string")
+    folder = f"file://{tmp_path}/w"
+    warc.write(pages, "page_id", "url", "html", folder)
+    assert flat(warc.read(spark, folder), "page") == expect([(1, "p"), (2, "p"), (3, "q")])
+    name = next(f for f in os.listdir(f"{tmp_path}/w") if f.endswith(".gz"))
+    with open(f"{tmp_path}/w/{name}", "wb") as out:
+        out.write(warc.member(warc.record(1, "u", b"p", 2)))
+    with pytest.raises(Exception, match="nothing"):
+        warc.read(spark, folder).collect()
+
+
+def test_sql(spark):
+    d = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{d}/pages.parquet'")
+    names = "page_id, payload_bytes, payload_digest, record_type, refers_to"
+    assert flat(warc.op10_warc(spark, d)) == sorted(con.sql(f"SELECT {names} FROM ({warc.OP10_SQL})").fetchall())
+
+
 def test_query(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet").collect()
     assert flat(warc.op10_warc(spark, sf)) == expect([(p.page_id, p.html) for p in pages])
