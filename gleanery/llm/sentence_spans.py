@@ -8,6 +8,8 @@ A run's first occurrence is the one of the least (document, place). Each task fi
 the others it knows to be repeats. It sends one entry for each hash to the hash's owner, who finds the first of all tasks:
 the rest are repeats too. So a passage that very many documents share costs its owner an entry for each task. Repeats are
 brought together for each document, and the sentences that they cover are cut out of its text.
+
+Runs are told apart by 96 bits, two hashes of independent bases: among n runs some two different ones agree with a chance of about n * n / 2 ** 97.
 """
 
 from __future__ import annotations
@@ -21,8 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .common import buffer_of, keyed, partitions, slices, text_or_empty
-from .wordhash import U, per_row, range_hash, words
+from .common import buffer_of, fresh, keyed, materialize, partitions, size_of, slices, text_or_empty
+from .wordhash import BASE_B, U, per_row, range_hash, words
 
 SENTENCES, WORDS, LONG = 3, 20, 10
 
@@ -30,8 +32,12 @@ _END = np.zeros(256, dtype=bool)
 _END[list(b".!?")] = True
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, *range(9, 14)]] = True
-#: An entry of a message: hash, document, first byte, byte after the last.
-_ENTRY = np.dtype([("hash", "<u8"), ("key", "<i8"), ("start", "<u4"), ("end", "<u4")])
+#: An entry of a message: hash (8 and 4 bytes), document, first byte, bytes.
+_ENTRY = np.dtype([("hash", "<u8"), ("more", "<u4"), ("key", "<i8"), ("start", "<u4"), ("size", "<u4")])
+#: Bytes of text whose runs one owner gets, about, and owners at most.
+_OWNED, _MOST_OWNERS = 32 << 20, 1 << 16
+#: Bits of the filter that keeps documents without repeats from being shuffled: 16 for each with some, within these bounds (16 MB).
+_LEAST_BITS, _MOST_BITS = 1 << 15, 1 << 27
 #: Runs that a task holds before it sends them on.
 _HELD = 2_000_000
 
@@ -56,13 +62,13 @@ def sentences(raw: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def span_runs(raw: bytes, offsets: np.ndarray, least_words: int, least_sentences: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, row, first byte and end byte (within the row) of each run, and the sentences of each row."""
+    """Hash, second hash, row, first byte and end byte (within the row) of each run."""
     begin, row, word_start, hashes = sentences(raw, offsets)
     n, rows = len(row), len(offsets) - 1
     at = per_row(row, rows)
     if not n:
         z = np.zeros(0, dtype=np.int64)
-        return np.zeros(0, dtype=U), z, z, z, np.diff(at)
+        return np.zeros(0, dtype=U), np.zeros(0, dtype=np.uint32), z, z, z
     low, high = at[row], at[row + 1]  # sentences of each one's row
     i = np.arange(n)
     last = np.maximum(i + least_sentences - 1, np.searchsorted(begin, begin[:-1] + least_words, side="left") - 1)
@@ -74,17 +80,26 @@ def span_runs(raw: bytes, offsets: np.ndarray, least_words: int, least_sentences
     r = row[a]
     finish = np.append(word_start, offsets[-1])[begin[b + 1]]
     finish = np.where(b + 1 == at[r + 1], offsets[r + 1], finish)
-    return range_hash(hashes, begin[a], begin[b + 1]), r, word_start[begin[a]] - offsets[r], finish - offsets[r], np.diff(at)
+    more = (range_hash(hashes, begin[a], begin[b + 1], BASE_B) >> U(32)).astype(np.uint32)
+    return range_hash(hashes, begin[a], begin[b + 1]), more, r, word_start[begin[a]] - offsets[r], finish - offsets[r]
 
 
 def _firsts(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Entries in order of (hash, key, start), and which of them come first of their hash."""
-    entries = entries[np.lexsort((entries["start"], entries["key"], entries["hash"]))]
+    entries = entries[np.lexsort((entries["start"], entries["key"], entries["more"], entries["hash"]))]
     first = np.ones(len(entries), dtype=bool)
-    first[1:] = entries["hash"][1:] != entries["hash"][:-1]
+    first[1:] = (entries["hash"][1:] != entries["hash"][:-1]) | (entries["more"][1:] != entries["more"][:-1])
     return entries, first
 
 
+def _known(entries: np.ndarray) -> np.ndarray:
+    """The spans of entries, joined, as entries without a hash."""
+    k, s, e = _spans(entries["key"], entries["start"], entries["start"].astype(np.int64) + entries["size"])
+    known = np.zeros(len(k), dtype=_ENTRY)
+    known["key"], known["start"], known["size"] = k, s, e - s
+    return known
+
+
 def _by(entries: np.ndarray, group: np.ndarray) -> Iterator[tuple[int, bytes]]:
     order = np.argsort(group, kind="stable")
     cuts = np.concatenate(([0], np.flatnonzero(np.diff(group[order])) + 1, [len(order)]))
@@ -121,27 +136,23 @@ def _spans(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
 
 def repeated_spans(docs: DataFrame, key: str, text_col: str, least_words: int = WORDS, least_sentences: int = SENTENCES) -> DataFrame:
     """(key, starts, ends): byte spans of each document that repeats cover, joined; documents without any have no row."""
-    owners = 4 * partitions(docs)
+    owners = max(4 * partitions(docs), min(size_of(docs) // _OWNED, _MOST_OWNERS))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
         def flush() -> pa.RecordBatch:
             entries, first = _firsts(np.concatenate(held))
-            repeat = entries[~first]
-            k, s, e = _spans(repeat["key"], repeat["start"], repeat["end"])
-            known = np.zeros(len(k), dtype=_ENTRY)
-            known["key"], known["start"], known["end"] = k, s, e
-            mine = entries[first]
-            out = [*_by(mine, (mine["hash"] % U(owners)).astype(np.int64)), *((-1 - g, d) for g, d in _by(known, k % owners))]
+            known, mine = _known(entries[~first]), entries[first]
+            out = [*_by(mine, (mine["hash"] % U(owners)).astype(np.int64)), *((-1 - g, d) for g, d in _by(known, known["key"] % owners))]
             return pa.RecordBatch.from_arrays([pa.array([g for g, _ in out], pa.int64()), pa.array([d for _, d in out], pa.binary())], ["owner", "data"])
 
         n = 0
         for batch in slices(batches, "text"):
             raw, offsets = buffer_of(batch.column(1))
-            h, r, s, e, _ = span_runs(raw, offsets, least_words, least_sentences)
+            h, more, r, s, e = span_runs(raw, offsets, least_words, least_sentences)
             entries = np.zeros(len(h), dtype=_ENTRY)
-            entries["hash"], entries["key"], entries["start"], entries["end"] = h, np.asarray(batch.column(0))[r], s, e
+            entries["hash"], entries["more"], entries["key"], entries["start"], entries["size"] = h, more, np.asarray(batch.column(0))[r], s, e - s
             held.append(entries)
             n += len(h)
             if n >= _HELD:
@@ -155,15 +166,13 @@ def repeated_spans(docs: DataFrame, key: str, text_col: str, least_words: int =
         if key[0] >= 0:
             entries, first = _firsts(entries)
             entries = entries[~first]
-        k, s, e = _spans(entries["key"], entries["start"], entries["end"])
-        known = np.zeros(len(k), dtype=_ENTRY)
-        known["key"], known["start"], known["end"] = k, s, e
-        out = list(_by(known, k % owners))
+        known = _known(entries)
+        out = list(_by(known, known["key"] % owners))
         return pd.DataFrame({"place": [g for g, _ in out], "data": [d for _, d in out]}).astype({"place": "int64"})
 
     def bring(_: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        entries = _unpack(pdf["data"])
-        k, s, e = _spans(entries["key"], entries["start"], entries["end"])
+        known = _known(_unpack(pdf["data"]))
+        k, s, e = known["key"], known["start"].astype(np.int64), known["start"].astype(np.int64) + known["size"]
         cuts = np.concatenate(([0], np.flatnonzero(np.diff(k)) + 1, [len(k)]))
         pairs = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if len(k) else []
         return pd.DataFrame({"key": k[cuts[:-1]] if len(k) else k, "starts": [s[x:y] for x, y in pairs], "ends": [e[x:y] for x, y in pairs]})
@@ -174,43 +183,64 @@ def repeated_spans(docs: DataFrame, key: str, text_col: str, least_words: int =
     return repeats.groupBy("place").applyInPandas(bring, "key long, starts array<long>, ends array<long>")
 
 
-def cut(docs: DataFrame, key: str, text_col: str, spans: DataFrame) -> DataFrame:
-    """docs with the spans cut out of text_col, and n_removed, the bytes cut (0 for documents without spans)."""
-    joined = docs.join(spans.hint("shuffle_hash"), docs[key] == spans["key"], "left").drop(spans["key"])
-    names = [*docs.columns, "n_removed"]
-    at = docs.columns.index(text_col)
-
+def with_spans(docs: DataFrame, key: str, spans: DataFrame) -> DataFrame:
+    """docs with starts and ends of their spans (null without any). Documents that surely have none aren't shuffled.
 
+    A filter of at most _MOST_BITS bits, set at the hashes of the keys that have spans, is broadcast; what passes it meets the spans by a join.
+    """
+    n = spans.count()
+    bits = min(max(_LEAST_BITS, 1 << (16 * n).bit_length()), _MOST_BITS)
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits)) + 1
+    at = spans.select(place("key").alias("p"))
+    maps = at.groupBy(F.bitmap_bucket_number("p").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("__bits"))  # 4 kB for each 2 ** 15 bits
+    p = F.bitmap_bit_position(place(key))
+    octet = F.conv(F.hex(F.substring("__bits", (p / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    near = docs.withColumn("__bucket", F.bitmap_bucket_number(place(key))).join(F.broadcast(maps), "__bucket", "left")
+    marked = near.withColumn("__may", F.coalesce(F.getbit(octet.cast("long"), F.pmod(p, F.lit(8)).cast("int")) == 1, F.lit(False))).drop("__bucket", "__bits")
+    own = spans.select(F.col("key").alias("__span_key"), F.col("starts").alias("__starts"), F.col("ends").alias("__ends"))
+    joined = marked.where("__may").drop("__may").join(own, F.col(key) == F.col("__span_key"), "left").drop("__span_key")
+    none = F.lit(None).cast("array<long>")
+    return joined.unionByName(marked.where("not __may").drop("__may").withColumn("__starts", none).withColumn("__ends", none))
+
+
+def cut(docs: DataFrame, key: str, text_col: str, spans: DataFrame, removed: str = "n_removed") -> DataFrame:
+    """docs with the spans cut out of text_col, and the bytes cut in the column `removed` (0 for documents without spans)."""
+    joined = with_spans(docs, key, spans)
+    names = [*docs.columns, removed]
+    at = docs.columns.index(text_col)
     fields = [f if f.name != text_col else StructField(text_col, StringType()) for f in docs.schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text_col):
-            texts, removed = batch.column(at).to_pylist(), []
-            starts, ends = batch.column(len(fields)).to_pylist(), batch.column(len(fields) + 1).to_pylist()
-            for i, (s, e) in enumerate(zip(starts, ends, strict=True)):
-                if s:
-                    raw = texts[i].encode()
-                    keep = [raw[x:y] for x, y in zip([0, *e], [*s, len(raw)], strict=True)]
-                    texts[i] = b"".join(keep).decode()
-                removed.append(sum(e) - sum(s) if s else 0)
+            starts, ends = batch.column(len(fields)), batch.column(len(fields) + 1)
             columns = [*batch.columns[: len(fields)]]
-            columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int64())], names)
+            columns[at] = columns[at].cast(pa.string())
+            n_cut = np.zeros(batch.num_rows, dtype=np.int64)
+            if starts.null_count < batch.num_rows:
+                texts = columns[at].to_pylist()
+                for i, (s, e) in enumerate(zip(starts.to_pylist(), ends.to_pylist(), strict=True)):
+                    if s:
+                        raw = texts[i].encode()
+                        texts[i] = b"".join(raw[x:y] for x, y in zip([0, *e], [*s, len(raw)], strict=True)).decode()
+                        n_cut[i] = sum(e) - sum(s)
+                columns[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(n_cut)], names)
 
-    return joined.mapInArrow(run, StructType([*fields, StructField("n_removed", LongType())]))
+    return joined.mapInArrow(run, StructType([*fields, StructField(removed, LongType())]))
 
 
-def dedup_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """docs, all rows and columns, with repeated spans cut out of text_col, and n_removed (bytes).
+def dedup_spans(docs: DataFrame, id_col: str, text_col: str, removed: str = "n_removed") -> DataFrame:
+    """docs, all rows and columns, with repeated spans cut out of text_col, and the bytes cut in the column `removed`.
 
     The first occurrence, by (id, place), stays. A null text stays null, a text without words as it is; a text that is all repeats becomes empty
     (exact copies but the first). Where ids are null or repeated, rows are told apart by a number in the order of ids (nulls first). An empty
-    table gives no rows. A column of docs that is called n_removed is replaced.
+    table gives no rows. A column of docs that is called as `removed` is replaced.
     """
-    docs = docs.drop("n_removed")
-    numbered, _ = keyed(docs, id_col, "__key", [text_col])
-    spans = repeated_spans(numbered, "__key", text_col)
-    return cut(numbered, "__key", text_col, spans).drop("__key")
+    docs = docs.drop(removed)
+    key = fresh(docs.columns, "__key")
+    numbered, _ = keyed(docs, id_col, key, [text_col])
+    spans = materialize(repeated_spans(numbered, key, text_col))
+    return cut(numbered, key, text_col, spans, removed).drop(key)
 
 
 def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,14 +13,16 @@ U = np.uint64
 BASE_A, BASE_B = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
+#: Values that are summed at one time; the tables of powers are as long, whatever the length of a text.
+BLOCK = 1 << 20
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of base and of its inverse, `size` of them at least; one table for each base, which grows."""
+    """Powers of base and of its inverse, `size` of them at least (BLOCK + 1 at most); one table for each base, which grows."""
 
     def run(b: int) -> np.ndarray:
-        out = np.full(size, b & (2**64 - 1), dtype=U)
+        out = np.full(min(1 << max(16, size.bit_length()), BLOCK + 1), b & (2**64 - 1), dtype=U)
         out[0] = 1
         return np.multiply.accumulate(out)
 
@@ -29,10 +31,6 @@ def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     return _tables[base]
 
 
-def _size(n: int) -> int:
-    return 1 << max(16, int(n).bit_length())
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread all bits (a 64-bit finaliser)."""
     x = x ^ (x >> U(33))
@@ -47,10 +45,32 @@ def range_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: i
     n = len(values)
     if not len(starts):
         return np.zeros(0, dtype=U)
-    power, inverse = _powers(base, _size(n + 1))
-    run = np.zeros(n + 1, dtype=U)
-    np.cumsum((values.astype(U) + U(1)) * power[:n], out=run[1:])
-    return mix((run[ends] - run[starts]) * inverse[starts] + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
+    power, inverse = _powers(base, min(n, BLOCK) + 1)
+    if n <= BLOCK:
+        run = np.zeros(n + 1, dtype=U)
+        np.cumsum((values.astype(U) + U(1)) * power[:n], out=run[1:])
+        total = (run[ends] - run[starts]) * inverse[starts]
+    else:  # the sums at all starts and ends, block by block: base ** (block * BLOCK) and its inverse carry them on
+        places = np.concatenate((starts, ends))
+        order = np.argsort(places, kind="stable")
+        cuts = np.searchsorted(places[order], np.arange(0, n + BLOCK, BLOCK))
+        sums = np.empty(len(places), dtype=U)
+        before, factor = 0, 1
+        step, back = pow(base, BLOCK, 2**64), pow(base, -BLOCK, 2**64)
+        backs = []
+        for k in range(len(cuts) - 1):
+            block = values[k * BLOCK : (k + 1) * BLOCK]
+            run = np.zeros(len(block) + 1, dtype=U)
+            np.cumsum((block.astype(U) + U(1)) * power[: len(block)], out=run[1:])
+            own = order[cuts[k] : cuts[k + 1]]
+            sums[own] = run[places[own] - k * BLOCK] * U(factor) + U(before)
+            before = (before + int(run[-1]) * factor) & (2**64 - 1)
+            factor = factor * step & (2**64 - 1)
+            backs.append(pow(back, k, 2**64))
+        last = order[cuts[-1] :]
+        sums[last] = U(before)  # ends behind the last value
+        total = (sums[len(starts) :] - sums[: len(starts)]) * inverse[starts % BLOCK] * np.array(backs + [0], dtype=U)[starts // BLOCK]
+    return mix(total + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
 
 
 def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -142,7 +142,7 @@ def test_passages_at_any_word_of_a_host():
             at = rng.randrange(len(host))
             texts.append(" ".join(host[:at] + passage + host[at:]).encode())
         raw, offsets = b"".join(texts), np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
-        h, row, start, end, _ = S.span_runs(raw, offsets, S.WORDS, S.SENTENCES)
+        h, _, row, start, end = S.span_runs(raw, offsets, S.WORDS, S.SENTENCES)
         order = np.lexsort((start, row, h))
         again = order[np.concatenate(([False], h[order][1:] == h[order][:-1]))]
         key, a, b = S._spans(row[again], start[again], end[again])
@@ -150,3 +150,42 @@ def test_passages_at_any_word_of_a_host():
         for d in (1, 2):
             shares.append(sum(len(raw[offsets[d] + x : offsets[d] + y].split()) for k, x, y in zip(key, a, b, strict=True) if k == d) / len(passage))
     assert min(shares) > 0.6 and np.mean(shares) > 0.9
+
+
+def test_long_values_hash_as_short_ones(monkeypatch):
+    rng = np.random.default_rng(3)
+    values = rng.integers(0, 256, 5000).astype(np.uint8)
+    starts = rng.integers(0, 5000, 900)
+    ends = np.minimum(starts + rng.integers(0, 3000, 900), 5000)
+    want = wordhash.range_hash(values, starts, ends)
+    monkeypatch.setattr(wordhash, "_tables", {})
+    for block in (64, 1000, 4096, 5000):
+        monkeypatch.setattr(wordhash, "BLOCK", block)
+        assert np.array_equal(wordhash.range_hash(values, starts, ends), want)
+        assert len(wordhash._tables[wordhash.BASE_A][0]) <= block + 1 or block > 4096
+        wordhash._tables.clear()
+
+
+def test_second_hash_tells_runs_apart(spark):
+    entries = np.zeros(3, dtype=S._ENTRY)
+    entries["hash"], entries["more"], entries["key"] = 5, [1, 1, 2], [3, 4, 9]
+    got, first = S._firsts(entries)
+    assert got["key"].tolist() == [3, 4, 9] and first.tolist() == [True, False, True]
+
+
+def test_filter_keeps_all_that_have_spans(spark, monkeypatch):
+    monkeypatch.setattr(S, "_LEAST_BITS", 1 << 6)
+    monkeypatch.setattr(S, "_MOST_BITS", 1 << 8)  # nearly full: all but few pass
+    docs = spark.createDataFrame([(i * 37 - 500, f"t{i}", i) for i in range(900)], "k long, t string, __bits int").drop("__bits")
+    for step in (3, 50):
+        spans = spark.createDataFrame([(i * 37 - 500, [0], [1]) for i in range(0, 900, step)], "key long, starts array<long>, ends array<long>")
+        out = S.with_spans(docs, "k", spans).collect()
+        assert len(out) == 900
+        assert {r.k for r in out if r["__starts"]} == {r.key for r in spans.collect()}
+
+
+def test_column_names(spark):
+    text = " ".join(f"word{i} follows." for i in range(60))
+    docs = spark.createDataFrame([(1, text, 5, 6), (2, text, 7, 8)], "doc_id long, text string, n_removed int, __key int")
+    out = {r.doc_id: r for r in S.dedup_spans(docs, "doc_id", "text", "cut_bytes").collect()}
+    assert out[2].n_removed == 7 and out[2]["__key"] == 8 and out[2].cut_bytes == len(text) and out[1].cut_bytes == 0 and out[2].text == ""
