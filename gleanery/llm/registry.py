@@ -10,7 +10,7 @@ from .packing import op7_packing
 from .quality import OP9_SQL, op9_quality_rules
 from .sentence_spans import op5_sentence_spans
 from .toxicity import op6_toxicity
-from .url_filter import op4_url_filter
+from .url_filter import OP4_SQL, op4_url_filter
 from .warc import OP10_SQL, op10_warc
 
 QUERIES = {
@@ -25,4 +25,4 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_warc": op10_warc,
 }
-ORACLES: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op3_ngram_jaccard": OP3_SQL, "op9_quality_rules": OP9_SQL, "op10_warc": OP10_SQL}
+ORACLES: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op3_ngram_jaccard": OP3_SQL, "op4_url_filter": OP4_SQL, "op9_quality_rules": OP9_SQL, "op10_warc": OP10_SQL}

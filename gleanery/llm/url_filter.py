@@ -44,7 +44,8 @@ def path_of(url: Column) -> Column:
 
 
 def with_rule(rows: DataFrame, rules=RULES) -> DataFrame:
-    """rows with rule (its text, null if none covers the URL) and ruled (allow or block); the longest rule wins."""
+    """rows with rule (its text, null if none covers the URL) and ruled (allow or block); the longest rule wins, of equally long ones the first by
+    (verdict, host, path), so allow before block."""
     chosen = sorted(rules, key=lambda r: (-len(r[1] + r[2]), r))
     rule = verdict = None
     for kind, host, path in chosen:
@@ -65,17 +66,17 @@ def _grams(rows: DataFrame, keep: list[str]) -> DataFrame:
 def learn(labelled: DataFrame) -> list[DataFrame]:
     """For each order a table (g, ratio): log of accepted over rejected probability of a gram's last character after the rest.
 
-    labelled: (text, good). Every gram seen LEAST times or more is in its table, however many there are.
+    labelled: (text, good). Every gram seen LEAST times or more is in its table, however many there are; what follows a context is counted over all grams, rare ones too.
     """
     rows = _grams(labelled.where(F.length("text") > 0), ["good"])
     long = rows.select("good", F.explode(F.array(*[F.col(f"g{n}") for n in range(ORDER + 1)])).alias("g")).where(F.col("g").isNotNull())
     yes, no = F.sum(F.when(F.col("good"), 1).otherwise(0)), F.sum(F.when(F.col("good"), 0).otherwise(1))
-    counts = materialize(long.groupBy("g").agg(yes.alias("a"), no.alias("r")).where(F.col("a") + F.col("r") >= LEAST))
+    counts = materialize(long.groupBy("g").agg(yes.alias("a"), no.alias("r")))
     models: list[DataFrame] = []
     for n in range(ORDER + 1):
         own = counts.where(F.length("g") == n + 1).withColumn("ctx", F.substring("g", 1, n))
         totals = own.groupBy("ctx").agg(F.sum("a").alias("ta"), F.sum("r").alias("tr"))
-        joined = own.join(totals, "ctx")
+        joined = own.where(F.col("a") + F.col("r") >= LEAST).join(totals, "ctx")
         if n:
             lower = models[-1].select(F.col("g").alias("low"), F.col("pa").alias("la"), F.col("pr").alias("lr"))
             joined = joined.withColumn("low", F.expr("substring(g, 2)")).join(lower, "low", "left")
@@ -161,12 +162,12 @@ def judge(pages: DataFrame, id_col: str, url_col: str, rules=RULES) -> DataFrame
 
     A null url, or one without ://, has an empty host and path. URLs without a rule are allowed if their score reaches the calibrated threshold; an empty url scores 0.
     Where the rules leave no example of either kind, every URL without a rule is allowed. Repeated rows and null ids are judged each on its
-    own; other columns are not read; an empty table gives no rows.
+    own (equal URLs alike); other columns are not read; an empty table gives no rows.
     """
     base = pages.select(F.col(id_col).alias("id"), F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("text"))
     rows = with_rule(base.select("id", "text", host_of(F.col("text")).alias("host"), path_of(F.col("text")).alias("path")), rules)
     ruled = rows.where("ruled is not null").select("text", (F.col("ruled") == "allow").alias("good"))
-    unseen = F.crc32(F.col("text").cast("binary")) % 5 == 0  # these calibrate, the rest train
+    unseen = F.conv(F.substring(F.md5(F.col("text").cast("binary")), 1, 8), 16, 10).cast("long") % 5 == 0  # these calibrate, the rest train
     kinds = {r.good for r in ruled.select("good").distinct().collect()}
     keep = ["row", "id", "host", "path", "rule", "ruled"]
     numbered = rows.withColumn("row", F.monotonically_increasing_id())
@@ -186,3 +187,42 @@ def judge(pages: DataFrame, id_col: str, url_col: str, rules=RULES) -> DataFrame
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query over all pages."""
     return judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), "page_id", "url").drop("score")
+
+
+def _op4_sql() -> str:
+    """The query's SQL; its tables m0 to mORDER are the models, lowest order first."""
+    after = "CASE WHEN position('://' IN text) > 0 THEN substring(text, position('://' IN text) + 3) ELSE '' END"
+    fits = lambda h, p: f"((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}'))"
+    ordered = sorted(RULES, key=lambda r: (-len(r[1] + r[2]), r))
+    rule = " ".join(f"WHEN {fits(h, p)} THEN '{h}{p}'" for _, h, p in ordered)
+    ruled = " ".join(f"WHEN {fits(h, p)} THEN '{k}'" for k, h, p in ordered)
+    grams = ", ".join(f"CASE WHEN i > {n} THEN substring(text, (i - {n})::BIGINT, {n + 1}) END AS g{n}" for n in range(ORDER + 1))
+    models = []
+    for n in range(ORDER + 1):
+        low, la, lr = (f"LEFT JOIN m{n - 1} low ON low.g = substring(c.g, 2)", "low.pa", "low.pr") if n else ("", "NULL::DOUBLE", "NULL::DOUBLE")
+        smooth = lambda c, t, x: f"(c.{c} + {SMOOTHING} * coalesce({x}, {1 / ALPHABET!r})) / ({t} + {SMOOTHING})"
+        models.append(
+            f"t{n} AS (SELECT substring(g, 1, {n}) AS ctx, sum(a) AS ta, sum(r) AS tr FROM counts WHERE length(g) = {n + 1} GROUP BY 1),\n"
+            f"m{n} AS (SELECT c.g, ({smooth('a', 'ta', la)})::DOUBLE AS pa, ({smooth('r', 'tr', lr)})::DOUBLE AS pr FROM counts c JOIN t{n} ON ctx = substring(c.g, 1, {n}) {low} WHERE length(c.g) = {n + 1} AND c.a + c.r >= {LEAST}),"
+        )
+    found = " ".join(f"LEFT JOIN m{n} ON m{n}.g = g{n}" for n in range(ORDER + 1))
+    ratio = ", ".join(f"ln(m{n}.pa / m{n}.pr)" for n in reversed(range(ORDER + 1)))
+    half = STEPS // 2
+    return f"""WITH b AS (SELECT row_number() OVER () AS row, page_id, coalesce(url, '') AS text FROM pages),
+h AS (SELECT *, translate(regexp_extract({after}, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract({after}, '^[^/?#]*([^?#]*)', 1) AS path FROM b),
+u AS (SELECT *, CASE {rule} END AS rule, CASE {ruled} END AS ruled, ('0x' || substring(md5(text), 1, 8))::BIGINT % 5 = 0 AS unseen FROM h),
+e AS (SELECT * EXCLUDE (i), {grams} FROM (SELECT *, unnest(range(1, length(text) + 1)) AS i FROM u)),
+l AS (SELECT ruled = 'allow' AS good, unnest([{', '.join(f'g{n}' for n in range(ORDER + 1))}]) AS g FROM e WHERE ruled IS NOT NULL AND NOT unseen),
+counts AS (SELECT g, count(*) FILTER (WHERE good) AS a, count(*) FILTER (WHERE NOT good) AS r FROM l WHERE g IS NOT NULL GROUP BY g),
+{chr(10).join(models)}
+s AS (SELECT row, avg(coalesce({ratio}, 0.0)) AS score FROM e {found} GROUP BY row),
+x AS (SELECT ruled = 'allow' AS good, floor(least(greatest(score, -2.0), 2.0) * {STEPS / 4})::INT AS step FROM u JOIN s USING (row) WHERE ruled IS NOT NULL AND unseen),
+z AS (SELECT count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE NOT good) AS bad FROM x),
+y AS (SELECT k.step, round((z.good - (SELECT count(*) FROM x WHERE x.good AND x.step < k.step)) / z.good + (SELECT count(*) FROM x WHERE NOT x.good AND x.step < k.step) / z.bad, 12) AS balanced FROM (SELECT unnest(range({-half}, {half + 2})) AS step) k, z WHERE z.good > 0 AND z.bad > 0),
+v AS (SELECT list(step ORDER BY step) AS best FROM y WHERE balanced = (SELECT max(balanced) FROM y)),
+d AS (SELECT coalesce(best[len(best) // 2 + 1] * 4 / {STEPS}, 0.0) AS threshold, (SELECT count(DISTINCT ruled) FROM u) = 2 AS fitted FROM v)
+SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN (CASE WHEN fitted THEN coalesce(score, 0.0) ELSE 0.0 END) >= (CASE WHEN fitted THEN threshold ELSE 0.0 END) THEN 'allow' ELSE 'block' END) AS verdict
+FROM u LEFT JOIN s USING (row), d"""
+
+
+OP4_SQL = _op4_sql()

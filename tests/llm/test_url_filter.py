@@ -1,9 +1,11 @@
+import hashlib
 import math
 import random
 import re
-import zlib
 from collections import Counter
 
+import duckdb
+
 from gleanery.llm import url_filter as U
 
 
@@ -25,10 +27,14 @@ def rule_of(host, path):
     return best
 
 
+def unseen(u):
+    return int(hashlib.md5(u.encode()).hexdigest()[:8], 16) % 5 == 0
+
+
 def brute(urls):
     ruled = [(u or "", rule_of(*parts(u))) for u in urls]
-    train = [(u, r[1] == "allow") for u, r in ruled if r and zlib.crc32(u.encode()) % 5]
-    check = [(u, r[1] == "allow") for u, r in ruled if r and zlib.crc32(u.encode()) % 5 == 0]
+    train = [(u, r[1] == "allow") for u, r in ruled if r and not unseen(u)]
+    check = [(u, r[1] == "allow") for u, r in ruled if r and unseen(u)]
     if len({r[1] for _, r in ruled if r}) < 2:
         return [(r[0] if r else None, r[1] if r else "allow") for _, r in ruled]
     n = [Counter(), Counter()]
@@ -39,7 +45,7 @@ def brute(urls):
                     n[good][u[i - k : i + 1]] += 1
     kept = {g for g in n[0] | n[1] if n[0][g] + n[1][g] >= U.LEAST}
     totals = [Counter(), Counter()]
-    for g in kept:
+    for g in n[0] | n[1]:
         for c in (0, 1):
             totals[c][len(g), g[:-1]] += n[c][g]
 
@@ -81,6 +87,16 @@ def test_query_against_brute_force(spark):
     assert len({r.verdict for r in got.values() if r.rule is None}) == 2
 
 
+def test_sql(spark):
+    for sf in ("sf0.001", "sf0.01"):
+        d = f"/root/testdata/{sf}"
+        con = duckdb.connect()
+        con.sql(f"CREATE VIEW pages AS SELECT * FROM '{d}/pages.parquet'")
+        names = "page_id, host, path, rule, verdict"
+        want = sorted(map(str, con.sql(f"SELECT {names} FROM ({U.OP4_SQL})").fetchall()))
+        assert sorted(str(tuple(r)) for r in U.op4_url_filter(spark, d).selectExpr(*names.split(", ")).collect()) == want
+
+
 def test_odd_urls(spark):
     urls = [None, "", "nothing", "http://", "HTTP://WWW.Example.NET/en/x?y#z", "http://net", "http://net/", "http://anet/", "a://b://org/fr/", "http://é.org/fr/\nx", "http://x.org/fr", "http://example.com?/de/"]
     rows = [(None if i % 3 == 0 else i, u, "h") for i, u in enumerate(urls)] * 2
