@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from .common import checkpoint_dir, materialize, slices, text_or_empty
+from .common import checkpoint_dir, materialize, pieces, slices, text_or_empty
 from .lexicon import Lexicon, compile_lexicon
 from .pretokens import Encoder, Vocabulary, gather
 from .wordhash import range_hash
@@ -61,19 +61,20 @@ def count_words(docs: DataFrame, text_col: str, path: str) -> DataFrame:
         held = 0  # characters in seen: words without blanks between them can be long
 
         for batch in slices(batches, "text"):
-            _, points, starts, ends, _ = encoder.segmented(batch.column(0).to_pylist())
-            if not len(starts):
-                continue
-            _, first, n = np.unique(range_hash(points, starts, ends), return_index=True, return_counts=True)
-            chars = points.astype("<u4").tobytes()
-            for a, b, k in zip(starts[first].tolist(), ends[first].tolist(), n.tolist(), strict=True):
-                word = chars[4 * a : 4 * b]  # UTF-32
-                held += 0 if word in seen else b - a
-                seen[word] += k
-            if len(seen) > 1_000_000 or held > 20_000_000:
-                yield _word_rows(seen)
-                seen.clear()
-                held = 0
+            for _, group in pieces(batch.column(0).to_pylist()):
+                _, points, starts, ends, _ = encoder.segmented(group)
+                if not len(starts):
+                    continue
+                _, first, n = np.unique(range_hash(points, starts, ends), return_index=True, return_counts=True)
+                chars = points.astype("<u4").tobytes()
+                for a, b, k in zip(starts[first].tolist(), ends[first].tolist(), n.tolist(), strict=True):
+                    word = chars[4 * a : 4 * b]  # UTF-32
+                    held += 0 if word in seen else b - a
+                    seen[word] += k
+                if len(seen) > 1_000_000 or held > 20_000_000:
+                    yield _word_rows(seen)
+                    seen.clear()
+                    held = 0
         yield _word_rows(seen)
 
     return docs.select(text_or_empty(text_col).alias("text")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -90,6 +91,39 @@ def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+_BETWEEN_WORDS = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
+
+
+def windows(text: str, most: int = SLICE_CHARS) -> list[str]:
+    """The text in pieces of about `most` characters, cut before a blank between two ASCII letters or digits, where no word or pre-token goes on. A stretch
+    without such a blank stays whole."""
+    out, start = [], 0
+    while len(text) - start > most:
+        found = _BETWEEN_WORDS.search(text, start + most)
+        if not found:
+            break
+        out.append(text[start : found.start()])
+        start = found.start()
+    return [*out, text[start:]]
+
+
+def pieces(texts: list[str], most: int = SLICE_CHARS) -> Iterator[tuple[list[int], list[str]]]:
+    """The windows of all texts in groups of about `most` characters, with the place of each one's text."""
+    rows: list[int] = []
+    group: list[str] = []
+    size = 0
+    for i, text in enumerate(texts):
+        for piece in windows(text, most) if len(text) > most else [text]:
+            if size and size + len(piece) > most:
+                yield rows, group
+                rows, group, size = [], [], 0
+            rows.append(i)
+            group.append(piece)
+            size += len(piece)
+    if group:
+        yield rows, group
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, chars: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into pieces of about `chars` bytes of text (one long text stays whole)."""
     for batch in batches:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, slices
+from .common import SLICE_CHARS, materialize, slices
 
 #: Languages in order and log probabilities (buckets x languages).
 Model = tuple[list[str], np.ndarray]
@@ -27,8 +27,7 @@ _COLUMNS = 8
 EVIDENCE = 50.0
 
 
-def _points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    lower = [t.lower() for t in texts]
+def _points(lower: list[str]) -> tuple[np.ndarray, np.ndarray]:
     flat = np.frombuffer("".join(lower).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     return flat, np.concatenate(([0], np.cumsum([len(t) for t in lower]))).astype(np.int64)
 
@@ -65,12 +64,8 @@ def features(flat: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray
 
 def count(texts: list[str]) -> np.ndarray:
     """Counts of all buckets over these texts."""
-    out = np.zeros(BUCKETS, dtype=np.int64)
-    flat, offsets = _points(texts)
-    if len(flat):
-        for bucket, valid in features(flat, offsets):
-            out += np.bincount(bucket[valid], minlength=BUCKETS)
-    return out
+    _, bucket, n = gram_counts(texts)
+    return np.bincount(bucket, weights=n, minlength=BUCKETS).astype(np.int64)
 
 
 def fit(counts: dict[str, np.ndarray], alpha: float = 0.5) -> tuple[list[str], np.ndarray]:
@@ -87,14 +82,42 @@ def score(texts: list[str], langs: list[str], log_p: np.ndarray) -> tuple[list[s
     return score_blocks(texts, [(langs, log_p)])
 
 
+def _stretches(texts: list[str]) -> Iterator[tuple[list[int], list[int], list[str]]]:
+    """Lower-case texts in stretches of about SLICE_CHARS characters, in groups as long: the place of each one's text, and how many characters it repeats
+    of the stretch before, so that n-grams across the cut are there once."""
+    rows: list[int] = []
+    skips: list[int] = []
+    group: list[str] = []
+    size = 0
+    for i, text in enumerate(texts):
+        low = text.lower()
+        for start in range(0, len(low), SLICE_CHARS):
+            skip = min(start, max(ORDERS) - 1)
+            if size >= SLICE_CHARS:
+                yield rows, skips, group
+                rows, skips, group, size = [], [], [], 0
+            rows.append(i)
+            skips.append(skip)
+            group.append(low[start - skip : start + SLICE_CHARS])
+            size += len(group[-1])
+    if group:
+        yield rows, skips, group
+
+
 def gram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sparse counts of texts: row, bucket and count of each distinct (row, bucket), sorted."""
-    flat, offsets = _points(texts)
-    keys: list[np.ndarray] = []
-    if len(flat):
-        row = np.repeat(np.arange(len(texts), dtype=np.uint64) * np.uint64(BUCKETS), np.diff(offsets))
-        keys = [row[valid] + bucket[valid] for bucket, valid in features(flat, offsets)]
-    key, n = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *keys]), return_counts=True)
+    keys, counts = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
+    for rows, skips, group in _stretches(texts):
+        flat, offsets = _points(group)
+        row = np.repeat(np.array(rows, dtype=np.uint64) * np.uint64(BUCKETS), np.diff(offsets))
+        fresh = np.ones(len(flat), dtype=bool)
+        for at, skip in zip(offsets.tolist(), skips, strict=False):
+            fresh[at : at + skip] = False
+        key, n = np.unique(np.concatenate([row[own] + bucket[own] for bucket, valid in features(flat, offsets) for own in [valid & fresh]]), return_counts=True)
+        keys.append(key)
+        counts.append(n)
+    key, back = np.unique(np.concatenate(keys), return_inverse=True)
+    n = np.bincount(back, weights=np.concatenate(counts), minlength=len(key)).astype(np.int64)
     return (key // np.uint64(BUCKETS)).astype(np.int64), (key % np.uint64(BUCKETS)).astype(np.int64), n
 
 

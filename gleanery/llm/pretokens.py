@@ -14,6 +14,7 @@ import unicodedata
 import numpy as np
 from tokenizers import Regex, Tokenizer, normalizers, pre_tokenizers
 
+from .common import pieces
 from .wordhash import BASE_A, BASE_B, U, range_hash
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
@@ -269,7 +270,15 @@ class Encoder:
         return fit, points, starts[order], ends[order], np.searchsorted(offsets, starts[order], side="right") - 1
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids and row offsets."""
+        """Flat ids and row offsets. Long texts go through in windows, which are cut where every pre-token ends."""
+        parts, per = [np.zeros(0, dtype=np.uint32)], np.zeros(len(texts), dtype=np.int64)
+        for rows, group in pieces(texts):
+            ids, offsets = self._encode(group)
+            parts.append(ids)
+            np.add.at(per, rows, np.diff(offsets))
+        return np.concatenate(parts), np.concatenate(([0], np.cumsum(per))).astype(np.int64)
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         fit, points, starts, ends, row = self.segmented(texts)
         if len(starts):
             at, count = self.memo.look_up(points, starts, ends)

@@ -200,33 +200,32 @@ def with_spans(docs: DataFrame, key: str, spans: DataFrame) -> DataFrame:
     own = spans.select(F.col("key").alias("__span_key"), F.col("starts").alias("__starts"), F.col("ends").alias("__ends"))
     joined = marked.where("__may").drop("__may").join(own, F.col(key) == F.col("__span_key"), "left").drop("__span_key")
     none = F.lit(None).cast("array<long>")
-    return joined.unionByName(marked.where("not __may").drop("__may").withColumn("__starts", none).withColumn("__ends", none))
+    return joined.union(marked.where("not __may").drop("__may").withColumn("__starts", none).withColumn("__ends", none))
 
 
 def cut(docs: DataFrame, key: str, text_col: str, spans: DataFrame, removed: str = "n_removed") -> DataFrame:
     """docs with the spans cut out of text_col, and the bytes cut in the column `removed` (0 for documents without spans)."""
-    joined = with_spans(docs, key, spans)
-    names = [*docs.columns, removed]
-    at = docs.columns.index(text_col)
-    fields = [f if f.name != text_col else StructField(text_col, StringType()) for f in docs.schema.fields]
+    rest = [c for c in docs.columns if c != text_col]
+    joined = with_spans(docs, key, spans).select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("__rest"), F.col(f"`{text_col}`").cast("string").alias("__text"), "__starts", "__ends")
+    names = ["__rest", "__text", "__removed"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text_col):
-            starts, ends = batch.column(len(fields)), batch.column(len(fields) + 1)
-            columns = [*batch.columns[: len(fields)]]
-            columns[at] = columns[at].cast(pa.string())
+        for batch in slices(batches, "__text"):
+            column, starts, ends = batch.column(1), batch.column(2), batch.column(3)
             n_cut = np.zeros(batch.num_rows, dtype=np.int64)
             if starts.null_count < batch.num_rows:
-                texts = columns[at].to_pylist()
+                texts = column.to_pylist()
                 for i, (s, e) in enumerate(zip(starts.to_pylist(), ends.to_pylist(), strict=True)):
                     if s:
                         raw = texts[i].encode()
                         texts[i] = b"".join(raw[x:y] for x, y in zip([0, *e], [*s, len(raw)], strict=True)).decode()
                         n_cut[i] = sum(e) - sum(s)
-                columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n_cut)], names)
+                column = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), column.cast(pa.string()), pa.array(n_cut)], names)
 
-    return joined.mapInArrow(run, StructType([*fields, StructField(removed, LongType())]))
+    out = joined.mapInArrow(run, StructType([joined.schema["__rest"], StructField("__text", StringType()), StructField("__removed", LongType())]))
+    columns = [F.col("__text").alias(c) if c == text_col else F.col("__rest").getField(c).alias(c) for c in docs.columns]
+    return out.select(*columns, F.col("__removed").alias(removed))
 
 
 def dedup_spans(docs: DataFrame, id_col: str, text_col: str, removed: str = "n_removed") -> DataFrame:

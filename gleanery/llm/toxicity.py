@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from .common import SLICE_CHARS, slices, text_or_empty
+from .common import pieces, slices, text_or_empty
 from .langid import held_out
 from .wordhash import FOLD, U, mix, per_row, range_hash, words
 
@@ -55,32 +55,25 @@ def swap_terms(text: str) -> str:
     return _TERM.sub(lambda m: _SWAP[m[0].lower()], text)
 
 
-def text_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashed features of each text, sorted: flat values below BUCKETS and row offsets."""
+def _features(rows: list[int], texts: list[str]) -> np.ndarray:
+    """Distinct (row, hashed feature) of the texts, as one number each."""
     raws = [t.encode("utf-8", "surrogatepass") for t in texts]
     offsets = np.concatenate(([0], np.cumsum([len(r) for r in raws]))).astype(np.int64)
     raw = b"".join(raws)
     starts, ends, row, whole = words(raw, offsets)
-    flat, rows = [whole], [row]
+    flat, at = [whole], [row]
     folded = np.frombuffer(raw.translate(FOLD), dtype=np.uint8)
     for n in PREFIXES:
         long = np.flatnonzero(ends - starts > n)
         flat.append(mix(range_hash(folded, starts[long], starts[long] + n) + U(n)))
-        rows.append(row[long])
-    both = np.unique((np.concatenate(rows).astype(U) << U(32)) | (np.concatenate(flat) & U(BUCKETS - 1)))
-    return (both & U(0xFFFFFFFF)).astype(np.int64), per_row((both >> U(32)).astype(np.int64), len(texts))
+        at.append(row[long])
+    return np.unique((np.array(rows, dtype=U)[np.concatenate(at)] << U(32)) | (np.concatenate(flat) & U(BUCKETS - 1)))
 
 
-def chunks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
-    """Pieces of about SLICE_CHARS characters with the place of their first text."""
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > SLICE_CHARS:
-            yield start, texts[start:i]
-            start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield start, texts[start:]
+def text_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashed features of each text, sorted: flat values below BUCKETS and row offsets. Long texts go through in windows."""
+    both = np.unique(np.concatenate([np.zeros(0, dtype=U), *[_features(rows, group) for rows, group in pieces(texts)]]))
+    return (both & U(0xFFFFFFFF)).astype(np.int64), per_row((both >> U(32)).astype(np.int64), len(texts))
 
 
 @dataclass
@@ -108,13 +101,8 @@ class Sample:
 
 def sample_of(texts: list[str], label: np.ndarray) -> Sample:
     """The sample of texts at hand."""
-    def many(every: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        parts = [text_features(part) for _, part in chunks(every)]
-        sizes = np.concatenate([np.zeros(1, dtype=np.int64), *[np.diff(o) for _, o in parts]])
-        return np.concatenate([np.zeros(0, dtype=np.int64), *[v for v, _ in parts]]), np.cumsum(sizes)
-
     index = np.array([i for i, t in enumerate(texts) if _TERM.search(t)], dtype=np.int64)
-    return Sample(np.asarray(label, dtype=np.float64), *many(texts), index, *many([swap_terms(texts[i]) for i in index.tolist()]))
+    return Sample(np.asarray(label, dtype=np.float64), *text_features(texts), index, *text_features([swap_terms(texts[i]) for i in index.tolist()]))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:

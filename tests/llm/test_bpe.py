@@ -4,7 +4,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from gleanery.llm import bpe, lexicon, pretokens
+from gleanery.llm import bpe, common, lexicon, pretokens
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -39,6 +39,19 @@ def test_encoder_matches_library(odd_texts, name, words):
         assert ids[off[i] : off[i + 1]].tolist() == v.whole(t), t[:60]
 
 
+@pytest.mark.parametrize("name, words", [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
+def test_long_texts_in_windows_match_library(odd_texts, name, words, monkeypatch):
+    v = pretokens.Vocabulary(public_tokenizers.path(name), words)
+    texts = ["", " ".join(t for t in odd_texts if t and len(t) < 400), "x" * 3_000, "a b" * 900, "", "é à " * 300 + " a  b <|endoftext|> a b c", "don't do it's " * 90]
+    monkeypatch.setattr(pretokens, "pieces", lambda t: common.pieces(t, 57))
+    assert sum(len(g) for _, g in common.pieces(texts, 57)) > 60
+    ids, off = pretokens.Encoder(v).encode(texts)
+    assert len(off) == len(texts) + 1
+    for i, t in enumerate(texts):
+        assert ids[off[i] : off[i + 1]].tolist() == v.whole(t), t[:60]
+    assert all("".join(common.windows(t, 5)) == t for t in texts)
+
+
 def test_every_text_is_counted_and_segmented(spark, monkeypatch):
     texts = ["日本 日本", "😀 a", "a<|endoftext|> a", "<|endoftext|><|endoftext|>x  ", "a  <|endoftext|>\n b", "𠀀x\u3000y １２", "\U000e0041a\U00100000", "plain 日本"]
     v = pretokens.Vocabulary(PATH, False)

@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from gleanery.llm import langid, toxicity
+from gleanery.llm import common, langid, toxicity
 
 
 def test_language_held_out(spark):
@@ -198,3 +198,13 @@ def test_toxicity_against_plain_sums():
         moved = model.weights.copy()
         moved[used] += rng.normal(0, 0.05, len(used)).astype(np.float32)
         assert loss(moved, model.bias) > best - 1e-3
+
+
+def test_long_texts_in_windows(odd_texts, monkeypatch):
+    texts = [t or "" for t in odd_texts]
+    whole = langid.gram_counts(texts), toxicity.text_features(texts)
+    monkeypatch.setattr(langid, "SLICE_CHARS", 11)
+    monkeypatch.setattr(toxicity, "pieces", lambda t: common.pieces(t, 23))
+    cut = langid.gram_counts(texts), toxicity.text_features(texts)
+    for a, b in zip(whole[0] + whole[1], cut[0] + cut[1], strict=True):
+        assert np.array_equal(a, b)

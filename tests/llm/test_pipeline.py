@@ -49,3 +49,29 @@ def test_stages_on_empty_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
     for _, stage in P.STAGES:
         assert stage(spark, docs, sf).count() == 0
+
+
+def test_stages_on_odd_rows(spark, sf, odd_texts):
+    """Null and repeated ids, repeated rows, a very long text and columns that carry the operators' own names."""
+    base = [(None if i % 6 == 0 else i // 2, t, "en", "s", len(t or "")) for i, t in enumerate(odd_texts[:120])]
+    long = " ".join(f"word{i % 9973} goes on." if i % 7 else f"word{i}" for i in range(150_000))
+    rows = [*base, *base[:10], (7, long, "en", "s", len(long)), (8, long + " and more", "en", "s", len(long) + 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").selectExpr(
+        "*", "1 AS __key", "2 AS key", "3 AS n_removed", "4 AS score", "'x' AS __row__", "5 AS label", "6 AS __starts2", "7 AS suspect", "8 AS `dotted.name`"
+    ).repartition(5)
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert out.schema == docs.schema or [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in docs.schema], name
+        got = out.collect()
+        assert {tuple(r)[5:] for r in got} == {(1, 2, 3, 4, "x", 5, 6, 7, 8)}
+        if name == "toxicity":
+            assert sum(r.text is None for r in got) == sum(t[1] is None for t in rows)
+        elif name == "exact dedup":
+            assert len(got) == len({(r[1] or "").encode().lower() for r in rows})
+        elif name == "n-gram Jaccard join":
+            texts = [r[1] for r in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))]
+            assert len(got) == len(set(near_brute([t if len(t or "") < 10**6 else t[:2000] for t in texts])[0]))
+        else:
+            assert len(got) == len(rows)
+    pieces = P.pack_sequences(spark, docs, sf).collect()
+    assert sum(p.piece == 0 for p in pieces) == len(rows)
