@@ -42,6 +42,8 @@ PART_WISH, PARTS_WISHED, PART_TEXTS, PART_SHINGLES = 128, 8, 4_096, 2_000_000
 _STRIP, _COLUMNS = 512, 4_096
 #: Texts of small tiles that are read together.
 _SMALL = 256
+#: Members of blocks whose tiles one task gets, about.
+_DEALT = 50_000
 #: Prefix entries of one owner, about.
 _OWNED = 4_000_000
 
@@ -274,7 +276,7 @@ def verify(members: DataFrame, docs: DataFrame, key: str, text_col: str, num: in
     """(key, linked, root, whole): weight of verified partners and the least partner reached, for each member and tile.
 
     members: (key, block, copies, n). A block is cut into parts, whose number grows with its texts and shingles; each pair of parts is a tile. Whole says that
-    the block had one part, so that root is final. Tiles are dealt out by (block, a, b) and read one after the other, so a task holds one tile at a time.
+    the block had one part, so that root is final. Tiles are dealt out evenly and read one after the other, so a task holds one tile at a time.
     """
     sizes = members.groupBy("block").agg(F.count("*").alias("texts"), F.sum("n").alias("shingles"))
     wished = F.least(F.lit(PARTS_WISHED), F.ceil(F.col("texts") / PART_WISH))
@@ -285,7 +287,10 @@ def verify(members: DataFrame, docs: DataFrame, key: str, text_col: str, num: in
     dealt = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "block", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "key", "copies", "own", "parts", "text"
     )
-    tiles = dealt.repartition("block", "a", "b").sortWithinPartitions("block", "a", "b", "key")
+    # neighbouring tiles of a block go to neighbouring partitions, so no two of a large block's meet by chance
+    groups = groups_for(docs, n_members, _DEALT)
+    place = F.pmod(F.xxhash64("block") + F.col("a") * F.col("parts") + F.col("b"), F.lit(groups)).cast("int")
+    tiles = dealt.repartitionById(groups, place).sortWithinPartitions("block", "a", "b", "key")
 
     def cuts_of(batch: pa.RecordBatch | pa.Table) -> np.ndarray:
         ident = np.stack([np.asarray(batch.column(i)).astype(np.int64) for i in range(3)], axis=1)
