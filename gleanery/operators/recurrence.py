@@ -1,7 +1,9 @@
-"""Recurrence: schedule texts to Specs in one vectorised UDF over distinct texts, Specs to dates natively."""
+"""Recurrence: schedule texts to Specs in one vectorised UDF that parses each distinct text once, Specs to dates natively."""
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Iterator
 from datetime import date
 
 import pandas as pd
@@ -28,90 +30,101 @@ SPEC = StructType(
 )
 
 
+#: Distinct texts whose specs a worker remembers.
+_REMEMBERED = 100_000
+
+
+def _spec_row(spec: schedule.Spec | None, reason: str) -> tuple:
+    if spec is None:
+        return (None,) * 10 + (reason,)
+    m1, m2 = spec.months or (None, None)
+    return spec.kind, [{"dow": d, "begin": a, "finish": b} for d, a, b in spec.slots], spec.nth, spec.start, spec.end, m1, m2, spec.year, spec.periods, spec.label, ""
+
+
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    out = pd.DataFrame(rows, columns=SPEC.fieldNames())
+    for c in ("nth", "m1", "m2", "year", "periods"):
+        out[c] = out[c].astype("Int32")
+    return out
+
+
 def spec_of(texts: DataFrame, text_col: str, today: str, loose: bool = True) -> DataFrame:
-    """texts with a spec column; each distinct text is parsed once."""
+    """texts with a spec column. A worker parses each distinct text once, so nothing is shuffled and no text is hot."""
     day = date.fromisoformat(today)
 
     @F.pandas_udf(SPEC)
-    def parse(values: pd.Series) -> pd.DataFrame:
-        rows = []
-        for v in values:
-            s, reason = schedule.parse(v or "", day, loose)
-            if s is None:
-                rows.append((None, None, None, None, None, None, None, None, None, None, reason))
-            else:
-                m1, m2 = s.months or (None, None)
-                rows.append((s.kind, [{"dow": d, "begin": a, "finish": b} for d, a, b in s.slots], s.nth, s.start, s.end, m1, m2, s.year, s.periods, s.label, ""))
-        out = pd.DataFrame(rows, columns=SPEC.fieldNames())
-        for c in ("nth", "m1", "m2", "year", "periods"):
-            out[c] = out[c].astype("Int32")
-        return out
-
-    distinct = texts.select(text_col).distinct().withColumn("spec", parse(text_col))
-    return texts.join(distinct.select(F.col(text_col).alias("__t"), "spec"), F.col(text_col).eqNullSafe(F.col("__t")), "left").drop("__t")
-
-
-def _days(today: Column, spec: str) -> Column:
+    def parse(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        one = functools.lru_cache(_REMEMBERED)(lambda t: _spec_row(*schedule.parse(t, day, loose)))
+        for values in batches:
+            yield _frame([one(v or "") for v in values])
+
+    return texts.withColumn("spec", parse(text_col))
+
+
+def spec_of_row(rows: DataFrame, texts: list[str], name: str | None, today: str) -> DataFrame:
+    """rows with a spec column: that of the first of the texts that yields one, the last read loosely, else the hint of the name."""
+    day = date.fromisoformat(today)
+
+    @F.pandas_udf(SPEC)
+    def build(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        one = functools.lru_cache(_REMEMBERED)(lambda title, *said: _spec_row(*schedule.build(list(said), title, day)))
+        for columns in batches:
+            yield _frame([one(*values) for values in zip(*columns, strict=True)])
+
+    title = F.coalesce(F.col(name), F.lit("")) if name else F.lit("")
+    return rows.withColumn("spec", build(title, *[F.coalesce(F.col(t), F.lit("")) for t in texts]))
+
+
+def _days(today: Column, s: Column, dow: Column) -> Column:
     """Days on which a slot of the spec may fall, before its bounds are applied."""
-    s = lambda f: F.col(f"{spec}.{f}")
-    dow = F.col("__slot.dow")
     next_day = lambda d: F.date_add(d, F.pmod(dow - F.weekday(d), F.lit(7)).cast("int"))
     weekly = F.sequence(next_day(today), F.date_add(today, schedule.WEEKLY_DAYS), F.expr("interval 7 days"))
-    anchored = F.transform(F.sequence(F.lit(0), F.lit(12)), lambda k: F.date_add(next_day(s("start")), k * 14))
+    anchored = F.transform(F.sequence(F.lit(0), F.lit(12)), lambda k: F.date_add(next_day(s["start"]), k * 14))
     odd = F.pmod(F.floor(F.datediff(next_day(today), F.lit(schedule.EPOCH)) / 7), F.lit(2))
     parity = F.sequence(F.date_add(next_day(today), (odd * 7).cast("int")), F.date_add(today, schedule.FORTNIGHT_DAYS + 7), F.expr("interval 14 days"))
     horizon = F.date_add(today, schedule.FORTNIGHT_DAYS)
     months = F.transform(F.sequence(F.lit(0), F.lit(schedule.MONTHLY_MONTHS - 1)), lambda k: F.add_months(F.trunc(today, "month"), k))
     nth = F.filter(
-        F.transform(months, lambda m: F.date_add(F.date_add(m, F.pmod(dow - F.weekday(m), F.lit(7)).cast("int")), ((s("nth") - 1) * 7).cast("int"))),
-        lambda d: (s("nth") < 5) | (F.day(d) > 28),
+        F.transform(months, lambda m: F.date_add(F.date_add(m, F.pmod(dow - F.weekday(m), F.lit(7)).cast("int")), ((s["nth"] - 1) * 7).cast("int"))),
+        lambda d: (s["nth"] < 5) | (F.day(d) > 28),
     )
     return (
-        F.when(s("kind") == "once", F.array(s("start")))
-        .when(s("kind") == "weekly", weekly)
-        .when((s("kind") == "fortnightly") & s("start").isNotNull(), anchored)
-        .when(s("kind") == "fortnightly", F.filter(parity, lambda d: d <= horizon))
-        .when(s("kind") == "monthly", nth)
+        F.when(s["kind"] == "once", F.array(s["start"]))
+        .when(s["kind"] == "weekly", weekly)
+        .when((s["kind"] == "fortnightly") & s["start"].isNotNull(), anchored)
+        .when(s["kind"] == "fortnightly", F.filter(parity, lambda d: d <= horizon))
+        .when(s["kind"] == "monthly", nth)
         .otherwise(F.array().cast("array<date>"))
     )
 
 
 def expand(rows: DataFrame, keys: list[str], today: str, spec: str = "spec") -> DataFrame:
-    """(keys, day, begin): the dates of each row's spec from today on, within its bounds, MOST at most. Rows without a spec give none."""
-    now = F.lit(today).cast("date")
-    s = lambda f: F.col(f"{spec}.{f}")
-    slots = rows.where(s("kind").isNotNull()).select(*keys, spec, F.explode(f"{spec}.slots").alias("__slot"))
-    dated = slots.select(*keys, spec, F.col("__slot.begin").alias("begin"), F.explode(_days(now, spec)).alias("day"))
-    ok = (
-        (F.col("day") >= now)
-        & F.coalesce(F.col("day") >= s("start"), F.lit(True))
-        & F.coalesce(F.col("day") <= s("end"), F.lit(True))
-        & F.coalesce(F.month("day").between(s("m1"), s("m2")), F.lit(True))
-        & F.coalesce(F.year("day") == s("year"), F.lit(True))
-    )
-    packed = F.struct("day", F.coalesce("begin", F.lit("")).alias("order"), "begin")
-    limit = F.when(s("periods").isNotNull() & s("end").isNull(), F.least(F.lit(schedule.MOST), s("periods") * F.greatest(F.size(s("slots")), F.lit(1)))).otherwise(F.lit(schedule.MOST))
-    groups = dated.where(ok).groupBy(*keys).agg(F.array_sort(F.collect_set(packed)).alias("all"), F.first(limit).alias("most"))
-    return groups.select(*keys, F.explode(F.slice("all", F.lit(1), F.col("most"))).alias("o")).select(*keys, F.col("o.day").alias("day"), F.col("o.begin").alias("begin"))
-
-
-def infer(rows: DataFrame, key: str, texts: list[str], today: str) -> DataFrame:
-    """(key, ts, recurrence): occurrences of each row by the first of its texts that yields a spec; the label says the end or the number of weeks."""
-    parsed = rows.select(key, *texts)
-    specs = []
-    for i, t in enumerate(texts):
-        one = spec_of(parsed.select(key, F.col(t).alias("__text")), "__text", today, loose=i == len(texts) - 1)
-        specs.append(one.select(key, F.col("spec").alias(f"s{i}")))
-    joined = specs[0]
-    for other in specs[1:]:
-        joined = joined.join(other, key)
-    spec = F.coalesce(*[F.when(F.col(f"s{i}.kind").isNotNull(), F.col(f"s{i}")) for i in range(len(texts))])
-    chosen = joined.select(key, spec.alias("spec")).where("spec is not null")
+    """(keys, day, begin): the dates of each row's spec from today on, within its bounds, MOST at most. Rows without a spec give none. All of it
+    happens in arrays of the row, without a shuffle."""
+    now, s = F.lit(today).cast("date"), F.col(spec)
+
+    def fits(day: Column) -> Column:
+        yes = lambda c: F.coalesce(c, F.lit(True))
+        return (day >= now) & yes(day >= s["start"]) & yes(day <= s["end"]) & yes(F.month(day).between(s["m1"], s["m2"])) & yes(F.year(day) == s["year"])
+
+    def of_slot(slot: Column) -> Column:
+        begin = F.coalesce(slot["begin"], F.lit(""))
+        return F.transform(F.filter(_days(now, s, slot["dow"]), fits), lambda d: F.struct(d.alias("day"), begin.alias("begin")))
+
+    every = F.array_sort(F.array_distinct(F.flatten(F.transform(s["slots"], of_slot))))
+    limit = F.when(s["periods"].isNotNull() & s["end"].isNull(), F.least(F.lit(schedule.MOST), s["periods"] * F.greatest(F.size(s["slots"]), F.lit(1)))).otherwise(F.lit(schedule.MOST))
+    some = rows.where(s["kind"].isNotNull()).select(*keys, F.explode(F.slice(every, F.lit(1), limit)).alias("o"))
+    return some.select(*keys, F.col("o.day").alias("day"), F.nullif(F.col("o.begin"), F.lit("")).alias("begin"))
+
+
+def infer(rows: DataFrame, key: str, texts: list[str], today: str, name: str | None = None) -> DataFrame:
+    """(key, ts, recurrence): occurrences of each row by the first of its texts that yields a spec, else by its name; the label says the end or the number of weeks."""
+    chosen = spec_of_row(rows.select(key, *texts, *([name] if name else [])), texts, name, today)
     s = F.col("spec")
     label = F.when(s["end"].isNotNull() & (s["kind"] != "once"), F.concat(s["label"], F.lit(" (to "), F.date_format(s["end"], "dd MMM yyyy"), F.lit(")"))).when(
         s["periods"].isNotNull(), F.concat(s["label"], F.lit(" ("), s["periods"].cast("string"), F.lit(" weeks)"))
     ).otherwise(s["label"])
-    days = expand(chosen.withColumn("recurrence", label), [key, "recurrence"], today)
+    days = expand(chosen.select(key, "spec", label.alias("recurrence")), [key, "recurrence"], today)
     return days.select(key, F.to_timestamp_ntz(F.concat_ws(" ", F.col("day").cast("string"), F.coalesce("begin", F.lit("00:00")))).alias("ts"), "recurrence")
 
 
@@ -119,7 +132,7 @@ def resolve_dateless(rows: DataFrame, today: str) -> tuple[DataFrame, DataFrame]
     """Occurrences of dateless rows that no dated row of the same name and place stands for, and the rest with the reason it was dropped."""
     dateless, dated = rows.where("stamp = ''"), rows.where("stamp <> ''").select("name_norm", "loc_norm").distinct()
     alone = dateless.join(dated, ["name_norm", "loc_norm"], "left_anti")
-    found = infer(alone, "row_ord", ["description", "datetime_text"], today)
+    found = infer(alone, "row_ord", ["description", "datetime_text"], today, "name" if "name" in rows.columns else None)
     done = found.select("row_ord").distinct()
     covered = dateless.join(alone.select("row_ord"), "row_ord", "left_anti").select("row_ord", F.lit("dated elsewhere").alias("reason"))
     silent = alone.join(done, "row_ord", "left_anti").select("row_ord", F.lit("no schedule").alias("reason"))
