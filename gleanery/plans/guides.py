@@ -18,12 +18,21 @@ def sections(spark, sf):
     return parts.select("id", F.regexp_replace(F.col("lines")[0], "^Hosted by ", "").alias("host"), F.size("lines").alias("n_lines"))
 
 
-@query("guide_title_host_venue__X17_X19")
+@query("guide_title_host_venue__X17_X19_X20", """SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'Morning Tea and Dance' WHEN 1 THEN 'Walks - by the bay' ELSE 'Café' END AS title,
+ CASE s_suppkey % 3 WHEN 0 THEN s_name || ' Community Club' WHEN 1 THEN 'Kingston' ELSE s_name || ' Library' END AS host, CASE s_suppkey % 2 WHEN 0 THEN 'Aspendale Gardens Community Service' ELSE 'Chelsea Library' END AS venue,
+ CASE s_suppkey % 2 WHEN 0 THEN concat('Aspendale Gardens Community Service, 103 Kearney Drive, Unit ', s_suppkey) ELSE concat('Chelsea Library, ', s_suppkey, ' Stanley Avenue') END AS address FROM supplier""")
 def title_host(spark, sf):
-    lines = F.array(F.concat("s_name", F.lit(" Community Club")), F.lit("Morning Tea"), F.lit("and Dance"))
-    rows = spark.read.parquet(f"{sf}/supplier.parquet")
-    t, v = G.pair_udf(G.title_and_host)(lines), G.pair_udf(G.venue_and_address)(F.array(F.lit("Aspendale Gardens"), F.lit("Community Service"), F.lit("103 Kearney Drive,"), F.concat(F.lit("Unit "), F.col("s_suppkey").cast("string"))))
-    return rows.select("s_suppkey", t.alias("t"), v.alias("v")).select("s_suppkey", F.col("t.a").alias("title"), F.col("t.b").alias("host"), F.col("v.a").alias("venue"), F.col("v.b").alias("address"))
+    k = F.col("s_suppkey")
+    lines = (
+        F.when(k % 3 == 0, F.array(F.concat("s_name", F.lit(" Community Club")), F.lit("Morning Tea"), F.lit("and Dance")))
+        .when(k % 3 == 1, F.array(F.lit("Kingston"), F.lit("Walks –"), F.lit("by the bay")))
+        .otherwise(F.array(F.concat("s_name", F.lit(" Library")), F.lit("CafAc")))
+    )
+    places = F.when(k % 2 == 0, F.array(F.lit("Aspendale Gardens"), F.lit("Community Service"), F.lit("103 Kearney Drive,"), F.concat(F.lit("Unit "), k.cast("string")))).otherwise(
+        F.array(F.lit("Chelsea Library,"), F.concat(k.cast("string"), F.lit(" Stanley Avenue")))
+    )
+    rows = spark.read.parquet(f"{sf}/supplier.parquet").select("s_suppkey", G.title_and_host(lines).alias("t"), G.venue_and_address(places).alias("v"))
+    return rows.select("s_suppkey", "t.title", "t.host", "v.venue", "v.address")
 
 
 @query("guide_day_lists__R19", """WITH d AS (SELECT s_suppkey, unnest([3, (s_suppkey % 31 + 1)::INT, 31]) AS d FROM supplier) SELECT s_suppkey, array_to_string(list_sort(list(concat('2026-11-', lpad(d::VARCHAR, 2, '0')) ORDER BY d)), ' ') AS days FROM d WHERE d <= 30 GROUP BY 1""")
@@ -32,23 +41,31 @@ def day_lists(spark, sf):
     return spark.read.parquet(f"{sf}/supplier.parquet").select("s_suppkey", F.array_join(F.array_sort(F.transform(G.day_list(line, 2026), lambda d: d.cast("string"))), " ").alias("days"))
 
 
-@query("guide_dates_with_times__X21_J12_J17", """WITH i AS (SELECT l_orderkey AS k, l_linenumber AS line, l_partkey AS day, l_returnflag FROM lineitem WHERE l_orderkey % 3 = 0), d AS (SELECT DISTINCT k, line * 5 AS line, day FROM i WHERE l_returnflag = 'N'), t AS (SELECT DISTINCT k, line * 4 AS line, day AS at_n FROM i WHERE l_returnflag <> 'N'),
+@query("guide_dates_with_times__X21_J12_J17", """WITH i AS (SELECT l_orderkey AS k, l_linenumber AS line, l_partkey AS day, l_returnflag FROM lineitem), d AS (SELECT DISTINCT k, line * 5 AS line, day FROM i WHERE l_returnflag = 'N'), t AS (SELECT DISTINCT k, line * 4 AS line, day AS at_n FROM i WHERE l_returnflag <> 'N'),
  s AS (SELECT k, nd, coalesce(nt, 0) AS nt FROM (SELECT k, count(*) AS nd FROM d GROUP BY 1) LEFT JOIN (SELECT k, count(*) AS nt FROM t GROUP BY 1) USING (k)),
  z AS (SELECT a.k, a.day, b.at_n FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY line, day) AS i FROM d) a JOIN (SELECT *, row_number() OVER (PARTITION BY k ORDER BY line, at_n) AS i FROM t) b USING (k, i) WHERE a.k IN (SELECT k FROM s WHERE nd = nt)),
- n AS (SELECT d.k, d.day, (SELECT min({'d': abs(t.line - d.line), 'a': t.line > d.line, 'x': t.at_n}) FROM t WHERE t.k = d.k AND abs(t.line - d.line) <= 6).x AS at_n FROM d WHERE d.k NOT IN (SELECT k FROM s WHERE nd = nt))
+ c AS (SELECT d.k, d.line, d.day, min({'d': abs(t.line - d.line), 'a': t.line > d.line, 'x': t.at_n}) AS m FROM d LEFT JOIN t ON t.k = d.k AND abs(t.line - d.line) <= 6 GROUP BY 1, 2, 3),
+ n AS (SELECT k, day, CASE WHEN m.d IS NOT NULL THEN m.x END AS at_n FROM c WHERE k NOT IN (SELECT k FROM s WHERE nd = nt))
  SELECT k, day, at_n FROM z UNION ALL SELECT k, day, at_n FROM n""")
 def dates_with_times(spark, sf):
-    items = spark.read.parquet(f"{sf}/lineitem.parquet").where("l_orderkey % 3 = 0")
+    items = spark.read.parquet(f"{sf}/lineitem.parquet")
     pick = lambda cond, factor, name: items.where(cond).select(F.col("l_orderkey").alias("k"), (F.col("l_linenumber") * factor).alias("line"), F.col("l_partkey").alias(name)).distinct()
     return G.pair_dates_with_times(pick("l_returnflag = 'N'", 5, "day"), pick("l_returnflag <> 'N'", 4, "at"), "k").withColumnRenamed("at", "at_n")
 
 
-@query("guide_overrides__S19_J14", """, m AS (SELECT row_ord FROM listings WHERE source_id = 'click' AND (trim(regexp_replace(lower(name), '\\s+', ' ', 'g')) = 'part 3' OR ends_with(trim(regexp_replace(lower(name), '\\s+', ' ', 'g')), 'part number 7')) AND contains(lower(concat_ws(' ', location, address)), 'supplier'))
- SELECT source_id, ts_local, count(*) AS n FROM (SELECT source_id, ts_local FROM listings WHERE row_ord NOT IN (SELECT row_ord FROM m) UNION ALL SELECT 'click', TIMESTAMP '2026-10-03 09:30:00' UNION ALL SELECT 'click', TIMESTAMP '2026-10-10 09:30:00' UNION ALL SELECT 'click', TIMESTAMP '2026-10-04 00:00:00') GROUP BY 1, 2""", listing=True)
+@query("guide_overrides__S19_J14", """, x AS (SELECT row_ord, CASE WHEN row_ord % 4 = 0 THEN NULL ELSE source_id END AS source_id, concat(CASE row_ord % 2 WHEN 0 THEN 'Super' ELSE '' END, name) AS name, location, address, description, source, ts_local FROM listings),
+ y AS (SELECT *, trim(regexp_replace(lower(name), '\\s+', ' ', 'g')) AS low, contains(lower(concat_ws(' ', location, address)), 'supplier') AS here FROM x WHERE source_id = 'click'),
+ m AS (SELECT row_ord, 1 AS o FROM y WHERE here AND (low = 'old anvil (mondays)' OR ends_with(low, 'old anvil (mondays)')) UNION ALL SELECT row_ord, 2 FROM y WHERE here AND low = 'bolt'),
+ b AS (SELECT o, min({'r': row_ord, 'l': location, 'd': description}) AS b FROM m JOIN x USING (row_ord) GROUP BY o),
+ nw AS (SELECT 1 AS o, 'Old Anvil (Mondays)' AS name, '' AS location, 'Free' AS price_text, TIMESTAMP '2026-10-03 09:30:00' AS ts_local UNION ALL SELECT 1, 'Old Anvil (Mondays)', '', 'Free', TIMESTAMP '2026-10-10 09:30:00' UNION ALL SELECT 2, 'bolt', 'Hall', '$5', TIMESTAMP '2026-10-04 00:00:00'),
+ z AS (SELECT source_id, name, location, description, ts_local FROM x WHERE row_ord NOT IN (SELECT row_ord FROM m) UNION ALL SELECT 'click', name, coalesce(nullif(location, ''), b.l, ''), coalesce(b.d, ''), ts_local FROM nw LEFT JOIN b USING (o))
+ SELECT source_id, name, location, description, ts_local, count(*) AS n FROM z GROUP BY ALL""", listing=True)
 def overrides(spark, sf):
     schema = "o int, name string, venue string, location string, address string, cost string, sessions array<struct<dates: array<string>, time: string, cost: string>>"
-    o = spark.createDataFrame([(1, "Part 3", "Supplier", "", "", "Free", [(["2026-10-03", "2026-10-10"], "9:30", None)]), (2, "part number 7", "supplier", "Hall", "", "", [(["2026-10-04", "2026-13-01"], "24:00", "$5")])], schema)
-    return G.apply_overrides(listings(spark, sf), o, "click").groupBy("source_id", "ts_local").agg(F.count("*").alias("n"))
+    o = spark.createDataFrame([(1, "Old Anvil (Mondays)", "Supplier", "", "", "Free", [(["2026-10-03", "2026-10-10"], "9:30", None)]), (2, "bolt", "supplier", "Hall", "", "", [(["2026-10-04", "2026-13-01"], "24:00", "$5")])], schema)
+    k = F.col("row_ord")
+    rows = listings(spark, sf).withColumn("source_id", F.when(k % 4 != 0, F.col("source_id"))).withColumn("name", F.concat(F.when(k % 2 == 0, "Super").otherwise(""), "name"))
+    return G.apply_overrides(rows, o, "click").groupBy("source_id", "name", "location", "description", "ts_local").agg(F.count("*").alias("n"))
 
 
 @query("guide_listing_walk__S09_S10_S12_S13_S15_D06_K03", """WITH c AS (SELECT (o_orderkey % 40)::INT AS page, o_orderkey AS pos, CASE WHEN o_orderkey % 40 = 25 THEN 'x1' ELSE concat('x', CAST(o_custkey % 97 AS VARCHAR)) END AS link FROM orders),
@@ -69,8 +86,8 @@ def enrich(spark, sf):
     return out.select("link", "description").crossJoin(F.broadcast(gate.select("passed")))
 
 
-@query("scalar_parse_date__C11_C15_C05", """SELECT row_ord, CASE row_ord % 6 WHEN 0 THEN TIMESTAMP '2026-10-06 00:00:00' WHEN 1 THEN TIMESTAMP '2026-10-06 10:00:00' WHEN 2 THEN TIMESTAMP '2026-10-06 22:05:00' WHEN 3 THEN TIMESTAMP '2027-09-29 08:00:00' WHEN 4 THEN TIMESTAMP '2026-12-28 20:15:00' END AS ts FROM listings""", listing=True)
+@query("scalar_parse_date__C11_C15_C05", """SELECT row_ord, CASE row_ord % 12 WHEN 0 THEN TIMESTAMP '2026-10-06 00:00:00' WHEN 1 THEN TIMESTAMP '2026-10-06 10:00:00' WHEN 2 THEN TIMESTAMP '2026-10-06 22:05:00' WHEN 3 THEN TIMESTAMP '2027-09-29 08:00:00' WHEN 4 THEN TIMESTAMP '2026-12-28 20:15:00'
+ WHEN 6 THEN TIMESTAMP '2026-10-06 10:00:00' WHEN 7 THEN TIMESTAMP '2026-10-06 00:00:00' WHEN 8 THEN TIMESTAMP '2026-10-06 00:00:00' WHEN 9 THEN TIMESTAMP '2026-10-06 22:05:00' WHEN 10 THEN TIMESTAMP '2026-10-06 14:30:00' WHEN 11 THEN TIMESTAMP '2026-10-06 00:00:00' END AS ts FROM listings""", listing=True)
 def parse_date(spark, sf):
-    k = F.col("row_ord") % 6
-    said = F.when(k == 0, "Tuesday 6 October 2026").when(k == 1, "2026-10-06T10:00:00").when(k == 2, "6/10/2026 10:05:00 PM").when(k == 3, "Tuesday 29 September, 8:00am").when(k == 4, "Mon 28 December, 8:15 pm").otherwise("soon")
-    return listings(spark, sf).select("row_ord", G.parse_date(said, "2026-09-30 00:00:00").alias("ts"))
+    said = ("Tuesday 6 October 2026", "2026-10-06T10:00:00", "6/10/2026 10:05:00 PM", "Tuesday 29 September, 8:00am", "Mon 28 December, 8:15 pm", "soon", "2026-10-06 10:00:00", "6 october 2026", "6 Oct 2026", "6/10/2026 22:05:00", "6 October 2026 2:30 pm", "on 6 Oct. 2026 at noon")
+    return listings(spark, sf).select("row_ord", G.parse_date(F.array(*map(F.lit, said))[(F.col("row_ord") % 12).cast("int")], "2026-09-30 00:00:00").alias("ts"))
