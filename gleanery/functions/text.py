@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+import unicodedata
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DoubleType, StringType
 
 WS = r"(?U)\s+"
 
@@ -20,8 +22,20 @@ ROAD_TYPES = (
 )
 
 _DAYLIST = "(?:" + "|".join(WEEKDAYS) + r")s?(?:\s*(?:,|&|and)\s*(?:" + "|".join(WEEKDAYS) + ")s?)*"
-#: Letters that fold_closed() covers; fold_accents() is the general fold.
-_CLOSED_FROM, _CLOSED_TO = "áàâäãåéèêëíìîïóòôöõúùûüñç®©", "aaaaaaeeeeiiiiooooouuuunc"
+
+
+def _fold_char(ch: str) -> str:
+    """What a character becomes: decomposed, without combining marks and the signs ® and ©, composed again."""
+    kept = "".join(x for x in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(x) and x not in "®™©")
+    return unicodedata.normalize("NFKC", kept)
+
+
+@functools.cache
+def _fold_table() -> tuple[str, str]:
+    """The characters of the basic plane that fold to another one, and after these those that vanish; and what the former become."""
+    changed = {c: _fold_char(c) for c in map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x10000)]) if _fold_char(c) != c}
+    one = [c for c in changed if len(changed[c]) == 1]
+    return "".join(one) + "".join(c for c in changed if not changed[c]), "".join(changed[c] for c in one)
 
 
 def let(value: Column, f: Callable[[Column], Column]) -> Column:
@@ -34,20 +48,16 @@ def squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), WS, " "))
 
 
-def fold_closed(c: Column) -> Column:
-    return F.translate(c, _CLOSED_FROM, _CLOSED_TO)
+def fold_native(c: Column) -> Column:
+    """fold_accents in the expression engine, for all characters that fold to one or none (not ligatures, fractions and the like, which stay)."""
+    return F.translate(c, *_fold_table())
 
 
 @F.pandas_udf(StringType())
 def fold_accents(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """General fold: decompose, drop combining marks and ® ™ ©, compose again."""
-    import unicodedata
-
     def fold(t: str | None) -> str | None:
-        if t is None or t.isascii():
-            return t
-        parts = (ch for ch in unicodedata.normalize("NFKD", t) if not unicodedata.combining(ch) and ch not in "®™©")
-        return unicodedata.normalize("NFKC", "".join(parts))
+        return t if t is None or t.isascii() else _fold_char(t)
 
     for s in batches:
         yield s.map(fold)
@@ -58,7 +68,7 @@ def normalize_name(c: Column, more_noise: bool = False) -> Column:
     more_noise drops a closing (new), (series) or (term n) too."""
     cut = F.regexp_replace(squeeze(F.lower(c)), r" [-|:–—] .*$", "")
     noise = _DAYLIST + (r"|new|series|term \d+" if more_noise else "")
-    return F.regexp_replace(F.trim(fold_closed(cut)), r"\s*\((?:" + noise + r")\)\s*$", "")
+    return F.regexp_replace(F.trim(fold_native(cut)), r"\s*\((?:" + noise + r")\)\s*$", "")
 
 
 def normalize_location(c: Column) -> Column:
@@ -167,21 +177,29 @@ def venue_compatible(a: Column, b: Column) -> Column:
     return (a != "") & (b != "") & (head | (F.startswith(long, short) & nxt.isin(" ", ",", "-", "/", "(")))
 
 
-def indel_similarity(a: Column, b: Column) -> Column:
-    """2 * LCS / (length a + length b) by a dynamic programme in the expression engine; two empty strings are 1.0."""
-    row = F.array_repeat(F.lit(0), F.length(b) + 1)
-    ch = F.filter(F.split(a, ""), lambda x: x != "")
+def common_length(a: str, b: str) -> int:
+    """Length of the longest common subsequence, by whole-word bit operations: one addition for each character of b."""
+    places: dict[str, int] = {}
+    for i, ch in enumerate(a):
+        places[ch] = places.get(ch, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    open_ = full
+    for ch in b:
+        met = open_ & places.get(ch, 0)
+        open_ = ((open_ + met) | (open_ - met)) & full
+    return len(a) - open_.bit_count()
+
+
+@F.pandas_udf(DoubleType())
+def indel_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
+    """2 * LCS / (length a + length b); two empty strings are 1.0, null gives null."""
 
-    def step(prev: Column, c: Column) -> Column:
-        return F.aggregate(
-            F.sequence(F.lit(1), F.length(b)),
-            F.array(F.lit(0)),
-            lambda cur, j: F.array_append(cur, F.when(F.substr(b, j, F.lit(1)) == c, F.element_at(prev, j) + 1).otherwise(F.greatest(F.element_at(prev, j + 1), F.element_at(cur, -1)))),
-        )
+    def one(x: str | None, y: str | None) -> float | None:
+        if x is None or y is None:
+            return None
+        return 2.0 * common_length(x, y) / (len(x) + len(y)) if x or y else 1.0
 
-    lcs = F.element_at(F.aggregate(ch, row, step), -1)
-    total = F.length(a) + F.length(b)
-    return F.when(total == 0, F.lit(1.0)).when((F.length(a) == 0) | (F.length(b) == 0), F.lit(0.0)).otherwise(2.0 * lcs / total)
+    return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
 def length_bound(a: Column, b: Column, threshold: float) -> Column:

@@ -19,22 +19,49 @@ def first_per_key(rows: DataFrame, keys: list[str], order: str = "row_ord") -> D
     return best.select(*keys, *[F.col(f"b.r.{c}").alias(c) for c in rest])
 
 
-def merge_groups(rows: DataFrame, keys: list[str], order: str = "row_ord", fill: tuple[str, ...] = ("description", "price_text", "address")) -> DataFrame:
-    """The merge aggregate: the first row's identity, the last non-empty source, blanks filled by the first that has a value, and all urls."""
+#: Fields whose blanks a merge fills.
+FILLED = ("location", "address", "suburb", "description", "price_text")
 
-    def earliest(c: str) -> Column:
-        return F.min_by(c, F.when(F.coalesce(F.col(c), F.lit("")) != "", F.col(order)))
 
-    def latest(c: str) -> Column:
-        return F.max_by(c, F.when(F.coalesce(F.col(c), F.lit("")) != "", F.col(order)))
+def merge_groups(rows: DataFrame, keys: list[str], order: str = "row_ord", date: tuple[str, ...] = ("ts_local", "datetime_text")) -> DataFrame:
+    """The merge aggregate: rows of a group folded into its first in order.
 
-    return rows.groupBy(*keys).agg(
-        F.min(order).alias(order),
-        *[F.coalesce(earliest(c), F.lit("")).alias(c) for c in fill],
-        latest("source").alias("source"),
-        F.array_join(F.array_sort(F.collect_set("url")), " ").alias("sources"),
-        F.count("*").alias("n"),
+    The kept row is the first one. Its blanks of FILLED take the first value there is; a dateless one takes the `date` columns (the first says whether there is a date) of
+    the first row that has one; source is the last that isn't blank, sources all of them in order of appearance, the first row's own first.
+    A location gives way to a later one whose venue head goes on where its own ends. Columns that rows lack are left out.
+
+    Rows that agree in key, source and location are added up before the shuffle and meet as one, so a hot group costs a row for each different pair, not for each row.
+    """
+    fields = [c for c in FILLED if c in rows.columns and c != "location"]
+    when = [c for c in date if c in rows.columns]
+    blank = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) == ""
+    first_with = lambda c: F.min(F.when(~blank(c), F.struct(order, F.col(c).alias("v")))).alias(c)
+    dated = [F.min(F.when(F.col(when[0]).isNotNull(), F.struct(order, *when))).alias("__date"), F.min(F.struct(order, *[F.col(c).alias(f"own_{c}") for c in when])).alias("__own")] if when else []
+    some = rows.groupBy(*keys, "source", "location").agg(F.min(order).alias("__from"), F.max(order).alias("__to"), F.count("*").alias("__n"), *[first_with(c) for c in fields], *dated)
+    pair = lambda c: F.array_sort(F.collect_list(F.struct("__from", F.coalesce(F.col(c), F.lit("")).alias("v"))))
+    merged = some.groupBy(*keys).agg(
+        F.min("__from").alias(order),
+        *[F.min(c).alias(c) for c in fields],
+        *([F.min("__date").alias("__date"), F.min("__own").alias("__own")] if when else []),
+        F.max_by("source", F.when(~blank("source"), F.col("__to"))).alias("source"),
+        pair("source").alias("__sources"),
+        pair("location").alias("__locations"),
+        F.sum("__n").alias("n"),
     )
+    names = F.transform("__sources", lambda x: x["v"])
+    sources = F.array_distinct(F.concat(F.slice(names, 1, 1), F.filter(names, lambda x: x != "")))
+
+    def better(now: Column, x: Column) -> Column:
+        old, new = text.venue_head(now), text.venue_head(x["v"])
+        return F.when(F.trim(now) == "", F.when(F.trim(x["v"]) == "", now).otherwise(x["v"])).when((old != "") & (new != old) & F.startswith(new, old), F.trim(x["v"])).otherwise(now)
+
+    location = F.aggregate("__locations", F.lit(""), better)
+    if when:
+        own_dated = F.col(f"__own.own_{when[0]}").isNotNull()
+        dates = [F.when(own_dated, F.col(f"__own.own_{c}")).otherwise(F.coalesce(F.nullif(F.col(f"__date.{c}").cast("string"), F.lit("")).cast(rows.schema[c].dataType), F.col(f"__own.own_{c}"))).alias(c) for c in when]
+    else:
+        dates = []
+    return merged.select(*keys, order, location.alias("location"), *[F.coalesce(F.col(f"{c}.v"), F.lit("")).alias(c) for c in fields], *dates, F.coalesce("source", F.lit("")).alias("source"), sources.alias("sources"), "n")
 
 
 def exact_dedupe(rows: DataFrame) -> DataFrame:
@@ -77,6 +104,52 @@ def programme_pairs(rows: DataFrame) -> DataFrame:
     return pairs.groupBy("row_ord").agg(F.min(F.struct((F.col("url") != F.col("into_url")).alias("other"), "into")).alias("m")).select("row_ord", F.col("m.into").alias("into"), (~F.col("m.other")).alias("same_url"))
 
 
+def programme_fold(rows: DataFrame) -> DataFrame:
+    """(row_ord, into): each row in order goes into the kept row of its (url, name, stamp) if venues are compatible, else into the first kept row of its (name, stamp) with a
+    compatible venue; else it is kept, into = row_ord. Rows without a stamp or a name are kept.
+
+    Only rows of one name and stamp can merge, so each such block is folded on its own; rows without a place are compatible with none and need no block.
+    """
+    usable = (F.col("stamp") != "") & (F.col("name_norm") != "") & (F.col("loc_norm") != "")
+    used = rows.where(usable).select("stamp", "row_ord", "url", "name_norm", "loc_norm")
+    homeless = rows.where((F.col("stamp") != "") & (F.col("name_norm") != "") & (F.col("loc_norm") == "")).groupBy("url", "name_norm", "stamp").agg(F.min("row_ord").alias("unplaced"))
+    used = used.join(homeless, ["url", "name_norm", "stamp"], "left")
+
+    def compatible(a: str, b: str) -> bool:
+        short, long = sorted((a, b), key=len)
+        return a.split(",")[0].strip() == b.split(",")[0].strip() or (long.startswith(short) and long[len(short) : len(short) + 1] in tuple(" ,-/("))
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("row_ord")
+        by_url: dict = {}
+        kept: list[tuple[str, int]] = []
+        into = []
+        for ord_, url, name, place, unplaced in zip(pdf["row_ord"], pdf["url"], pdf["name_norm"], pdf["loc_norm"], pdf["unplaced"], strict=True):
+            own = by_url.get((url, name))
+            # a row without a place that came first holds the url's slot, and nothing goes into it
+            blocked = unplaced is not None and unplaced == unplaced and (own is None or unplaced < own[1])
+            found = own[1] if own and not blocked and compatible(own[0], place) else next((k for p, k in kept if compatible(p, place)), None)
+            if found is None:
+                found = ord_
+                by_url.setdefault((url, name), (place, ord_))
+                kept.append((place, ord_))
+            into.append(found)
+        return pd.DataFrame({"row_ord": pdf["row_ord"], "into": into})
+
+    folded = used.groupBy("name_norm", "stamp").applyInPandas(fold, "row_ord long, into long")
+    return folded.unionByName(rows.where(~usable).select("row_ord", F.col("row_ord").alias("into")))
+
+
+def distinct_sessions(rows: DataFrame, more: DataFrame) -> DataFrame:
+    """The two-stage distinct: the first row of each (name, stamp), then, with what `more` brings back after it, the first of each (name, stamp, place). Case doesn't
+    count; a row of `more` comes after all of rows. (row_ord, name, stamp, location)."""
+    low = lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))
+    pick = lambda d, late: d.select(F.struct(F.lit(late).alias("late"), "row_ord", "name", "location").alias("r"), low("name").alias("n"), F.coalesce("stamp", F.lit("")).alias("stamp"), low("location").alias("p"))
+    once = pick(rows, False).groupBy("n", "stamp").agg(F.min("r").alias("r"))
+    both = once.select("r", "n", "stamp", F.lower(F.coalesce("r.location", F.lit(""))).alias("p")).unionByName(pick(more, True))
+    return both.groupBy("n", "stamp", "p").agg(F.min("r").alias("r")).select("r.row_ord", "r.name", "stamp", "r.location")
+
+
 def drop_untimed_twins(rows: DataFrame) -> DataFrame:
     """Midnight rows go where a timed row has the same name and venue head, on any date."""
     untimed = F.endswith(F.col("stamp"), F.lit(MIDNIGHT))
@@ -146,15 +219,6 @@ def greedy_fold(rows: DataFrame, threshold: float = 0.75) -> DataFrame:
     block = F.when((F.col("day") == "") | (F.col("loc_norm") == ""), F.concat(F.lit("#"), "slot_hash")).otherwise(F.concat_ws("|", "day", "loc_norm"))
     used = rows.select(block.alias("block"), "row_ord", "slot_hash", "name_norm", "loc_norm", "stamp", "day")
 
-    def lcs(a: str, b: str) -> int:
-        last = [0] * (len(b) + 1)
-        for x in a:
-            now = [0]
-            for j, y in enumerate(b):
-                now.append(last[j] + 1 if x == y else max(last[j + 1], now[j]))
-            last = now
-        return last[-1]
-
     def minutes(stamp: str) -> int:
         return int(stamp[11:13]) * 60 + int(stamp[14:16])
 
@@ -177,7 +241,7 @@ def greedy_fold(rows: DataFrame, threshold: float = 0.75) -> DataFrame:
                         pair = (name, r.name_norm)
                         total = len(name) + len(r.name_norm)
                         if pair not in scores:
-                            scores[pair] = 2 * min(map(len, pair)) >= threshold * total and 2 * lcs(*pair) >= threshold * total
+                            scores[pair] = 2 * min(map(len, pair)) >= threshold * total and 2 * text.common_length(*pair) >= threshold * total
                         if scores[pair]:
                             found = ord_
                             break

@@ -125,12 +125,12 @@ def count_change(spark, sf):
     return S.count_change(rows, rows.where("row_ord % 3 = 0 AND source_id <> 'view'"), "source_id")
 
 
-@query("source_term_rows__S14_R16", f"SELECT event_id, CAST(DATE '{TODAY}' + (k * 7)::INT AS DATE) AS day FROM events, range(0, 12) t(k) WHERE event_id % 10 = 0 AND k * 7 <= event_id % 80 AND (k = 0 OR event_id % 80 >= 7)")
+@query("source_term_rows__S14_R16", f"SELECT event_id, CAST(DATE '{TODAY}' + (k * 7)::INT AS DATE) AS day FROM events, range(0, 12) t(k) WHERE k * 7 <= event_id % 80 AND (k = 0 OR event_id % 80 >= 7)")
 def term_rows(spark, sf):
     from gleanery.functions import dates
 
     start = F.lit(TODAY).cast("date")
-    e = spark.read.parquet(f"{sf}/events.parquet").where("event_id % 10 = 0")
+    e = spark.read.parquet(f"{sf}/events.parquet")
     return e.select("event_id", F.explode(dates.weekly_term(start, F.date_add(start, (F.col("event_id") % 80).cast("int")))).alias("day"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gleanery.functions import text
+from gleanery.operators import guides
 from gleanery.operators import relations as R
 
 from .base import TODAY, normalized, query
@@ -58,7 +59,7 @@ def fuzzy(spark, sf):
     return R.fuzzy_pairs(*halves(spark, sf))
 
 
-@query("join_programme__J04_D03_P19", ", b AS (SELECT * FROM l WHERE stamp <> '' AND name_norm <> '')," + f"""
+@query("join_programme__P19", ", b AS (SELECT * FROM l WHERE stamp <> '' AND name_norm <> '')," + f"""
  p AS (SELECT x.row_ord, y.row_ord AS into_row, x.url <> y.url AS other FROM b x JOIN b y ON x.name_norm = y.name_norm AND x.stamp = y.stamp AND y.row_ord < x.row_ord AND {compat('x.loc_norm', 'y.loc_norm')}),
  q AS (SELECT row_ord, min({{'other': other, 'i': into_row}}) AS m FROM p GROUP BY row_ord) SELECT row_ord, m.i AS into_row, NOT m.other AS same_url FROM q""", listing=True)
 def programme(spark, sf):
@@ -88,10 +89,10 @@ def stated(spark, sf):
 @query("join_reconcile__J08_T03", _HALVES + """, k AS (SELECT *, substring(sha1(concat_ws('|', source_id, name_norm, venue)), 1, 12) AS series FROM st),
  w AS (SELECT row_ord, CASE WHEN source_id = 'purchase' THEN 'mid-crawl' WHEN source_id NOT IN (SELECT source_id FROM lv2) THEN 'unjudgeable'
   WHEN series IN (SELECT substring(sha1(concat_ws('|', source_id, name_norm, venue)), 1, 12) FROM lv2) THEN 'series' WHEN (name_norm, url, stamp) IN (SELECT name_norm, url, stamp FROM lv2 WHERE stamp <> '') THEN 'slot' ELSE 'withdrawn' END AS why FROM k)
- SELECT row_ord, CASE WHEN why = 'withdrawn' THEN 'drop' ELSE 'keep' END AS verdict, why FROM w""".replace("lv2", "(SELECT * FROM lv WHERE row_ord % 16 = 1 AND source_id <> 'click')"), listing=True)
+ SELECT row_ord, CASE WHEN why = 'withdrawn' THEN 'drop' ELSE 'keep' END AS verdict, why FROM w""".replace("lv2", "(SELECT * FROM lv WHERE source_id <> 'click')"), listing=True)
 def reconcile(spark, sf):
     st, lv = halves(spark, sf)
-    return R.reconcile(st, lv.where("row_ord % 16 = 1 AND source_id <> 'click'"), mid_crawl=("purchase",))
+    return R.reconcile(st, lv.where("source_id <> 'click'"), mid_crawl=("purchase",))
 
 
 _BAD = """(contains(trim({0}), ',,') OR starts_with(trim({0}), ',') OR ends_with(trim({0}), ',') OR len(list_filter(range(1, len(list_filter(list_transform(string_split({0}, ','), lambda x: trim(x)), lambda x: x <> ''))),
@@ -115,46 +116,43 @@ def dateless(spark, sf):
     return rows.where("stamp = ''").join(dated, ["name_norm", "loc_norm"], "left_anti").select("row_ord")
 
 
-@query("join_archive_flags__J11_L08", _HALVES + """, a AS (SELECT series, min(status) AS status FROM (SELECT substring(sha1(concat_ws('|', source_id, name_norm, venue)), 1, 12) AS series, CASE row_ord % 3 WHEN 0 THEN 'live' WHEN 1 THEN 'unverified' ELSE 'finished' END AS status FROM lv WHERE row_ord % 20 = 1) GROUP BY 1)
+@query("join_archive_flags__J11_L08", _HALVES + """, a AS (SELECT series, min(status) AS status FROM (SELECT substring(sha1(concat_ws('|', source_id, name_norm, venue)), 1, 12) AS series, CASE row_ord % 3 WHEN 0 THEN 'live' WHEN 1 THEN 'unverified' ELSE 'finished' END AS status FROM lv) GROUP BY 1)
  SELECT row_ord, a.series IS NOT NULL AS archived, CASE WHEN a.series IS NOT NULL THEN a.status = 'live' END AS live_confirmed FROM st LEFT JOIN a ON a.series = substring(sha1(concat_ws('|', source_id, name_norm, venue)), 1, 12)""", listing=True)
 def archive_flags(spark, sf):
     st, lv = halves(spark, sf)
     series = text.series_id(F.col("source_id"), F.col("name_norm"), F.col("venue")).alias("series")
     status = F.when(F.col("row_ord") % 3 == 0, "live").when(F.col("row_ord") % 3 == 1, "unverified").otherwise("finished")
-    archive = lv.where("row_ord % 20 = 1").select(series, status.alias("status")).groupBy("series").agg(F.min("status").alias("status"))
+    archive = lv.select(series, status.alias("status")).groupBy("series").agg(F.min("status").alias("status"))
     joined = st.withColumn("series", series).join(archive, "series", "left")
     return joined.select("row_ord", F.col("status").isNotNull().alias("archived"), (F.col("status") == "live").alias("live_confirmed"))
 
 
-@query("join_nearest__J12_X21_W09", """WITH a AS (SELECT l_suppkey AS k, l_orderkey * 10 + l_linenumber AS id, l_orderkey AS pos FROM lineitem WHERE l_linenumber = 1), b AS (SELECT l_suppkey AS k, l_orderkey * 10 + l_linenumber AS id, l_orderkey AS pos FROM lineitem WHERE l_linenumber = 2),
+@query("join_nearest__J12_X21_W09", """WITH a AS (SELECT l_suppkey AS k, l_orderkey * 10 + l_linenumber AS id, l_orderkey AS pos FROM lineitem WHERE l_returnflag = 'N'), b AS (SELECT l_suppkey AS k, l_orderkey * 10 + l_linenumber AS id, l_orderkey AS pos FROM lineitem WHERE l_returnflag <> 'N'),
  p AS (SELECT a.id, min({'d': abs(a.pos - b.pos), 'after': b.pos > a.pos, 'm': b.id}) AS m FROM a JOIN b ON a.k = b.k AND abs(a.pos - b.pos) <= 60 GROUP BY a.id) SELECT id, m.m AS match, m.d AS distance FROM p""")
 def nearest(spark, sf):
-    items = spark.read.parquet(f"{sf}/lineitem.parquet").select(F.col("l_suppkey").alias("k"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_orderkey").alias("pos"), "l_linenumber")
-    return R.nearest(items.where("l_linenumber = 1"), items.where("l_linenumber = 2"), "k", 60)
+    items = spark.read.parquet(f"{sf}/lineitem.parquet").select(F.col("l_suppkey").alias("k"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_orderkey").alias("pos"), "l_returnflag")
+    return R.nearest(items.where("l_returnflag = 'N'"), items.where("l_returnflag <> 'N'"), "k", 60)
 
 
-@query("join_archive_coverage__J13_A12", _HALVES + """, a AS (SELECT row_ord, name_norm, day FROM lv WHERE row_ord % 10 = 1) SELECT CASE WHEN day = '' AND EXISTS (SELECT 1 FROM st WHERE st.name_norm = a.name_norm) THEN 'undated_covered' WHEN day = '' THEN 'undated'
+@query("join_archive_coverage__J13_A12", _HALVES + """, a AS (SELECT row_ord, name_norm, day FROM lv) SELECT CASE WHEN day = '' AND EXISTS (SELECT 1 FROM st WHERE st.name_norm = a.name_norm) THEN 'undated_covered' WHEN day = '' THEN 'undated'
  WHEN EXISTS (SELECT 1 FROM st WHERE st.name_norm = a.name_norm AND st.day = a.day) THEN 'covered' ELSE 'missing' END AS bucket, count(*) AS n FROM a GROUP BY 1""", listing=True)
 def coverage(spark, sf):
     st, lv = halves(spark, sf)
     days = st.select("name_norm", "day").distinct().withColumn("on_day", F.lit(True))
     names = st.select("name_norm").distinct().withColumn("named", F.lit(True))
-    joined = lv.where("row_ord % 10 = 1").join(days, ["name_norm", "day"], "left").join(names, "name_norm", "left")
+    joined = lv.join(days, ["name_norm", "day"], "left").join(names, "name_norm", "left")
     bucket = F.when((F.col("day") == "") & F.col("named"), "undated_covered").when(F.col("day") == "", "undated").when(F.col("on_day"), "covered").otherwise("missing")
     return joined.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
 
 
-@query("join_override_match__J14_S19", _HALVES + """, o AS (SELECT DISTINCT name_norm AS oname, venue AS ovenue FROM lv WHERE row_ord % 50 = 1 AND venue <> ''), m AS (SELECT DISTINCT st.row_ord FROM st JOIN o ON (st.name_norm = oname OR (length(oname) > 8 AND ends_with(st.name_norm, oname))) AND contains(st.loc_norm, ovenue))
+@query("join_override_match__J14", _HALVES + """, o AS (SELECT DISTINCT name_norm AS oname, venue AS ovenue FROM lv WHERE venue <> ''), m AS (SELECT DISTINCT st.row_ord FROM st JOIN o ON (concat(CASE st.row_ord % 4 WHEN 0 THEN 'super' ELSE '' END, st.name_norm) = oname
+  OR (length(oname) > 8 AND ends_with(st.name_norm, oname))) AND contains(st.loc_norm, ovenue))
  SELECT row_ord, row_ord IN (SELECT row_ord FROM m) AS replaced FROM st""", listing=True)
 def override(spark, sf):
     st, lv = halves(spark, sf)
-    o = lv.where("row_ord % 50 = 1 AND venue <> ''").select(F.col("name_norm").alias("oname"), F.col("venue").alias("ovenue")).distinct()
-    # the name's last words are the key, so the match is an equi-join on a suffix that both sides share
-    tail = lambda c: F.substring_index(F.col(c), " ", -1)
-    hit = st.withColumn("t", tail("name_norm")).join(o.withColumn("t", tail("oname")), "t").where(
-        ((F.col("name_norm") == F.col("oname")) | ((F.length("oname") > 8) & F.endswith(F.col("name_norm"), F.col("oname")))) & F.contains(F.col("loc_norm"), F.col("ovenue"))
-    )
-    found = hit.select("row_ord").distinct().withColumn("replaced", F.lit(True))
+    o = lv.where("venue <> ''").select("name_norm", "venue").distinct().select(F.xxhash64("name_norm", "venue").alias("o"), F.col("name_norm").alias("name"), "venue")
+    name = F.concat(F.when(F.col("row_ord") % 4 == 0, "super").otherwise(""), "name_norm")
+    found = guides.override_hits(st.select("row_ord", name.alias("name"), F.col("loc_norm").alias("place")), o).select("row_ord").distinct().withColumn("replaced", F.lit(True))
     return st.select("row_ord").join(found, "row_ord", "left").select("row_ord", F.coalesce("replaced", F.lit(False)).alias("replaced"))
 
 
@@ -198,20 +196,34 @@ def fold(spark, sf):
     return R.greedy_fold(normalized(spark, sf))
 
 
-@query("agg_occurrences__D04_D05", "SELECT row_ord FROM l QUALIFY row_number() OVER (PARTITION BY name_norm, stamp, loc_norm ORDER BY row_ord) = 1", listing=True)
+@query("agg_programme_fold__D03_J04")
+def programme_fold(spark, sf):
+    return R.programme_fold(normalized(spark, sf)).withColumnRenamed("into", "into_row")
+
+
+@query("agg_occurrences__D04", "SELECT row_ord FROM l QUALIFY row_number() OVER (PARTITION BY name_norm, stamp, loc_norm ORDER BY row_ord) = 1", listing=True)
 def occurrences(spark, sf):
     return R.first_per_key(normalized(spark, sf).select("name_norm", "stamp", "loc_norm", "row_ord"), ["name_norm", "stamp", "loc_norm"]).select("row_ord")
 
 
+@query("agg_two_stage_distinct__D05", _HALVES + """, a AS (SELECT false AS late, row_ord, name, stamp, location FROM st QUALIFY row_number() OVER (PARTITION BY lower(name), stamp ORDER BY row_ord) = 1),
+ b AS (SELECT * FROM a UNION ALL SELECT true, row_ord, name, stamp, location FROM lv) SELECT row_ord, stamp, name FROM b QUALIFY row_number() OVER (PARTITION BY lower(name), stamp, lower(location) ORDER BY late, row_ord) = 1""", listing=True)
+def two_stage(spark, sf):
+    st, lv = halves(spark, sf)
+    return R.distinct_sessions(st, lv).select("row_ord", "stamp", "name")
+
+
 @query("agg_last_wins__D06", "SELECT url, max_by(name, row_ord) AS name, min(row_ord) AS first_seen FROM l GROUP BY url", listing=True)
 def last_wins(spark, sf):
     return normalized(spark, sf).groupBy("url").agg(F.max_by("name", "row_ord").alias("name"), F.min("row_ord").alias("first_seen"))
 
 
-@query("agg_merge_sources__A01", """SELECT slot_hash, min(row_ord) AS row_ord, coalesce(min_by(description, CASE WHEN description <> '' THEN row_ord END), '') AS description, coalesce(min_by(price_text, CASE WHEN price_text <> '' THEN row_ord END), '') AS price_text,
- coalesce(min_by(address, CASE WHEN address <> '' THEN row_ord END), '') AS address, max_by(source, CASE WHEN source <> '' THEN row_ord END) AS source, array_to_string(list_sort(list_distinct(list(url))), ' ') AS sources, count(*) AS n FROM l GROUP BY slot_hash""", listing=True)
+@query("agg_merge_sources__A01", """, u AS (SELECT name_norm, row_ord, source, row_number() OVER (PARTITION BY name_norm, source ORDER BY row_ord) AS rn FROM l)
+ SELECT name_norm, min(row_ord) AS row_ord, coalesce(min_by(location, CASE WHEN trim(location) <> '' THEN row_ord END), '') AS location, coalesce(min_by(address, CASE WHEN trim(address) <> '' THEN row_ord END), '') AS address,
+ coalesce(min_by(description, CASE WHEN trim(description) <> '' THEN row_ord END), '') AS description, coalesce(min_by(price_text, CASE WHEN trim(price_text) <> '' THEN row_ord END), '') AS price_text,
+ min_by(ts_local, CASE WHEN ts_local IS NOT NULL THEN row_ord END) AS ts_local, max_by(source, row_ord) AS source, (SELECT string_agg(source, ' ' ORDER BY u.row_ord) FROM u WHERE u.name_norm = l.name_norm AND rn = 1) AS sources, count(*) AS n FROM l GROUP BY name_norm""", listing=True)
 def merge(spark, sf):
-    return R.merge_groups(normalized(spark, sf), ["slot_hash"])
+    return R.merge_groups(normalized(spark, sf), ["name_norm"], date=("ts_local",)).withColumn("sources", F.array_join("sources", " "))
 
 
 @query("agg_source_floors__A02_Q01_Q02_S20_M05_T06", """, f AS (SELECT * FROM (VALUES ('click', 100), ('view', 100000), ('absent', 3)) t(source_id, least)), c AS (SELECT source_id, count(*) AS n FROM l GROUP BY 1)
@@ -246,9 +258,9 @@ def spread(spark, sf):
     return s.groupBy("size").agg(F.count("*").alias("series_n"), F.count_if(F.col("labels") > 1).alias("disagree"))
 
 
-@query("agg_names_per_url__A07_K05", "SELECT url, count(DISTINCT name_norm) AS names FROM l GROUP BY url HAVING count(DISTINCT name_norm) > 1 ORDER BY names DESC, url LIMIT 5", listing=True)
+@query("agg_names_per_url__A07_K05", "SELECT url, count(DISTINCT name) AS names FROM l GROUP BY url HAVING count(DISTINCT name) > 1 ORDER BY names DESC, url LIMIT 5", listing=True)
 def names_per_url(spark, sf):
-    return normalized(spark, sf).groupBy("url").agg(F.countDistinct("name_norm").alias("names")).where("names > 1").orderBy(F.desc("names"), "url").limit(5)
+    return normalized(spark, sf).groupBy("url").agg(F.countDistinct("name").alias("names")).where("names > 1").orderBy(F.desc("names"), "url").limit(5)
 
 
 @query("agg_share_by_venue__A08", "SELECT venue, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 4)::DOUBLE AS percent FROM l GROUP BY venue", listing=True)
@@ -270,9 +282,9 @@ def conditional(spark, sf):
     )
 
 
-@query("agg_hours_window__A10_X14", "SELECT (isodow(ts) - 1)::INT AS dow, min(strftime(ts, '%H:%M')) AS opens, max(strftime(ts, '%H:%M')) AS closes, count(*) AS n FROM events WHERE hour(ts) BETWEEN 8 AND 18 AND user_id % 50 = 3 GROUP BY 1 HAVING count(*) > 1")
+@query("agg_hours_window__A10_X14", "SELECT (isodow(ts) - 1)::INT AS dow, min(strftime(ts, '%H:%M')) AS opens, max(strftime(ts, '%H:%M')) AS closes, count(*) AS n FROM events WHERE hour(ts) BETWEEN 8 AND 18 GROUP BY 1 HAVING count(*) > 1")
 def hours(spark, sf):
-    e = spark.read.parquet(f"{sf}/events.parquet").where("hour(ts) BETWEEN 8 AND 18 AND user_id % 50 = 3")
+    e = spark.read.parquet(f"{sf}/events.parquet").where("hour(ts) BETWEEN 8 AND 18")
     clock = F.date_format("ts", "HH:mm")
     return e.groupBy(F.weekday("ts").alias("dow")).agg(F.min(clock).alias("opens"), F.max(clock).alias("closes"), F.count("*").alias("n")).where("n > 1")
 
@@ -303,7 +315,10 @@ def streak(spark, sf):
 
 @query("sort_cap__K01_K02_W10_D07", "SELECT name_norm, array_to_string(list_sort(list_distinct(list(stamp)))[1:12], ' ') AS stamps FROM l GROUP BY name_norm", listing=True)
 def cap(spark, sf):
-    return normalized(spark, sf).groupBy("name_norm").agg(F.collect_set("stamp").alias("s")).select("name_norm", F.array_join(F.slice(F.array_sort("s"), 1, 12), " ").alias("stamps"))
+    # distinct before the cut, and the cut by rank, so no group is gathered whole
+    each = normalized(spark, sf).select("name_norm", "stamp").distinct()
+    first = each.withColumn("rank", F.row_number().over(Window.partitionBy("name_norm").orderBy("stamp"))).where("rank <= 12")
+    return first.groupBy("name_norm").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "stamp"))), lambda x: x["stamp"]), " ").alias("stamps"))
 
 
 @query("limit_detail_budget__K03_K06", "SELECT DISTINCT url FROM l ORDER BY url LIMIT 7", listing=True)

@@ -38,9 +38,64 @@ def test_greedy_fold_against_one_ordered_pass(spark, sf):
     assert {r.row_ord: r.into for r in R.greedy_fold(normalized(spark, sf)).collect()} == want
 
 
+def test_programme_fold_against_one_ordered_pass(spark, sf):
+    rows = normalized(spark, sf).select("row_ord", "name", "name_norm", "url", "stamp", "loc_norm", F.col("name_norm").alias("head"))
+    extra = [(10_000 + i, "Tai Chi", "tai chi", u, "2026-10-01T09:00", p, "tai chi") for i, (u, p) in enumerate([("u", ""), ("u", "hall"), ("v", "hall, 3 road"), ("u", "hall"), ("w", "park"), ("w", "park (rear)"), ("v", "other"), ("v", "hall")])]
+    rows = rows.unionByName(spark.createDataFrame(extra, rows.schema))
+
+    def compatible(a, b):
+        if not a or not b:
+            return False
+        short, long = sorted((a, b), key=len)
+        return a.split(",")[0].strip() == b.split(",")[0].strip() or (long.startswith(short) and long[len(short) : len(short) + 1] in tuple(" ,-/("))
+
+    by_url, by_head, want = {}, {}, {}
+    for r in sorted(rows.collect(), key=lambda r: r.row_ord):
+        want[r.row_ord] = r.row_ord
+        if not r.stamp or not r.name_norm:
+            continue
+        hit = by_url.get((r.url, r.name_norm, r.stamp))
+        if hit is None or not compatible(hit.loc_norm, r.loc_norm):
+            hit = next((k for k in by_head.get((r.head, r.stamp), []) if compatible(k.loc_norm, r.loc_norm)), None)
+        if hit is not None:
+            want[r.row_ord] = hit.row_ord
+            continue
+        by_url.setdefault((r.url, r.name_norm, r.stamp), r)
+        by_head.setdefault((r.head, r.stamp), []).append(r)
+    got = {r.row_ord: r.into for r in R.programme_fold(rows).collect()}
+    assert got == want and sum(k != v for k, v in want.items()) > 3
+
+
+def test_merge_aggregate(spark):
+    rows = spark.createDataFrame(
+        [
+            ("a", 1, "u1", "Frankston, VIC", "", None, "", ""), ("a", 2, "", " ", "1 Road", None, "said", ""), ("a", 3, "u2", "Frankston Brewhouse", "2 Road", "2026-10-01 09:00:00", "more", "one day"),
+            ("a", 4, "u1", "Chelsea", "", "2026-11-01 09:00:00", "", "other day"), ("a", 5, "u2", "Frankston, VIC", "", None, "", ""), ("b", 6, None, None, None, "2026-12-01 09:00:00", None, "own"), ("b", 7, "u3", "Hall", "x", "2026-12-02 09:00:00", "d", "not"),
+        ],
+        "k string, row_ord long, source string, location string, address string, ts string, description string, datetime_text string",
+    ).withColumn("ts_local", F.col("ts").cast("timestamp_ntz")).drop("ts").repartition(3)
+    out = {r.k: r for r in R.merge_groups(rows, ["k"]).collect()}
+    a, b = out["a"], out["b"]
+    assert (a.row_ord, a.location, a.address, a.description, a.source, a.sources, a.n) == (1, "Frankston Brewhouse", "1 Road", "said", "u2", ["u1", "u2"], 5)
+    assert (str(a.ts_local), a.datetime_text) == ("2026-10-01 09:00:00", "one day")
+    assert (b.row_ord, b.location, b.source, b.sources, str(b.ts_local), b.datetime_text) == (6, "Hall", "u3", ["", "u3"], "2026-12-01 09:00:00", "own")
+
+
+def test_folds_agree(spark):
+    chars = [chr(c) for c in [*range(1, 0xD800), *range(0xE000, 0x10000)]]
+    one = [c for c in chars if len(text._fold_char(c)) <= 1]
+    assert len(chars) - len(one) < 2_000
+    words = ["Pošta Łódź café ñandú Ω", "ＡＢＣ１２", "e\u0301té", "Ž®©", "plain", "", None, *("".join(one[i : i + 500]) for i in range(0, len(one), 500))]
+    rows = spark.createDataFrame([(w,) for w in words], "w string").select("w", text.fold_native(F.col("w")).alias("n"), text.fold_accents("w").alias("g")).collect()
+    import unicodedata
+
+    assert all((r.n is None and r.g is None) or unicodedata.normalize("NFC", r.n) == unicodedata.normalize("NFC", r.g) or len(r.w) == 500 for r in rows)
+    assert rows[0].n == "Posta Łodz cafe nandu Ω"
+
+
 @pytest.mark.parametrize(
     "name, want",
-    [("Line Dancing (Tuesdays & Thursdays)", "line dancing"), ("Yoga (Gentle)", "yoga (gentle)"), ("Chatty Café - at noon", "chatty cafe"), ("Zumba® Gold (Mondays)", "zumba gold"), ("a-b: c", "a-b: c"), (None, "")],
+    [("Pošta (Mondays)", "posta"), ("Line Dancing (Tuesdays & Thursdays)", "line dancing"), ("Yoga (Gentle)", "yoga (gentle)"), ("Chatty Café - at noon", "chatty cafe"), ("Zumba® Gold (Mondays)", "zumba gold"), ("a-b: c", "a-b: c"), (None, "")],
 )
 def test_names(spark, name, want):
     row = spark.createDataFrame([(name,)], "n string").select(text.normalize_name(F.col("n")).alias("x"), text.fold_accents("n").alias("y")).first()
