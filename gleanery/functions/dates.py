@@ -70,6 +70,30 @@ def parse_time(c: Column) -> Column:
     return F.when(g[0] != "", F.when(end >= start, start)).when(s[0] != "", lone).otherwise(plain)
 
 
+def first_time(c: Column) -> Column:
+    """HH:mm of the first time that a text states, noon and midday included ("12noon", "at midday"); empty without one."""
+    said = F.lower(F.coalesce(c, F.lit("")))
+    stated = r"(\d{1,2})[:.](\d{2})\s*([ap])\.?m?\b|\b(\d{1,2})\s*([ap])\.?m\b|\b(?:\d{1,2}\s*)?(noon|midday)\b"
+    g = [F.regexp_extract(said, stated, i) for i in range(7)]
+    clock = F.when(g[1] != "", _clock(F.nullif(g[1], F.lit("")), g[2], g[3])).when(g[4] != "", _clock(F.nullif(g[4], F.lit("")), F.lit(""), g[5])).when(g[6] != "", F.lit("12:00"))
+    return F.coalesce(clock, F.lit(""))
+
+
+def range_starts(lines: Column) -> Column:
+    """(line, at) of every time range of an array of lines, from 0: its start, which takes the end's am or pm where it has none."""
+    span = r"\d{1,2}(?:[.:]\d{2})?\s*(?:am|pm)?\s*(?:-|–|to)\s*\d{1,2}(?:[.:]\d{2})?\s*(?:am|pm)"
+
+    def start(m: Column) -> Column:
+        one = r"^(\d{1,2})(?:[.:](\d{2}))?\s*([ap]?)"
+        own = F.regexp_extract(m, one, 3)
+        return _clock(F.regexp_extract(m, one, 1), F.regexp_extract(m, one, 2), F.when(own != "", own).otherwise(F.regexp_extract(m, r"([ap])m$", 1)))
+
+    def of_line(line: Column, i: Column) -> Column:
+        return F.transform(F.regexp_extract_all(F.lower(F.coalesce(line, F.lit(""))), F.lit(f"({span})"), 1), lambda m: F.struct(i.alias("line"), start(m).alias("at")))
+
+    return F.filter(F.flatten(F.transform(lines, of_line)), lambda x: x["at"].isNotNull())
+
+
 def nth_weekday(month_start: Column, nth: Column, weekday: Column) -> Column:
     """The nth weekday (0 is Monday) of a month; null where there is no fifth."""
     first = F.date_add(month_start, F.pmod(weekday - F.weekday(month_start), F.lit(7)).cast("int"))

@@ -130,6 +130,42 @@ def price_sort(c: Column) -> Column:
     return F.when(F.lower(text).rlike(r"\bfree\b"), F.lit(0.0)).when(F.lower(text).rlike(r"gold\s+coin"), F.lit(1.0)).otherwise(F.nullif(amount, F.lit("")).cast("double"))
 
 
+# Calls to action that follow a cost on a page.
+CALLS_TO_ACTION = ("Book here", "FIND OUT MORE BUTTON", "View & Book", "Read more", "More info", "Enrol now", "Book now")
+
+
+def cut_at_word(c: Column, most: int) -> Column:
+    """At most `most` characters, cut before the last blank within them where the text is longer."""
+    head = F.substring(c, 1, most)
+    return F.when(F.length(c) <= most, c).otherwise(F.regexp_replace(head, r" [^ ]*$", ""))
+
+
+def clean_cost(c: Column, calls: tuple[str, ...] = CALLS_TO_ACTION, most: int = 60) -> Column:
+    """A cost without what the page put after it: cut at the first call to action, rules of = gone, 60 characters at most."""
+    said = F.coalesce(c, F.lit(""))
+    low = F.lower(said)
+    found = F.array_min(F.filter(F.array(*[F.instr(low, x.lower()) for x in calls]), lambda i: i > 0))
+    cut = F.when(found.isNull(), said).otherwise(F.substring(said, F.lit(1), found - 1))
+    return cut_at_word(F.regexp_replace(squeeze(F.translate(cut, "=", "")), r"^[ \-|;,.]+|[ \-|;,.]+$", ""), most)
+
+
+def clean_title(c: Column, most: int = 80) -> Column:
+    """A title without zero-width and unreadable characters, 80 characters at most."""
+    return F.substring(squeeze(F.translate(F.translate(F.coalesce(c, F.lit("")), "\u200b\xa0", "  "), "\ufffd", "")), 1, most)
+
+
+def keep_start(c: Column, most: int = 120) -> Column:
+    """The beginning of a long text, with three dots for what is gone."""
+    clean = squeeze(c)
+    return F.when(F.length(clean) <= most, clean).otherwise(F.concat(F.regexp_replace(F.substring(clean, 1, most), r"[ ,]+$", ""), F.lit("...")))
+
+
+def strip_comments(c: Column) -> Column:
+    """Source text without comments of HTML and CSS, and without the lines that are a comment of JavaScript as a whole."""
+    blocks = F.regexp_replace(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?s)<!--.*?-->", ""), r"(?s)/\*.*?\*/", "")
+    return F.array_join(F.filter(F.split(blocks, "\n"), lambda line: ~F.startswith(F.ltrim(line), F.lit("//"))), "\n")
+
+
 def safe_url(c: Column) -> Column:
     """The url if it is http, https, mailto or local; else empty."""
     u = F.trim(F.coalesce(c, F.lit("")))

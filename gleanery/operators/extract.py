@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, MapType, StringType, StructField, StructType
 
+from gleanery.functions import dates
+
 PAGE = StructType(
     [
         StructField("title", StringType()),
@@ -123,16 +125,148 @@ def labelled(text: Column, label: str, labels: tuple[str, ...]) -> Column:
     return F.substring(F.trim(F.regexp_extract(text, rf"(?is)\b{label}\s*:\s*(.*?)(?:\b(?:{nxt})\s*:|$)", 1)), 1, 200)
 
 
-EVENT = "startDate string, endDate string, name string, description string"
+def json_ld_event(text: Column) -> Column:
+    """The first Event of a JSON-LD document, an object or a list of any things: its fields, and its location as text whatever shape it has (an object's name,
+    that of a list's first object, or the text itself)."""
+    document = F.try_parse_json(text)
+    things = F.coalesce(F.try_variant_get(document, "$", "array<variant>"), F.array(document))
+    event = F.get(F.filter(things, lambda v: F.try_variant_get(v, "$['@type']", "string") == "Event"), F.lit(0))
+    get = lambda p: F.try_variant_get(event, p, "string")
+    places = F.try_variant_get(event, "$.location", "array<variant>")
+    named = F.get(F.filter(F.transform(places, lambda v: F.try_variant_get(v, "$.name", "string")), lambda x: x.isNotNull()), F.lit(0))
+    place = F.coalesce(get("$.location.name"), named, F.when(places.isNull(), get("$.location")))
+    return F.when(event.isNotNull(), F.struct(get("$.name").alias("name"), get("$.startDate").alias("start"), get("$.endDate").alias("end"), place.alias("place")))
+
+
+class _Picker(HTMLParser):
+    """Texts of the elements that selectors name, in document order. A selector is a tag, .class, [class*=part], #id, tag.bare (no class), or two of these with a
+    blank between (the second anywhere within the first)."""
+
+    def __init__(self, selectors: tuple[str, ...]) -> None:
+        super().__init__(convert_charrefs=True)
+        self.selectors = [s.split() for s in selectors]
+        self.found: list[list[list[str]]] = [[] for _ in selectors]
+        self.open: list[tuple[str, dict, list[list[str]]]] = []
+
+    @staticmethod
+    def fits(selector: str, tag: str, attrs: dict) -> bool:
+        classes = attrs.get("class") or ""
+        if selector.startswith("."):
+            return selector[1:] in classes.split()
+        if selector.startswith("#"):
+            return attrs.get("id") == selector[1:]
+        if selector.startswith("[class*="):
+            return selector[8:-1] in classes
+        name, _, bare = selector.partition(".")
+        return tag == name and (not bare or not classes)
 
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag in _VOID:
+            self.handle_data(" ")
+            return
+        if tag in _BLOCK and any(t == "p" for t, _, _ in self.open):  # an unclosed paragraph ends here
+            self.handle_endtag("p")
+        own, held = dict(attrs), []
+        for selector, found in zip(self.selectors, self.found, strict=True):
+            if self.fits(selector[-1], tag, own) and (len(selector) == 1 or any(self.fits(selector[0], t, a) for t, a, _ in self.open)):
+                found.append([])
+                held.append(found[-1])
+        self.open.append((tag, own, held))
+        self.handle_data(" ")
 
-def json_ld_event(text: Column) -> Column:
-    """The first Event of a JSON-LD document (an object or a list): its fields, and its location as text whatever shape it has."""
-    v = F.try_parse_json(text)
-    one = F.coalesce(F.try_variant_get(v, "$[0]", "variant"), v)
-    get = lambda p: F.try_variant_get(one, p, "string")
-    place = F.coalesce(get("$.location.name"), get("$.location[0].name"), get("$.location"))
-    return F.when(get("$['@type']") == "Event", F.struct(get("$.name").alias("name"), get("$.startDate").alias("start"), get("$.endDate").alias("end"), place.alias("place")))
+    def handle_endtag(self, tag: str) -> None:
+        if any(t == tag for t, _, _ in self.open):
+            while self.open and self.open.pop()[0] != tag:
+                pass
+            self.handle_data(" ")
+
+    def handle_data(self, data: str) -> None:
+        if not self.open or self.open[-1][0] not in ("script", "style"):
+            for _, _, held in self.open:
+                for parts in held:
+                    parts.append(data)
+
+
+def pick(html: str | None, selectors: tuple[str, ...]) -> list[list[str]]:
+    """For each selector the texts of its elements, blanks squeezed."""
+    p = _Picker(selectors)
+    p.feed(html or "")
+    return [[" ".join("".join(parts).split()) for parts in found] for found in p.found]
+
+
+def picked(html: Column, selectors: tuple[str, ...]) -> Column:
+    """pick as a column: an array of texts for each selector. One pass over the tree for all of them."""
+
+    @F.pandas_udf(ArrayType(ArrayType(StringType())))
+    def run(values: pd.Series) -> pd.Series:
+        return pd.Series([pick(v, selectors) for v in values])
+
+    return run(html)
+
+
+def first_of(texts: Column, places: tuple[int, ...], but: tuple[str, ...] = ()) -> Column:
+    """The first text that isn't blank (nor one of `but`) of the selectors at these places, in their order; empty without one."""
+    every = F.flatten(F.array(*[F.get(texts, F.lit(i)) for i in places]))
+    return F.coalesce(F.get(F.filter(every, lambda x: (x != "") & ~F.lower(x).isin(*but, "")), F.lit(0)), F.lit(""))
+
+
+#: Where a page keeps its facts: description, address and price, each by the first selector that is there.
+FACTS = ((".event-description", ".item-detail", "main"), ("[class*=address]", ".event-location"), ("[class*=cost]",))
+
+
+def page_facts(pages: DataFrame, html_col: str, facts: tuple[tuple[str, ...], ...] = FACTS) -> DataFrame:
+    """pages with description, address and price."""
+    every = tuple(s for group in facts for s in group)
+    at = [tuple(every.index(s) for s in group) for group in facts]
+    rows = pages.withColumn("__texts", picked(F.col(html_col), every))
+    return rows.withColumns({"description": first_of(F.col("__texts"), at[0]), "address": F.translate(first_of(F.col("__texts"), at[1]), "\xa0", " "), "price": first_of(F.col("__texts"), at[2], ("cost",))}).drop("__texts")
+
+
+def all_dates(html: Column) -> Column:
+    """Every day that a text states as day, month and year, each once, in order; days that don't exist go."""
+    stated = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(rf"(?i)(\b\d{{1,2}}(?:st|nd|rd|th)?\s+(?:{dates._MONTH_ALT})\.?,?\s+\d{{4}}\b)"), 1)
+    return F.array_distinct(F.array_compact(F.transform(stated, dates.day_month_year)))
+
+
+def run_dates(pages: DataFrame, key: str, html_col: str, time_at: str = ".event-date") -> DataFrame:
+    """(key, day, at): every day of a page, with the one time that its date line states (empty without one)."""
+    line = F.array_join(F.get(picked(F.col(html_col), (time_at,)), F.lit(0)), " ")
+    rows = pages.select(key, all_dates(F.col(html_col)).alias("days"), line.alias("line")).select(key, "days", dates.first_time(F.col("line")).alias("at"))
+    return rows.select(key, F.explode("days").alias("day"), "at")
+
+
+def occurrence_dates(pages: DataFrame, key: str, html_col: str, own: tuple[str, ...] = (".event-date", ".event-time"), others: str = "#otherDates a") -> DataFrame:
+    """(key, day, at): the page's own day and time, and those of its list of other dates; the start of its JSON-LD event where it states no day of its own. A day counts once, as first said."""
+    texts = picked(F.col(html_col), (*own, others))
+    rows = pages.select(key, texts.alias("t"), json_ld_event(F.regexp_extract(html_col, r'(?s)<script type="application/ld\+json">(.*?)</script>', 1))["start"].alias("start"))
+    said = F.array_join(F.flatten(F.slice("t", 1, len(own))), " ")
+    stated = lambda x: F.struct(dates.day_month_year(x).alias("day"), dates.first_time(x).alias("at"))
+    linked = F.struct(F.substring("start", 1, 10).try_cast("date").alias("day"), F.coalesce(F.nullif(F.substring("start", 12, 5), F.lit("")), F.lit("")).alias("at"))
+    first = F.when(dates.day_month_year(said).isNotNull(), stated(said)).otherwise(linked)
+    every = F.concat(F.array(first), F.transform(F.get("t", F.lit(len(own))), stated))
+    exploded = rows.select(key, F.posexplode(every).alias("i", "d")).where("d.day is not null")
+    return exploded.groupBy(key, F.col("d.day").alias("day")).agg(F.min_by("d.at", "i").alias("at"))
+
+
+def card_summaries(pages: DataFrame, html_col: str, card: str = "article") -> DataFrame:
+    """pages with summary, the first paragraph without a class within a card, and prose, what the page says before its Location heading."""
+    rows = pages.withColumn("__texts", picked(F.col(html_col), (f"{card} p.bare", "main", "body")))
+    whole = F.coalesce(F.nullif(first_of(F.col("__texts"), (1, 2)), F.lit("")), F.lit(""))
+    return rows.withColumns({"summary": first_of(F.col("__texts"), (0,)), "prose": F.trim(F.regexp_replace(whole, r"(?s)\bLocation\b.*$", ""))}).drop("__texts")
+
+
+def duplicate_ids(pages: DataFrame, key: str, html_col: str) -> DataFrame:
+    """(key, id, n) of ids that a page gives to several elements."""
+    ids = pages.select(key, F.explode(F.regexp_extract_all(html_col, F.lit(r"""(?i)<[a-z][^>]*?\sid\s*=\s*["']([^"']+)["']"""), 1)).alias("id"))
+    return ids.groupBy(key, "id").agg(F.count("*").alias("n")).where("n > 1")
+
+
+def css_rules(pages: DataFrame, key: str, html_col: str) -> DataFrame:
+    """(key, selector, n): the rules of a page's style elements, without comments, and how often each selector has one."""
+    styles = F.array_join(F.regexp_extract_all(html_col, F.lit(r"(?is)<style[^>]*>(.*?)</style>"), 1), "\n")
+    bare = F.regexp_replace(styles, r"(?s)/\*.*?\*/", "")
+    rules = pages.select(key, F.explode(F.regexp_extract_all(bare, F.lit(r"([^{}]+)\{[^{}]*\}"), 1)).alias("r"))
+    return rules.groupBy(key, F.trim(F.regexp_replace("r", r"\s+", " ")).alias("selector")).agg(F.count("*").alias("n"))
 
 
 def signals(text: Column) -> Column:
@@ -160,7 +294,7 @@ def rejoin_urls(text: Column) -> Column:
     return F.regexp_replace(text, r"(https?://\S*[/\-_.])\s*\n\s*([a-z0-9][^\s]*)", "$1$2")
 
 
-def clean_cost(text: Column) -> Column:
+def leading_price(text: Column) -> Column:
     """Mojibake repaired and only the leading price words kept."""
     fixed = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, "â€™", "'"), "â€“", "–"), "Â", "")
     return F.trim(F.regexp_extract(fixed, r"(?i)^\s*((?:free|gold coin(?: donation)?|\$\s*\d+(?:\.\d{2})?)(?:\s*(?:per|a)\s+\w+)?)", 1))

@@ -15,7 +15,7 @@ def pages(spark, sf):
     return spark.read.parquet(f"{sf}/pages.parquet")
 
 
-@query("extract_title__X07_X22_X24", "SELECT page_id, replace(replace(replace(trim(regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '\\s+', ' ', 'g')), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS title FROM pages")
+@query("extract_title__X07", "SELECT page_id, replace(replace(replace(trim(regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '\\s+', ' ', 'g')), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS title FROM pages")
 def title(spark, sf):
     return X.parse_pages(pages(spark, sf), "html").select("page_id", F.col("page.title").alias("title"))
 
@@ -38,21 +38,65 @@ def pager(spark, sf):
     return pages(spark, sf).select("page_id", X.last_page(F.concat("url", F.lit("&page="), n, F.lit("&page=3"))).alias("last_page"), X.page_of(F.concat(F.lit("Page 1 of "), n)).alias("of_pages"))
 
 
-@query("extract_links__X25_S17", "SELECT page_id, len(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1))::INT AS n_links, len(list_distinct(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)))::INT AS n_distinct FROM pages")
+@query("extract_links__X01", "SELECT page_id, len(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1))::INT AS n_links, len(list_distinct(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)))::INT AS n_distinct FROM pages")
 def links(spark, sf):
     found = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), 1)
     return pages(spark, sf).select("page_id", F.size(found).alias("n_links"), F.size(F.array_distinct(found)).alias("n_distinct"))
 
 
-@query("extract_json_ld__X10_S04", "SELECT s_suppkey, s_name AS name, concat('2026-10-', lpad(CAST(s_suppkey % 28 + 1 AS VARCHAR), 2, '0')) AS start, CASE s_suppkey % 3 WHEN 0 THEN 'Hall' WHEN 1 THEN 'Room' ELSE 'Park' END AS place FROM supplier WHERE s_suppkey % 4 <> 0")
+@query("extract_json_ld__X10", "SELECT s_suppkey, s_name AS name, concat('2026-10-', lpad(CAST(s_suppkey % 28 + 1 AS VARCHAR), 2, '0')) AS start, CASE s_suppkey % 4 WHEN 0 THEN 'Hall' WHEN 1 THEN 'Room' WHEN 2 THEN 'Park' END AS place FROM supplier WHERE s_suppkey % 5 <> 0")
 def json_ld(spark, sf):
-    place = F.when(F.col("s_suppkey") % 3 == 0, '{"name":"Hall"}').when(F.col("s_suppkey") % 3 == 1, '[{"name":"Room"}]').otherwise('"Park"')
-    body = F.concat(F.lit('{"@type":"'), F.when(F.col("s_suppkey") % 4 == 0, "Place").otherwise("Event"), F.lit('","name":"'), "s_name", F.lit('","startDate":"2026-10-'), F.lpad((F.col("s_suppkey") % 28 + 1).cast("string"), 2, "0"), F.lit('","location":'), place, F.lit("}"))
-    doc = F.when(F.col("s_suppkey") % 2 == 0, body).otherwise(F.concat(F.lit("["), body, F.lit("]")))
+    k = F.col("s_suppkey")
+    place = F.when(k % 4 == 0, '{"name":"Hall"}').when(k % 4 == 1, '["x",{"a":1},{"name":"Room"}]').when(k % 4 == 2, '"Park"').otherwise("[]")
+    body = F.concat(F.lit('{"@type":"'), F.when(k % 5 == 0, "Place").otherwise("Event"), F.lit('","name":"'), "s_name", F.lit('","startDate":"2026-10-'), F.lpad((k % 28 + 1).cast("string"), 2, "0"), F.lit('","location":'), place, F.lit("}"))
+    doc = F.when(k % 3 == 0, body).when(k % 3 == 1, F.concat(F.lit('[{"@type":"Place"},7,'), body, F.lit(',{"@type":"Event","name":"later"}]'))).otherwise(F.concat(F.lit("["), body, F.lit("]")))
+    doc = F.when((k % 3 == 1) & (k % 5 == 0), F.lit('[{"@type":"Place"}]')).otherwise(doc)
     out = spark.read.parquet(f"{sf}/supplier.parquet").select("s_suppkey", X.json_ld_event(doc).alias("e")).where("e is not null")
     return out.select("s_suppkey", F.col("e.name").alias("name"), F.col("e.start").alias("start"), F.col("e.place").alias("place"))
 
 
+def detail(spark, sf):
+    """A made-up detail page for each supplier: facts in marked elements, dates in prose, a list of other dates."""
+    k = F.col("s_suppkey")
+    day = (k % 27 + 1).cast("string")
+    own = F.when(k % 3 == 0, F.lit("")).otherwise(F.concat(F.lit('<div class="event-date">Next: '), day, F.lit(' October 2026</div><span class="event-time">6:30 PM - 8:30 PM</span>')))
+    ld = F.concat(F.lit('<script type="application/ld+json">[{"@type":"Event","startDate":"2026-11-'), F.lpad(day, 2, "0"), F.lit('T09:15:00"}]</script>'))
+    described = F.when(k % 2 == 0, F.concat(F.lit('<p class="event-description big">About '), "s_name", F.lit("</p>"))).otherwise("")
+    price = F.when(k % 4 == 0, '<b class="cost-label">Cost</b><b class="x-cost">$5</b>').otherwise("")
+    html = F.concat(F.lit("<body><main><article><p class='meta'>no</p><p>Card of "), "s_name", F.lit("</article>"), own, described, F.lit('<div class="event-location">1&nbsp;High St</div>'), price, F.lit('<ul id="otherDates"><li><a>Friday 30 October 2026, 10 am</a><li><a>31 February 2026</a></ul><h2 id="a">Location</h2>Hall</main><style>/* x */ p { a: b } p { c: d } q{}</style><i id="a"></i>'), ld)
+    return spark.read.parquet(f"{sf}/supplier.parquet").select("s_suppkey", "s_name", html.alias("html"))
+
+
+@query("extract_page_facts__X22", """SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 'About ' || s_name ELSE concat('no Card of ', s_name, CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE concat(' Next: ', s_suppkey % 27 + 1, ' October 2026 6:30 PM - 8:30 PM') END, ' 1 High St',
+ CASE WHEN s_suppkey % 4 = 0 THEN ' Cost $5' ELSE '' END, ' Friday 30 October 2026, 10 am 31 February 2026 Location Hall') END AS description, '1 High St' AS address, CASE WHEN s_suppkey % 4 = 0 THEN '$5' ELSE '' END AS price FROM supplier""")
+def page_facts(spark, sf):
+    return X.page_facts(detail(spark, sf), "html").select("s_suppkey", "description", "address", "price")
+
+
+@query("extract_occurrence_dates__X09", """SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN DATE '2026-11-01' ELSE DATE '2026-10-01' END + (s_suppkey % 27)::INT AS day, CASE WHEN s_suppkey % 3 = 0 THEN '09:15' ELSE '18:30' END AS at_time FROM supplier
+ UNION ALL SELECT s_suppkey, DATE '2026-10-30', '10:00' FROM supplier""")
+def occurrence_dates(spark, sf):
+    return X.occurrence_dates(detail(spark, sf), "s_suppkey", "html").withColumnRenamed("at", "at_time")
+
+
+@query("extract_run_dates__X16_S17", """SELECT s_suppkey, DATE '2026-10-01' + (s_suppkey % 27)::INT AS day, '' AS at_time FROM supplier WHERE s_suppkey % 3 <> 0 UNION ALL SELECT s_suppkey, DATE '2026-10-30', '' FROM supplier""")
+def run_dates(spark, sf):
+    return X.run_dates(detail(spark, sf), "s_suppkey", "html").withColumnRenamed("at", "at_time")
+
+
+@query("extract_card_summary__X24", "SELECT s_suppkey, 'Card of ' || s_name AS summary, NOT contains('x', 'Hall') AS cut FROM supplier")
+def card_summary(spark, sf):
+    out = X.card_summaries(detail(spark, sf), "html")
+    return out.select("s_suppkey", "summary", (~F.contains("prose", F.lit("Hall"))).alias("cut"))
+
+
+@query("extract_markup_lint__X25", "SELECT s_suppkey, 'id a' AS what, 2::BIGINT AS n FROM supplier UNION ALL SELECT s_suppkey, 'rule p', 2 FROM supplier UNION ALL SELECT s_suppkey, 'rule q', 1 FROM supplier")
+def markup_lint(spark, sf):
+    d = detail(spark, sf)
+    ids = X.duplicate_ids(d, "s_suppkey", "html").select("s_suppkey", F.concat(F.lit("id "), "id").alias("what"), "n")
+    return ids.unionByName(X.css_rules(d, "s_suppkey", "html").select("s_suppkey", F.concat(F.lit("rule "), "selector").alias("what"), "n"))
+
+
 @query("extract_calendar_json__S08", "SELECT o_orderkey, concat('Event ', CAST(o_orderkey AS VARCHAR)) AS name, CASE o_orderkey % 4 WHEN 3 THEN NULL ELSE concat('venue', CAST(o_orderkey % 4 AS VARCHAR)) END AS venue, o_orderkey % 4 <> 3 AS complete FROM orders")
 def calendar(spark, sf):
     item = F.concat(F.lit('{"data":[{"Items":[{"Name":"Event '), F.col("o_orderkey").cast("string"), F.lit('","DateTime":"2026-10-01T00:00","CalendarId":"'), (F.col("o_orderkey") % 4).cast("string"), F.lit('"}]}]}'))
@@ -77,7 +121,7 @@ def split_address(spark, sf):
 
 @query("extract_guide_cleanup__X17_X18_X20_S18", r"""SELECT row_ord, concat('see https://x.invalid/a-', 'b', CAST(row_ord AS VARCHAR)) AS url_text, coalesce(regexp_extract(price_text, '(?i)^\s*((?:free|gold coin(?: donation)?|\$\s*\d+(?:\.\d{2})?)(?:\s*(?:per|a)\s+\w+)?)', 1), '') AS cost FROM listings""", listing=True)
 def guide(spark, sf):
-    return listings(spark, sf).select("row_ord", X.rejoin_urls(F.concat(F.lit("see https://x.invalid/a-\n b"), F.col("row_ord").cast("string"))).alias("url_text"), X.clean_cost(F.col("price_text")).alias("cost"))
+    return listings(spark, sf).select("row_ord", X.rejoin_urls(F.concat(F.lit("see https://x.invalid/a-\n b"), F.col("row_ord").cast("string"))).alias("url_text"), X.leading_price(F.col("price_text")).alias("cost"))
 
 
 @query("extract_hours_schedule__X14_A10", """WITH s AS (SELECT user_id, (isodow(ts) - 1)::INT AS dow, (hour(ts) * 60)::INT AS a, (hour(ts) * 60 + 90)::INT AS b FROM events WHERE hour(ts) BETWEEN 8 AND 18),
@@ -90,16 +134,18 @@ def hours_schedule(spark, sf):
     return X.hours_schedule(sessions, "user_id")
 
 
-ENTRIES = [
-    {"id": "a", "name": "A", "type": "listing", "url": "u", "snapshot": "a.json"},
-    {"id": "a", "name": "", "type": "sitemap", "url": "u", "snapshot": "a.json"},
-    {"name": "C", "type": "other"},
-]
+CONFIG = """
+webfetch:
+  - {id: a, name: A, type: listing, url: u, snapshot: a.json}
+  - {id: a, name: "", type: sitemap, url: u, snapshot: a.json}
+sources:
+  - {name: C, type: other}
+"""
 
 
-@query("source_config_faults__S01_S02_S03", "SELECT * FROM (VALUES (0, 'id used twice: a'), (0, 'snapshot used twice: a.json'), (1, 'id used twice: a'), (1, 'missing max_pages'), (1, 'missing name'), (1, 'snapshot used twice: a.json'), (2, 'missing id'), (2, 'unknown type other')) t(ord, fault)")
+@query("source_config_faults__S02_S03", "SELECT * FROM (VALUES (0, 'id used twice: a'), (0, 'snapshot used twice: a.json'), (1, 'id used twice: a'), (1, 'missing max_pages'), (1, 'missing name'), (1, 'snapshot used twice: a.json'), (2, 'missing id'), (2, 'unknown type other')) t(ord, fault)")
 def config(spark, sf):
-    return S.validate_config(spark, ENTRIES)
+    return S.validate_config(spark, S.parse_config(CONFIG, yaml_text=True))
 
 
 @query("source_archive_faults__S07", "SELECT row_ord, 'unknown source' AS fault FROM listings WHERE source_id <> 'click' UNION ALL SELECT row_ord, 'unknown status' FROM listings WHERE row_ord % 4 = 0 UNION ALL SELECT row_ord, 'missing status' FROM listings WHERE row_ord % 4 = 1", listing=True)
@@ -134,6 +180,17 @@ def term_rows(spark, sf):
     return e.select("event_id", F.explode(dates.weekly_term(start, F.date_add(start, (F.col("event_id") % 80).cast("int")))).alias("day"))
 
 
+@query("incremental_sitemap__S16_T02", """WITH i AS (SELECT DISTINCT n_regionkey % 3 AS sitemap FROM nation), c AS (SELECT page_id % 5 AS sitemap, url FROM pages), d AS (SELECT url FROM pages WHERE page_id % 4 = 0), u AS (SELECT DISTINCT url FROM c WHERE sitemap IN (SELECT sitemap FROM i) AND url NOT IN (SELECT url FROM d))
+ SELECT url, 'left' AS state FROM u UNION ALL SELECT DISTINCT url, 'done' FROM (SELECT url FROM d UNION ALL SELECT url FROM u)""")
+def sitemap(spark, sf):
+    p = pages(spark, sf)
+    index = spark.read.parquet(f"{sf}/nation.parquet").select((F.col("n_regionkey") % 3).cast("long").alias("sitemap"))
+    done = p.where("page_id % 4 = 0").select("url")
+    left = S.sitemap_urls(index, p.select((F.col("page_id") % 5).alias("sitemap"), "url"), done)
+    state, _ = S.resume(done, done.withColumn("row", F.lit("old")), left.withColumn("row", F.lit("new")))
+    return left.withColumn("state", F.lit("left")).unionByName(state.withColumn("state", F.lit("done")))
+
+
 @query("incremental_next_slice__S16_T02_K03", "SELECT DISTINCT url FROM pages WHERE page_id % 3 <> 0 AND url NOT IN (SELECT url FROM pages WHERE page_id % 3 = 0) ORDER BY url LIMIT 45")
 def next_slice(spark, sf):
     p = pages(spark, sf)

@@ -105,11 +105,36 @@ SELECT row_ord, CASE WHEN r IS NOT NULL THEN CASE WHEN t2 >= t1 THEN t1 END WHEN
   WHEN k.h <> '' THEN CASE WHEN TRY_CAST(k.h AS INT) <= 23 AND TRY_CAST(k.m AS INT) <= 59 THEN printf('%02d:%02d', TRY_CAST(k.h AS INT), TRY_CAST(k.m AS INT)) END END AS start FROM e"""
 
 
-@query("scalar_parse_time__C06_C07_C08_C17", _TIME_SQL, listing=True)
+@query("scalar_parse_time__C06_C07", _TIME_SQL, listing=True)
 def parse_time(spark, sf):
     return listings(spark, sf).select("row_ord", dates.parse_time(F.concat_ws(" ", "datetime_text", "description")).alias("start"))
 
 
+@query("scalar_first_time__C17", """SELECT row_ord, CASE row_ord % 6 WHEN 0 THEN '12:00' WHEN 1 THEN '12:00' WHEN 2 THEN '21:05' WHEN 3 THEN '00:15' WHEN 4 THEN '07:00' ELSE '' END AS start FROM listings""", listing=True)
+def first_time(spark, sf):
+    said = ("from 12noon to 1.30pm", "11 midday, then 3pm", "at 9.05 p.m. or noon", "12:15am", "7am - 8:30am", "this afternoon")
+    return listings(spark, sf).select("row_ord", dates.first_time(F.array(*map(F.lit, said))[(F.col("row_ord") % 6).cast("int")]).alias("start"))
+
+
+@query("scalar_range_starts__C08", """SELECT s_suppkey, '0 09:30,2 ' || lpad(CAST(s_suppkey % 9 + 13 AS VARCHAR), 2, '0') || ':00,2 20:00' AS starts FROM supplier""")
+def range_starts(spark, sf):
+    lines = F.array(F.lit("Mon 9.30-11am"), F.lit("1-31 October, noon"), F.concat((F.col("s_suppkey") % 9 + 1).cast("string"), F.lit(" to 10pm; 8pm – 9.15pm")))
+    starts = F.transform(dates.range_starts(lines), lambda x: F.concat(x["line"].cast("string"), F.lit(" "), x["at"]))
+    return spark.read.parquet(f"{sf}/supplier.parquet").select("s_suppkey", F.array_join(starts, ",").alias("starts"))
+
+
+@query("scalar_cleaners__F09_F15", """SELECT s_suppkey, concat('$', s_suppkey, ' a class') AS cost, concat('Zumba ', s_suppkey) AS title, concat(s_name, ', 1 High Street...') AS start, concat('a', chr(10), 'x = "http://y"; ', s_suppkey) AS code FROM supplier""")
+def cleaners(spark, sf):
+    k, line = F.col("s_suppkey").cast("string"), F.lit("\n")
+    return spark.read.parquet(f"{sf}/supplier.parquet").select(
+        "s_suppkey",
+        text.clean_cost(F.concat(F.lit(" $"), k, F.lit(" a class ==; Find out more BUTTON Book here"))).alias("cost"),
+        text.clean_title(F.concat(F.lit("\u200bZumba\xa0\ufffd"), k)).alias("title"),
+        text.keep_start(F.concat("s_name", F.lit(", 1 High Street, "), F.repeat(F.lit("x"), 200)), 34).alias("start"),
+        text.strip_comments(F.concat(F.lit("a<!-- b\n -->"), line, F.lit("  // gone"), line, F.lit('x = "http://y"; /* c */'), k)).alias("code"),
+    )
+
+
 @query("scalar_combine__C09_C14", "SELECT row_ord, CASE WHEN ts_local IS NOT NULL THEN date_trunc('day', ts_local) + INTERVAL 9 HOUR + INTERVAL 30 MINUTE END AS at_ts FROM listings", listing=True)
 def combine(spark, sf):
     return listings(spark, sf).select("row_ord", (F.date_trunc("day", "ts_local").cast("timestamp_ntz") + F.expr("interval '9:30' hour to minute")).alias("at_ts"))
@@ -207,7 +232,7 @@ def similarity(spark, sf):
     return rows.select(F.col("s_suppkey").alias("i"), F.col("n_nationkey").alias("j"), F.round(text.indel_similarity(F.lower("s_name"), F.lower("n_name")), 6).alias("similarity"))
 
 
-@query("scalar_text_caps__F09_F12_F13_F16_F17_F18", r"""SELECT row_ord, substring(description, 1, 20) AS cap, trim(regexp_replace(replace(lower(address), ',', ' '), '\s+', ' ', 'g')) AS taxonomy_key,
+@query("scalar_text_caps__F12_F13_F16_F17_F18", r"""SELECT row_ord, substring(description, 1, 20) AS cap, trim(regexp_replace(replace(lower(address), ',', ' '), '\s+', ' ', 'g')) AS taxonomy_key,
  lower(regexp_replace(description, '\s*\([^()]*\)\s*$', '')) AS cadence, trim(regexp_replace(location, '^[^,]*,', '')) AS searchable, regexp_extract(address, '\b(3\d{3})\b', 1) AS postcode FROM listings""", listing=True)
 def caps(spark, sf):
     return listings(spark, sf).select(
@@ -248,7 +273,7 @@ def payload(spark, sf):
     return normalized(spark, sf).where("name_norm <> ''").select("row_ord", F.replace(F.to_json(F.struct(F.col("name_norm").alias("n"), F.col("venue").alias("v"))), F.lit("</"), F.lit("<\\/")).alias("payload"), "price_sort")
 
 
-@query("scalar_strip_comments__F15_X25", r"""SELECT page_id, length(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'))::BIGINT AS stripped, len(regexp_extract_all(html, '<p>'))::BIGINT AS p_open, len(regexp_extract_all(html, '</p>'))::BIGINT AS p_close FROM pages""")
+@query("scalar_strip_html_comments__F15", r"""SELECT page_id, length(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'))::BIGINT AS stripped, len(regexp_extract_all(html, '<p>'))::BIGINT AS p_open, len(regexp_extract_all(html, '</p>'))::BIGINT AS p_close FROM pages""")
 def strip_comments(spark, sf):
     return spark.read.parquet(f"{sf}/pages.parquet").select(
         "page_id", F.length(F.regexp_replace("html", r"(?s)<!--.*?-->", "")).cast("long").alias("stripped"), F.regexp_count("html", F.lit("<p>")).cast("long").alias("p_open"), F.regexp_count("html", F.lit("</p>")).cast("long").alias("p_close")

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
-from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,18 +48,109 @@ def read_json(spark: SparkSession, path: str, schema: str = ROW) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
+#: The file of a store that names the folders which are its rows now.
+POINTER = "current.json"
+
+
+def _fs(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def state_of(spark: SparkSession, path: str) -> dict | None:
+    """{"folders": {bucket: folder}, "previous": [folder]} of a store; none where there is no store."""
+    at, fs = _fs(spark, f"{path}/{POINTER}")
+    if not fs.exists(at):
+        return None
+    stream = fs.open(at)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def point_to(spark: SparkSession, path: str, folders: dict[str, str]) -> None:
+    """Make these folders the store's rows, by one rename that replaces the pointer. A crash before it leaves the old rows, after it the new ones. Folders that
+    neither the new pointer nor the one before it names are deleted."""
+    before = state_of(spark, path) or {"folders": {}, "previous": []}
+    draft, fs = _fs(spark, f"{path}/.{POINTER}.{uuid.uuid4().hex}")
+    out = fs.create(draft, True)
+    out.write(json.dumps({"folders": folders, "previous": sorted(set(before["folders"].values()))}).encode())
+    out.close()
+    rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    flags = spark.sparkContext._gateway.new_array(rename, 1)
+    flags[0] = rename.OVERWRITE
+    spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), spark._jsc.hadoopConfiguration()).rename(draft, _fs(spark, f"{path}/{POINTER}")[0], flags)
+    named = {*folders.values(), *before["folders"].values()}
+    for old in set(before["previous"]) - named:
+        fs.delete(_fs(spark, f"{path}/{old}")[0], True)
+
+
 def write_atomic(rows: DataFrame, path: str) -> None:
-    """Write to a neighbouring draft folder, then swap it in by renames."""
+    """Replace a store's rows by new ones in a folder of their own."""
+    folder = f"v-{uuid.uuid4().hex}"
+    rows.write.parquet(f"{path}/{folder}")
+    point_to(rows.sparkSession, path, {"all": folder})
+
+
+def read_store(spark: SparkSession, path: str, schema: str | None = None, only: list[int] | None = None) -> DataFrame | None:
+    """A store's rows, or those of some buckets; none (or an empty table of the schema) where there are none."""
+    state = state_of(spark, path) or {"folders": {}}
+    folders = [f for b, f in sorted(state["folders"].items()) if only is None or int(b) in only]
+    if not folders:
+        return None if schema is None else spark.createDataFrame([], schema)
+    return spark.read.parquet(*[f"{path}/{f}" for f in folders])
+
+
+def replace_buckets(rows: DataFrame, path: str, touched: list[int], bucket: str = "bucket") -> None:
+    """Replace the rows of the touched buckets of a store by rows, whose column `bucket` says where each belongs. Other buckets' files stay as they are."""
     spark = rows.sparkSession
-    jvm = spark.sparkContext._jvm
-    draft, final, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (f"{path}.draft", path, f"{path}.old"))
-    fs = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    rows.write.mode("overwrite").parquet(f"{path}.draft")
-    fs.delete(old, True)
-    if fs.exists(final):
-        fs.rename(final, old)
-    fs.rename(draft, final)
-    fs.delete(old, True)
+    version = f"v-{uuid.uuid4().hex}"
+    rows.repartition(bucket).write.partitionBy(bucket).parquet(f"{path}/{version}")
+    folders = dict((state_of(spark, path) or {"folders": {}})["folders"])
+    for b in touched:
+        folder = f"{version}/{bucket}={b}"
+        at, fs = _fs(spark, f"{path}/{folder}")
+        folders.pop(str(b), None)
+        if fs.exists(at):
+            folders[str(b)] = folder
+    point_to(spark, path, folders)
+
+
+#: Lists of a configuration document, and the group that entries of each belong to.
+GROUPS = {"webfetch": "snapshot", "sources": "shared"}
+
+
+def parse_config(text: str | None, yaml_text: bool = False, groups: dict[str, str] = GROUPS) -> list[dict]:
+    """Every source entry of a document, JSON or YAML, tagged with the group of its list; an empty document has none, a malformed one fails."""
+    if yaml_text:
+        try:
+            import yaml
+        except ImportError as missing:
+            raise ValueError("YAML configuration needs a YAML library") from missing
+        try:
+            document = yaml.safe_load(text or "") or {}
+        except yaml.YAMLError as bad:
+            raise ValueError("malformed configuration") from bad
+    else:
+        document = json.loads(text) if (text or "").strip() else {}
+    if not isinstance(document, dict):
+        raise ValueError("a configuration is a mapping of lists")
+    return [{**entry, "group": group} for name, group in groups.items() for entry in document.get(name) or []]
+
+
+def read_config(spark: SparkSession, path: str) -> list[dict]:
+    """The entries of a configuration file on any file system; .json is JSON, all else YAML."""
+    text = "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
+    return parse_config(text, not path.endswith(".json"))
+
+
+def source_ids(spark: SparkSession, path: str) -> set[str] | None:
+    """Ids that the configuration declares; none, not an empty set, where it can't be read, as an empty set would mean that no source exists any more."""
+    try:
+        return {e["id"] for e in read_config(spark, path) if e.get("id")}
+    except Exception:  # noqa: BLE001  whatever is wrong with the file, its sources are unknown
+        return None
 
 
 def config_frame(spark: SparkSession, entries: list[dict]) -> DataFrame:
@@ -122,13 +214,27 @@ def calendar_rows(responses: DataFrame, body: str, venues: DataFrame) -> DataFra
     return joined.withColumn("complete", F.col("venue").isNotNull())
 
 
-@dataclass
-class CrawlState:
-    """What a resumable crawl has done; kept as two tables, so that a slice is an anti-join."""
+def sitemap_urls(index: DataFrame, children: DataFrame, done: DataFrame) -> DataFrame:
+    """Distinct urls of the child sitemaps that an index names, but for those done. index: (sitemap), children: (sitemap, url), done: (url)."""
+    named = children.join(index.select("sitemap").distinct(), "sitemap", "left_semi")
+    return named.select("url").distinct().join(done.select("url").distinct(), "url", "left_anti")
+
+
+def resume(done: DataFrame, rows: DataFrame, fetched: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Crawl state after a slice: done (url) with the fetched urls, and rows with the fetched rows in place of older ones of their url. Repeating a slice changes nothing.
+
+    fetched: (url, row), row null for a page without any.
+    """
+    return (
+        done.select("url").unionByName(fetched.select("url")).distinct(),
+        rows.join(fetched.select("url").distinct(), "url", "left_anti").unionByName(fetched.where("row is not null").select(*rows.columns)),
+    )
+
 
-    done: DataFrame
-    rows: DataFrame
-    extra: dict = field(default_factory=dict)
+def within_horizon(rows: DataFrame, day: str, today: str, days: int) -> DataFrame:
+    """Rows whose day is from today on and at most `days` ahead; rows without a day stay."""
+    now = F.lit(today).cast("date")
+    return rows.where(F.col(day).isNull() | F.col(day).between(now, F.date_add(now, days)))
 
 
 def next_slice(urls: DataFrame, done: DataFrame, size: int, budget: int, cap: int) -> DataFrame:

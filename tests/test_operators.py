@@ -139,7 +139,21 @@ def test_json_store(spark, tmp_path):
     out = str(tmp_path / "store")
     for n in (3, 5):
         S.write_atomic(spark.range(n), out)
-        assert spark.read.parquet(out).count() == n
+        assert S.read_store(spark, out).count() == n
+    for n in (7, 8):
+        S.write_atomic(spark.range(n), out)
+    assert len([f for f in (tmp_path / "store").iterdir() if f.name.startswith("v-")]) == 2  # the rows and those before them
+    spark.range(99).write.parquet(f"{out}/v-lost")  # what a crash before the pointer's rename leaves
+    assert S.read_store(spark, out).count() == 8
+    assert S.read_store(spark, str(tmp_path / "none")) is None and S.read_store(spark, str(tmp_path / "none"), "a int").count() == 0
+    (tmp_path / "c.yaml").write_text("webfetch:\n- id: x\nsources:\n- {id: y}\n- {name: z}\n")
+    (tmp_path / "c.json").write_text('{"sources": [{"id": "y"}]}')
+    (tmp_path / "empty.yaml").write_text("\n")
+    (tmp_path / "bad.yaml").write_text("a: [b")
+    assert [e["group"] for e in S.read_config(spark, str(tmp_path / "c.yaml"))] == ["snapshot", "shared", "shared"]
+    assert S.source_ids(spark, str(tmp_path / "c.yaml")) == {"x", "y"} and S.source_ids(spark, str(tmp_path / "c.json")) == {"y"}
+    assert S.source_ids(spark, str(tmp_path / "empty.yaml")) == set()
+    assert S.source_ids(spark, str(tmp_path / "bad.yaml")) is None and S.source_ids(spark, str(tmp_path / "no.yaml")) is None
     assert S.missing_sources(("a", "b"), ("b", "c")) == ["a"]
 
 
@@ -149,13 +163,17 @@ def test_stream_merge_is_idempotent(spark, tmp_path):
     rows.where("row_ord < 4").coalesce(1).write.parquet(str(tmp_path / "in"))
     go = lambda: incremental.run_merge(spark, str(tmp_path / "in"), schema, str(tmp_path / "store"), str(tmp_path / "cp"), "2024-01-15").awaitTermination(120)
     go()
-    first = sorted(spark.read.parquet(str(tmp_path / "store")).collect())
+    store = lambda: S.read_store(spark, str(tmp_path / "store"))
+    first = sorted(store().collect())
     assert [r.row_ord for r in first] == [0, 1, 2, 3]
     go()
-    assert sorted(spark.read.parquet(str(tmp_path / "store")).collect()) == first
+    assert sorted(store().collect()) == first
+    before = S.state_of(spark, str(tmp_path / "store"))["folders"]
     rows.where("row_ord in (5, 6)").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     go()
-    assert sorted(r.row_ord for r in spark.read.parquet(str(tmp_path / "store")).collect()) == [0, 3, 5, 6]
+    assert sorted(r.row_ord for r in store().collect()) == [0, 3, 5, 6]
+    after = S.state_of(spark, str(tmp_path / "store"))["folders"]
+    assert 0 < sum(before[b] == after[b] for b in before) < len(before)  # buckets without a new slot keep their files
 
 
 def test_reconcile_does_not_drift(spark, sf):
