@@ -39,9 +39,11 @@ STRONG = (
     r"\bparmas?\b", r"\bparmi\b", r"\bschnitzel\b", r"\bsteak\b", r"\bwagyu\b", r"\bcounter\s*meal\b", r"\bmeat\s*raffle\b", r"\bmembers?\s*draw\b",
     r"\bhappy\s*hour\b", r"\blunch\s*special\b", r"\bdinner\s*special\b", r"\bseniors?\s*meal\s*deal\b", r"\broast\s*special\b", r"\bfish\s*n\s*chips\s*special\b",
 )
+# Words of venues that are commercial, that may be, and that are not.
 HARD_VENUE = (r"\bpub\b", r"\btavern\b", r"\bbistro\b", r"\bbrewery\b", r"\bpokie\b", r"\bhotel\b", r"\bgaming\s*lounge\b")
 SOFT_VENUE = (r"\binn\b", r"\bsports?\s*bar\b", r"\btab\b.*\bbet\b")
 ALLOWED_VENUE = r"\blibrar\w*|\bcommunity\s*cent\w*|\bneighbou?rhood\s*house\b|\bactivity\s*hub\b|\bchurch\w*|\bhall\b|\breserve\b|\bbeach\b|\bpark\b|\btheat(re|er)\b|\bgallery\b|\bschool\b"
+# Phrases of an event's status, at any place and at the beginning, and of meals as a service.
 CANCELLED = r"\bcancell?ed\b|\bcancellation\b|\bcancel\b|\bpostponed\b"
 SOLD_OUT = r"\bsold\s*out\b|\bselling\s*(?:fast|out)\b"
 FULLY_BOOKED = r"\bfull(?:y)?\s*booked\b|\bno\s*(?:places|spots)\b"

@@ -98,10 +98,9 @@ def _days(today: Column, s: Column, dow: Column) -> Column:
     )
 
 
-def expand(rows: DataFrame, keys: list[str], today: str, spec: str = "spec") -> DataFrame:
-    """(keys, day, begin): the dates of each row's spec from today on, within its bounds, MOST at most. Rows without a spec give none. All of it
-    happens in arrays of the row, without a shuffle."""
-    now, s = F.lit(today).cast("date"), F.col(spec)
+def occurrences(s: Column, today: str) -> Column:
+    """Array of (day, begin) of a spec: its dates from today on, within its bounds, in order, MOST at most; begin is empty where no time is stated."""
+    now = F.lit(today).cast("date")
 
     def fits(day: Column) -> Column:
         yes = lambda c: F.coalesce(c, F.lit(True))
@@ -113,7 +112,59 @@ def expand(rows: DataFrame, keys: list[str], today: str, spec: str = "spec") ->
 
     every = F.array_sort(F.array_distinct(F.flatten(F.transform(s["slots"], of_slot))))
     limit = F.when(s["periods"].isNotNull() & s["end"].isNull(), F.least(F.lit(schedule.MOST), s["periods"] * F.greatest(F.size(s["slots"]), F.lit(1)))).otherwise(F.lit(schedule.MOST))
-    some = rows.where(s["kind"].isNotNull()).select(*keys, F.explode(F.slice(every, F.lit(1), limit)).alias("o"))
+    return F.slice(every, F.lit(1), limit)
+
+
+def usable(s: Column, today: str) -> Column:
+    """Whether a spec yields an occurrence from today on that has a time."""
+    return F.coalesce(F.exists(occurrences(s, today), lambda o: o["begin"] != ""), F.lit(False))
+
+
+# Words of a schedule that state another cadence than weekly.
+CADENCE = ("1st", "2nd", "3rd", "4th", "5th", "first", "second", "third", "fourth", "fifth", "fortnight", "every second", "month")
+
+
+def keeps_cadence(a: Column, b: Column) -> Column:
+    """Whether two schedules use the same words of cadence."""
+    words = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"\b(" + "|".join(CADENCE) + r")\b"), 1))
+    x, y = words(a), words(b)
+    return (F.size(F.array_except(x, y)) == 0) & (F.size(F.array_except(y, x)) == 0)
+
+
+def choose_schedule(venues: DataFrame, live: DataFrame, key: str, today: str) -> DataFrame:
+    """venues (key, schedule) with schedule and from_page: a page's schedule takes the configured one's place where it can be read and keeps its cadence, or where none is configured.
+
+    live: (key, live), a row for each venue whose page states a schedule.
+    """
+    joined = spec_of(venues.join(live.select(key, "live"), key, "left"), "live", today)
+    blank = F.trim(F.coalesce("schedule", F.lit(""))) == ""
+    take = F.col("spec.kind").isNotNull() & (F.size("spec.slots") > 0) & (blank | keeps_cadence(F.col("live"), F.col("schedule")))
+    return joined.select(*[c for c in venues.columns if c != "schedule"], F.when(take, F.col("live")).otherwise(F.col("schedule")).alias("schedule"), F.coalesce(take, F.lit(False)).alias("from_page"))
+
+
+def publishable(rows: DataFrame, prose: str, hours: str, today: str) -> DataFrame:
+    """Rows that state a place and a usable schedule, with schedule and from_hours: the prose's if it yields a timed occurrence, else the opening hours'."""
+    placed = rows.where(F.trim(F.coalesce("address", F.lit(""))) != "")
+    said = spec_of(placed, prose, today).withColumn("__prose", usable(F.col("spec"), today)).drop("spec")
+    both = spec_of(said, hours, today).withColumn("__hours", usable(F.col("spec"), today)).drop("spec")
+    return both.where("__prose OR __hours").withColumn("schedule", F.when(F.col("__prose"), F.col(prose)).otherwise(F.col(hours))).withColumn("from_hours", ~F.col("__prose")).drop("__prose", "__hours")
+
+
+def live_phrase(rows: DataFrame, text_col: str) -> DataFrame:
+    """rows with live, the phrase of the text that states a weekday with its times, and a cadence in brackets after it; empty without one, or where the weekday is one of the month's."""
+
+    @F.pandas_udf("string")
+    def run(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: schedule.live_phrase(v or ""))
+
+    return rows.withColumn("live", run(text_col))
+
+
+def expand(rows: DataFrame, keys: list[str], today: str, spec: str = "spec") -> DataFrame:
+    """(keys, day, begin): the dates of each row's spec from today on, within its bounds, MOST at most. Rows without a spec give none. All of it
+    happens in arrays of the row, without a shuffle."""
+    s = F.col(spec)
+    some = rows.where(s["kind"].isNotNull()).select(*keys, F.explode(occurrences(s, today)).alias("o"))
     return some.select(*keys, F.col("o.day").alias("day"), F.nullif(F.col("o.begin"), F.lit("")).alias("begin"))
 
 

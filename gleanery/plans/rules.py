@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gleanery.functions import text
+from gleanery.operators import checks as K
 from gleanery.operators import classify as C
+from gleanery.operators import present as P
 
 from .base import SUBURBS, TODAY, normalized, query
 from .scalars import _SUBURB_SQL
@@ -83,10 +85,28 @@ def annotate(spark, sf):
     return rows.select("row_ord", text.extract_suburb(F.col("address"), SUBURBS).alias("suburb"), ((F.col("reason") != "") | (F.col("service") != "") | (F.col("status") == "cancelled")).alias("hidden_by_default"))
 
 
-@query("quality_archive_flags__Q04", "SELECT count(*) FILTER (WHERE row_ord % 7 = 0 AND row_ord % 2 = 0) AS flagged, count(*) FILTER (WHERE row_ord % 7 = 0 AND row_ord % 2 = 1) AS unflagged FROM listings", listing=True)
+_FLAGS = """, fl AS (SELECT row_ord, source_id, stamp, CASE row_ord % 7 WHEN 0 THEN true WHEN 1 THEN NULL ELSE false END AS archived, CASE row_ord % 3 WHEN 0 THEN true WHEN 1 THEN false END AS live_confirmed FROM l)
+"""
+
+
+def flagged(spark, sf):
+    k = F.col("row_ord")
+    return normalized(spark, sf).withColumns({"archived": F.when(k % 7 == 0, True).when(k % 7 != 1, False), "live_confirmed": F.when(k % 3 == 0, True).when(k % 3 == 1, False)})
+
+
+@query("quality_archive_flags__Q04", _FLAGS + """SELECT * FROM (SELECT 'listed without confirmation' AS rule, 'error' AS severity, '' AS subject, count(*) FILTER (WHERE source_id IN ('click', 'view') AND archived = false AND NOT coalesce(live_confirmed, false)) AS n FROM fl
+ UNION ALL SELECT 'confirmed but withheld', 'error', '', count(*) FILTER (WHERE live_confirmed AND archived IS DISTINCT FROM false) FROM fl UNION ALL SELECT 'withheld without a date', 'error', '', count(*) FILTER (WHERE archived IS DISTINCT FROM false AND stamp = '') FROM fl) WHERE n > 0""", listing=True)
 def archive_check(spark, sf):
-    rows = normalized(spark, sf).withColumn("archived", F.when(F.col("row_ord") % 7 == 0, F.col("row_ord") % 2 == 0))
-    return rows.agg(F.count_if("archived").alias("flagged"), F.count_if(~F.col("archived")).alias("unflagged"))
+    return K.archive_flags(flagged(spark, sf), ("click", "view"))
+
+
+@query("quality_source_floors__Q01_Q02", _FLAGS + """, f AS (SELECT * FROM (VALUES ('click', 10000000, false), ('view', 10000000, true), ('absent', 3, false), ('purchase', 1, false)) t(source_id, least, seasonal)), c AS (SELECT source_id, count(*) AS n, count(*) FILTER (WHERE archived) AS hidden FROM fl GROUP BY 1),
+ k AS (SELECT source_id, least, seasonal, coalesce(n, 0) AS n FROM f LEFT JOIN c USING (source_id))
+ SELECT 'floor' AS rule, CASE WHEN seasonal THEN 'warning' ELSE 'error' END AS severity, source_id AS subject, n::BIGINT AS n FROM k WHERE n < least UNION ALL SELECT 'undeclared source', 'error', source_id, n FROM c WHERE source_id NOT IN (SELECT source_id FROM f)
+ UNION ALL SELECT 'archived rows', 'note', source_id, hidden FROM c WHERE hidden > 0 UNION ALL SELECT 'total floor', 'error', 'all', (SELECT sum(n) FROM c)::BIGINT""", listing=True)
+def floors(spark, sf):
+    floor = spark.createDataFrame([("click", 10_000_000, False), ("view", 10_000_000, True), ("absent", 3, False), ("purchase", 1, False)], "source_id string, least int, seasonal boolean")
+    return K.source_floors(flagged(spark, sf), floor, 10**9)
 
 
 @query("quality_same_listing__Q05", "SELECT row_ord FROM (SELECT row_ord, description, first_value(description) OVER w AS f, row_number() OVER w AS rn FROM l WHERE stamp <> '' WINDOW w AS (PARTITION BY name_norm, url, stamp ORDER BY row_ord)) WHERE rn > 1 AND description = f", listing=True)
@@ -101,7 +121,7 @@ SELECT 'dateless' AS check_name, count(*) AS n FROM l WHERE stamp = '' UNION ALL
 UNION ALL SELECT 'suburb unknown', count(*) FROM s WHERE suburb = '' UNION ALL SELECT 'no type', count(*) FROM tt WHERE len(types) = 0 UNION ALL SELECT 'slot duplicates', count(*) FROM (SELECT 1 FROM l GROUP BY slot_hash HAVING count(*) > 1)"""
 
 
-@query("quality_report__Q09_Q10_Q11_Q13_Q20", _TYPES_SQL.rstrip() + _SUBURB_SQL + _CHECKS, listing=True)
+@query("quality_report__Q09_Q10_Q11_Q13", _TYPES_SQL.rstrip() + _SUBURB_SQL + _CHECKS, listing=True)
 def report(spark, sf):
     rows = typed(spark, sf).withColumn("suburb", text.extract_suburb(F.col("address"), SUBURBS))
     one = rows.agg(
@@ -114,26 +134,61 @@ def report(spark, sf):
     return one.unpivot([], one.columns, "check_name", "n").unionByName(dup)
 
 
-@query("quality_generic_venue__Q12", "SELECT source_id, round(avg((venue = '')::INT), 6)::DOUBLE AS blank_ratio FROM l GROUP BY 1", listing=True)
-def generic(spark, sf):
-    return normalized(spark, sf).groupBy("source_id").agg(F.round(F.avg((F.col("venue") == "").cast("int")), 6).alias("blank_ratio"))
+@query("quality_catchment__Q12", _SUBURB_SQL + r""", x AS (SELECT l.*, suburb, lower(concat_ws(' ', name, location, address, description)) AS blob FROM l JOIN s USING (row_ord)), g AS (SELECT source_id, count(*) FILTER (WHERE lower(trim(location)) IN ('supplier#000000001', 'supplier#000000002', 'supplier#000000003', 'supplier#000000004', '')) AS generic, count(*) AS n FROM x GROUP BY 1),
+ o AS (SELECT source_id, count(DISTINCT trim(location)) AS n FROM x WHERE NOT regexp_matches(lower(location), '\b(?:online|zoom|webinar|virtual|livestream|livestreamed|remote|teams)\b') AND NOT CASE WHEN suburb <> '' THEN suburb IN ('Chelsea', 'Mentone') ELSE contains(blob, 'chelsea') OR contains(blob, 'mentone') END GROUP BY 1)
+ SELECT 'generic venues' AS rule, 'error' AS severity, source_id AS subject, generic AS n FROM g WHERE generic > n // 2 UNION ALL SELECT 'outside the catchment', 'error', source_id, n FROM o""", listing=True)
+def catchment_check(spark, sf):
+    return K.catchment(normalized(spark, sf), tuple(f"supplier#00000000{i}" for i in range(1, 5)), ("Chelsea", "Mentone"), SUBURBS)
 
 
-@query("quality_justified_store__Q14", ", lv AS (SELECT DISTINCT name_norm, venue, source_id FROM l WHERE row_ord % 2 = 1) SELECT count(*) AS dropped FROM l WHERE row_ord % 2 = 0 AND NOT EXISTS (SELECT 1 FROM lv WHERE lv.source_id = l.source_id AND lv.name_norm = l.name_norm AND lv.venue = l.venue)", listing=True)
+@query("quality_justified_store__Q14", """, st AS (SELECT *, substring(sha1(concat_ws('|', source_id, name_norm, venue)), 1, 12) AS series FROM l WHERE row_ord % 2 = 0), lv AS (SELECT *, substring(sha1(concat_ws('|', source_id, name_norm, venue)), 1, 12) AS series FROM l WHERE row_ord % 2 = 1 AND source_id <> 'view')
+ SELECT 'not justified' AS rule, 'error' AS severity, source_id AS subject, count(*) AS n FROM st WHERE source_id <> 'purchase' AND source_id IN (SELECT source_id FROM lv) AND series NOT IN (SELECT series FROM lv) AND (name_norm, url, stamp) NOT IN (SELECT name_norm, url, stamp FROM lv WHERE stamp <> '') GROUP BY 3""", listing=True)
 def justified(spark, sf):
     rows = normalized(spark, sf)
-    live = rows.where("row_ord % 2 = 1").select("name_norm", "venue", "source_id").distinct()
-    return rows.where("row_ord % 2 = 0").join(live, ["name_norm", "venue", "source_id"], "left_anti").agg(F.count("*").alias("dropped"))
+    return K.justified(rows.where("row_ord % 2 = 0"), rows.where("row_ord % 2 = 1 AND source_id <> 'view'"), ("purchase",))
 
 
-@query("quality_page_markup__Q16_Q19", r"SELECT page_id, (len(regexp_extract_all(html, '<a ')) - len(regexp_extract_all(html, '</a>')))::BIGINT AS unclosed_links, regexp_matches(html, '(?i)<title>[^<]+</title>') AS titled FROM pages")
+@query("quality_page_titles__Q16", r"SELECT page_id, (len(regexp_extract_all(html, '<a ')) - len(regexp_extract_all(html, '</a>')))::BIGINT AS unclosed_links, regexp_matches(html, '(?i)<title>[^<]+</title>') AS titled FROM pages")
 def markup(spark, sf):
     return spark.read.parquet(f"{sf}/pages.parquet").select("page_id", (F.regexp_count("html", F.lit("<a ")) - F.regexp_count("html", F.lit("</a>"))).cast("long").alias("unclosed_links"), F.col("html").rlike("(?i)<title>[^<]+</title>").alias("titled"))
 
 
-@query("quality_config_years__Q17", "SELECT o_orderstatus, count(DISTINCT year(o_orderdate)) AS years FROM orders GROUP BY 1")
+@query("quality_guide_years__Q17", """WITH g AS (SELECT s_suppkey AS id, CASE s_suppkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'MMXXIV' WHEN 2 THEN '2024' ELSE '2023' END AS y, CASE s_suppkey % 3 WHEN 0 THEN NULL WHEN 1 THEN 'x' ELSE '2024' END AS o FROM supplier)
+ SELECT id, 'no year' AS fault FROM g WHERE y IS NULL UNION ALL SELECT id, 'year is no number' FROM g WHERE y = 'MMXXIV' UNION ALL SELECT id, CASE WHEN o IS NULL THEN 'overrides without a year' WHEN o = 'x' THEN 'overrides'' year is no number' ELSE 'overrides of another year' END FROM g WHERE y IN ('2023', '2024') AND o IS DISTINCT FROM y
+ UNION ALL SELECT id, 'not this year''s in season' FROM g WHERE y = '2023'""")
 def years(spark, sf):
-    return spark.read.parquet(f"{sf}/orders.parquet").groupBy("o_orderstatus").agg(F.countDistinct(F.year("o_orderdate")).alias("years"))
+    k = F.col("s_suppkey")
+    year, other = F.when(k % 4 == 1, "MMXXIV").when(k % 4 == 2, "2024").when(k % 4 == 3, "2023"), F.when(k % 3 == 1, "x").when(k % 3 == 2, "2024")
+    return K.guide_years(spark.read.parquet(f"{sf}/supplier.parquet").select(k.alias("id"), year.alias("year"), other.alias("override_year")), TODAY, (1, 2))
+
+
+@query("quality_page_counts__Q19", _FLAGS + """, c AS (SELECT source_id, count(*) FILTER (WHERE archived IS DISTINCT FROM true) AS listed, count(*) AS n FROM fl GROUP BY 1) SELECT source_id, CASE WHEN source_id = 'click' THEN listed ELSE n END AS stated, listed FROM c WHERE source_id <> 'click' AND n <> listed""", listing=True)
+def page_counts(spark, sf):
+    rows = flagged(spark, sf)
+    n = rows.groupBy("source_id").agg(F.count("*").alias("n"), F.count_if(~F.col("archived").eqNullSafe(F.lit(True))).alias("l"))
+    header = F.concat(F.format_number(F.when(F.col("source_id") == "click", F.col("l")).otherwise(F.col("n")), 0), F.lit(" events"))
+    return K.page_counts(n.select("source_id", header.alias("header")), rows, "source_id")
+
+
+@query("quality_verdict__Q20", "SELECT (SELECT count(*) FROM l WHERE stamp = '')::BIGINT AS errors, (SELECT count(*) FROM l WHERE address = '')::BIGINT AS warnings, (SELECT count(*) FROM l WHERE stamp = '') = 0 AS passed", listing=True)
+def verdict(spark, sf):
+    rows = normalized(spark, sf)
+    return K.passed(K.counted(rows, "dateless", K.ERROR, F.col("stamp") == "").unionByName(K.counted(rows, "no address", K.WARNING, F.col("address") == "")))
+
+
+@query("join_geocoder_disagreement__J16_F17", r"""SELECT row_ord, CASE row_ord % 6 WHEN 0 THEN CASE WHEN regexp_matches(address, '\d{4}\s*$') AND NOT regexp_matches(address, '3999\s*$') THEN 'postcode' ELSE '' END
+ WHEN 1 THEN CASE WHEN regexp_matches(address, '(?i)\b(VIC|NSW|QLD|SA|WA|TAS|NT|ACT)\b') THEN 'state' ELSE '' END WHEN 2 THEN 'suburb' WHEN 3 THEN 'street' WHEN 4 THEN '' END AS fault FROM listings""", listing=True)
+def disagreement(spark, sf):
+    k, none = F.col("row_ord"), F.lit(None).cast("string")
+    rows = normalized(spark, sf).withColumn("suburb", F.lit("Chelsea"))
+    said = rows.where(k % 6 != 5).select("row_ord", F.when(k % 6 == 0, "3999").otherwise(none).alias("postcode"), F.when(k % 6 == 1, "XX").otherwise(none).alias("state"), F.when(k % 6 == 2, "Mentone").otherwise("CHELSEA").alias("suburb"), F.when(k % 6 == 3, "No Such Road").otherwise(none).alias("street"))
+    return K.disagreement(rows, said)
+
+
+@query("filter_suspicious__P26", r""", bad AS (SELECT row_ord, trim(regexp_replace(lower(description), '\s+', ' ', 'g')) = trim(regexp_replace(lower(name), '\s+', ' ', 'g')) AND length(trim(name)) >= 3 AS restates, list_filter(list_transform(string_split(address, ','), lambda x: lower(trim(x))), lambda x: x <> '') AS seg, trim(address) AS a FROM listings)
+ SELECT row_ord FROM bad WHERE restates OR contains(a, ',,') OR starts_with(a, ',') OR ends_with(a, ',') OR len(list_filter(range(1, len(seg)), lambda i: seg[i] = seg[i + 1])) > 0 ORDER BY row_ord LIMIT 40""", listing=True)
+def suspicious(spark, sf):
+    return K.suspicious(normalized(spark, sf), 40).select("row_ord")
 
 
 @query("present_facets__A04_V06", _TYPES_SQL + "SELECT t AS type_name, count(*) AS n, count(DISTINCT source_id) AS sources FROM (SELECT unnest(types) AS t, source_id FROM tt JOIN l USING (row_ord)) GROUP BY 1", listing=True)
@@ -154,12 +209,12 @@ def page(spark, sf):
     return normalized(spark, sf).where("stamp <> ''").select("row_ord", "stamp", "name_norm").orderBy("stamp", "row_ord").offset(100).limit(50)
 
 
-@query("present_export__V08_V09_S23", """SELECT row_ord, CASE WHEN ends_with(stamp, 'T00:00') THEN 'all day' ELSE substring(stamp, 12, 5) END AS time_label,
- concat('BEGIN:VEVENT|DTSTART:', strftime(ts_local, '%Y%m%dT%H%M00'), '|DTEND:', strftime(ts_local + INTERVAL 60 MINUTE, '%Y%m%dT%H%M00'), '|SUMMARY:', name_norm, '|END:VEVENT') AS vevent FROM l WHERE stamp <> ''""", listing=True)
+@query("present_export__V08_V09_S23", """, w AS (SELECT *, row_ord % 4 = 0 AS inferred FROM l WHERE stamp <> '')
+ SELECT row_ord, CASE WHEN ends_with(stamp, 'T00:00') THEN 'all day' ELSE substring(stamp, 12, 5) END AS "Time", substring(stamp, 1, 10) AS "Date", name AS "Name", location AS "Location", address AS "Address", price_text AS "Price", source AS "Source", CASE WHEN inferred THEN 'yes' ELSE '' END AS "DateInferred", CASE WHEN inferred THEN 'Every week' ELSE '' END AS "Recurrence",
+ concat('BEGIN:VEVENT', chr(10), 'DTSTART:', strftime(ts_local, '%Y%m%dT%H%M00'), chr(10), 'DTEND:', strftime(ts_local + INTERVAL 60 MINUTE, '%Y%m%dT%H%M00'), chr(10), 'SUMMARY:', replace(replace(name, ';', '\\;'), ',', '\\,'), CASE WHEN inferred THEN concat(chr(10), 'X-COMMENTS-DERIVED-DATE:TRUE') ELSE '' END, chr(10), 'END:VEVENT') AS vevent FROM w""", listing=True)
 def export(spark, sf):
-    fmt = "yyyyMMdd'T'HHmm00"
-    vevent = F.concat(F.lit("BEGIN:VEVENT|DTSTART:"), F.date_format("ts_local", fmt), F.lit("|DTEND:"), F.date_format(F.col("ts_local") + F.expr("interval 60 minutes"), fmt), F.lit("|SUMMARY:"), F.col("name_norm"), F.lit("|END:VEVENT"))
-    return normalized(spark, sf).where("stamp <> ''").select("row_ord", F.when(F.endswith("stamp", F.lit("T00:00")), "all day").otherwise(F.substring("stamp", 12, 5)).alias("time_label"), vevent.alias("vevent"))
+    rows = normalized(spark, sf).withColumn("recurrence", F.when(F.col("row_ord") % 4 == 0, "Every week"))
+    return P.export_rows(rows.withColumn("date_inferred", F.col("row_ord") % 4 == 0))
 
 
 @query("present_upcoming__V04_past", f"SELECT row_ord FROM l WHERE ts_local IS NULL OR ts_local >= TIMESTAMP '{TODAY} 00:00:00'", listing=True)

@@ -140,9 +140,34 @@ def refresh(spark, sf):
     return RC.refresh_inferred(rows, DAY)
 
 
-@query("filter_cadence_kept__P17", """, m AS (SELECT row_ord, list_sort(list_distinct(regexp_extract_all(lower(description), 'weekly|fortnightly|monthly|second|third|every'))) AS a, list_sort(list_distinct(regexp_extract_all(lower(datetime_text), 'weekly|fortnightly|monthly|second|third|every'))) AS b FROM listings)
+@query("filter_cadence_kept__P17", r""", m AS (SELECT row_ord, list_sort(list_distinct(regexp_extract_all(lower(description), '\b(1st|2nd|3rd|4th|5th|first|second|third|fourth|fifth|fortnight|every second|month)\b', 1))) AS a, list_sort(list_distinct(regexp_extract_all(lower(name), '\b(1st|2nd|3rd|4th|5th|first|second|third|fourth|fifth|fortnight|every second|month)\b', 1))) AS b FROM listings)
  SELECT row_ord, a = b AS kept FROM m""", listing=True)
 def cadence(spark, sf):
-    words = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit("(weekly|fortnightly|monthly|second|third|every)")))
-    a, b = words("description"), words("datetime_text")
-    return listings(spark, sf).select("row_ord", ((F.size(F.array_except(a, b)) == 0) & (F.size(F.array_except(b, a)) == 0)).alias("kept"))
+    return listings(spark, sf).select("row_ord", RC.keeps_cadence(F.col("description"), F.col("name")).alias("kept"))
+
+
+#: Configured schedules, what a page states, and whether the page's is taken.
+CHOICES = (
+    ("Tuesday 10.00am - 11.30am (1st & 3rd Tuesdays)", "Tuesday 10.00am - 11.30am", False), ("Tuesday 10am - 11am", "Tuesday 11am - 1pm", True), ("Monday 9am", "Mondays", False),
+    ("", "Friday 1pm - 2pm", True), ("Friday (fortnightly) 10am", "see the notice board", False), ("Every second Friday 10am", "Every second Friday 11am", True), ("Sunday 2pm", None, False),
+)
+
+
+@query("recur_choose_schedule__S11_P18", "WITH c AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, '{a}', {_lit(b)}, {t})" for i, (a, b, t) in enumerate(CHOICES)) + ") t(i, a, b, taken)) SELECT s_suppkey, CASE WHEN taken THEN b ELSE a END AS schedule, taken AS from_page FROM supplier JOIN c ON i = s_suppkey % 7")
+def choose(spark, sf):
+    k = (F.col("s_suppkey") % 7).cast("int")
+    pick = lambda j: F.array(*[F.lit(c[j]).cast("string") for c in CHOICES])[k]
+    s = spark.read.parquet(f"{sf}/supplier.parquet")
+    return RC.choose_schedule(s.select("s_suppkey", pick(0).alias("schedule")), s.select("s_suppkey", pick(1).alias("live")).where("live is not null"), "s_suppkey", DAY)
+
+
+@query("recur_publishable__S15_P18", f", {_SAID_SQL}, w AS (SELECT row_ord, address, {_BY_TEXT} AS id FROM listings), u AS (SELECT DISTINCT id FROM o WHERE begin_t IS NOT NULL) SELECT row_ord, id IS NULL OR id NOT IN (SELECT id FROM u) AS from_hours FROM w WHERE trim(address) <> '' AND (id IN (SELECT id FROM u) OR row_ord % 2 = 0)", listing=True)
+def publishable(spark, sf):
+    rows = listings(spark, sf).withColumn("hours", F.when(F.col("row_ord") % 2 == 0, "Mondays 09:00 - 12:00").otherwise("by appointment"))
+    return RC.publishable(rows, "description", "hours", DAY).select("row_ord", "from_hours")
+
+
+@query("extract_live_phrase__X23", """SELECT row_ord, CASE row_ord % 10 WHEN 0 THEN 'Tuesday 7pm - 8pm' WHEN 1 THEN 'Tuesdays and Thursdays 9am' WHEN 2 THEN 'Friday 10.30am - 11.30am' WHEN 4 THEN 'Monday 12 October, 5:30pm' WHEN 5 THEN 'Tuesday 6 October 2026, 10:00am' ELSE '' END || CASE WHEN row_ord % 10 = 0 THEN ' (weekly)' ELSE '' END AS live FROM listings""", listing=True)
+def phrase(spark, sf):
+    rows = listings(spark, sf).withColumn("t", F.concat("description", F.when(F.col("row_ord") % 10 == 0, " (weekly) at the hall").otherwise("")))
+    return RC.live_phrase(rows, "t").select("row_ord", "live")
