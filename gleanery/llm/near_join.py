@@ -289,7 +289,7 @@ def verify(members: DataFrame, docs: DataFrame, key: str, text_col: str, num: in
     )
     # neighbouring tiles of a block go to neighbouring partitions, so no two of a large block's meet by chance
     groups = groups_for(docs, n_members, _DEALT)
-    place = F.pmod(F.xxhash64("block") + F.col("a") * F.col("parts") + F.col("b"), F.lit(groups)).cast("int")
+    place = F.pmod(F.pmod(F.xxhash64("block"), F.lit(groups)) + F.col("a") * F.col("parts") + F.col("b"), F.lit(groups)).cast("int")
     tiles = dealt.repartitionById(groups, place).sortWithinPartitions("block", "a", "b", "key")
 
     def cuts_of(batch: pa.RecordBatch | pa.Table) -> np.ndarray:

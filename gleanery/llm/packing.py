@@ -62,7 +62,8 @@ def best_fit_plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, i
     """Segments (length, first rank, pieces, first bin, pieces a bin, offset in the bin) of best-fit decreasing.
 
     Bins are numbered so that a class of bins in equal state is a list of ranges; a class that takes only part of
-    its pieces splits in two.
+    its pieces splits in two. A length adds two ranges at most, and a segment for each range that it uses up, however many pieces it has: the plan's
+    size follows from `capacity`, not from the corpus.
     """
     tree = TightestFit(capacity)
     open_: dict[int, list[tuple[int, int]]] = {}  # remaining capacity -> ranges (first bin, bins)
