@@ -136,8 +136,10 @@ def programme_fold(rows: DataFrame) -> DataFrame:
             into.append(found)
         return pd.DataFrame({"row_ord": pdf["row_ord"], "into": into})
 
-    folded = used.groupBy("name_norm", "stamp").applyInPandas(fold, "row_ord long, into long")
-    return folded.unionByName(rows.where(~usable).select("row_ord", F.col("row_ord").alias("into")))
+    sized = used.withColumn("n", F.count("*").over(Window.partitionBy("name_norm", "stamp")))
+    folded = sized.where("n > 1").groupBy("name_norm", "stamp").applyInPandas(fold, "row_ord long, into long")
+    alone = sized.where("n = 1").select("row_ord", F.col("row_ord").alias("into"))
+    return folded.unionByName(alone).unionByName(rows.where(~usable).select("row_ord", F.col("row_ord").alias("into")))
 
 
 def distinct_sessions(rows: DataFrame, more: DataFrame) -> DataFrame:
