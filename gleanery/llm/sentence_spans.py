@@ -86,7 +86,12 @@ def span_runs(raw: bytes, offsets: np.ndarray, least_words: int, least_sentences
 
 def _firsts(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Entries in order of (hash, key, start), and which of them come first of their hash."""
-    entries = entries[np.lexsort((entries["start"], entries["key"], entries["more"], entries["hash"]))]
+    order = np.argsort(entries["hash"])
+    same = entries["hash"][order][1:] == entries["hash"][order][:-1]
+    again = np.flatnonzero(np.concatenate((same, [False])) | np.concatenate(([False], same)))  # only these need the other fields
+    few = entries[order[again]]
+    order[again] = order[again][np.lexsort((few["start"], few["key"], few["more"], few["hash"]))]
+    entries = entries[order]
     first = np.ones(len(entries), dtype=bool)
     first[1:] = (entries["hash"][1:] != entries["hash"][:-1]) | (entries["more"][1:] != entries["more"][:-1])
     return entries, first
