@@ -72,7 +72,8 @@ def _features(rows: list[int], texts: list[str]) -> np.ndarray:
 
 def text_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashed features of each text, sorted: flat values below BUCKETS and row offsets. Long texts go through in windows."""
-    both = np.unique(np.concatenate([np.zeros(0, dtype=U), *[_features(rows, group) for rows, group in pieces(texts)]]))
+    parts = [_features(rows, group) for rows, group in pieces(texts)] or [np.zeros(0, dtype=U)]
+    both = parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts))
     return (both & U(0xFFFFFFFF)).astype(np.int64), per_row((both >> U(32)).astype(np.int64), len(texts))
 
 
