@@ -23,6 +23,8 @@ TRAIN_TEXTS = 4_000
 MOST_LANGUAGES = 150
 #: Languages whose log probabilities are multiplied at one time.
 _COLUMNS = 8
+#: Texts of a group at most, so that place and bucket fit in 4 bytes.
+_GROUP = 1 << 16
 #: n-grams beyond which more text doesn't sharpen the score.
 EVIDENCE = 50.0
 
@@ -93,7 +95,7 @@ def _stretches(texts: list[str]) -> Iterator[tuple[list[int], list[int], list[st
         low = text.lower()
         for start in range(0, len(low), SLICE_CHARS):
             skip = min(start, max(ORDERS) - 1)
-            if size >= SLICE_CHARS:
+            if size >= SLICE_CHARS or len(rows) >= _GROUP:
                 yield rows, skips, group
                 rows, skips, group, size = [], [], [], 0
             rows.append(i)
@@ -109,15 +111,22 @@ def gram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     keys, counts = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
     for rows, skips, group in _stretches(texts):
         flat, offsets = _points(group)
-        row = np.repeat(np.array(rows, dtype=np.uint64) * np.uint64(BUCKETS), np.diff(offsets))
+        # places within the group take part in the sort, whose keys have 4 bytes so
+        place = np.repeat(np.arange(len(group), dtype=np.uint32) * np.uint32(BUCKETS), np.diff(offsets))
         fresh = np.ones(len(flat), dtype=bool)
         for at, skip in zip(offsets.tolist(), skips, strict=False):
             fresh[at : at + skip] = False
-        key, n = np.unique(np.concatenate([row[own] + bucket[own] for bucket, valid in features(flat, offsets) for own in [valid & fresh]]), return_counts=True)
-        keys.append(key)
-        counts.append(n)
-    key, back = np.unique(np.concatenate(keys), return_inverse=True)
-    n = np.bincount(back, weights=np.concatenate(counts), minlength=len(key)).astype(np.int64)
+        found = np.concatenate([place[own] + bucket[own] for bucket, valid in features(flat, offsets) for own in [valid & fresh]])
+        found.sort()
+        first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1]))) if len(found) else np.zeros(0, dtype=np.int64)
+        key = found[first]
+        keys.append(np.array(rows, dtype=np.uint64)[key // np.uint32(BUCKETS)] * np.uint64(BUCKETS) + key % np.uint32(BUCKETS))
+        counts.append(np.diff(np.append(first, len(found))))
+    if len(keys) == 2:
+        key, n = keys[1], counts[1]
+    else:
+        key, back = np.unique(np.concatenate(keys), return_inverse=True)
+        n = np.bincount(back, weights=np.concatenate(counts), minlength=len(key)).astype(np.int64)
     return (key // np.uint64(BUCKETS)).astype(np.int64), (key % np.uint64(BUCKETS)).astype(np.int64), n
 
 
