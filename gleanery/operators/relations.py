@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -104,6 +106,27 @@ def programme_pairs(rows: DataFrame) -> DataFrame:
     return pairs.groupBy("row_ord").agg(F.min(F.struct((F.col("url") != F.col("into_url")).alias("other"), "into")).alias("m")).select("row_ord", F.col("m.into").alias("into"), (~F.col("m.other")).alias("same_url"))
 
 
+def fold_blocks(rows: DataFrame, start: Callable[[], Callable[[tuple], int]]) -> DataFrame:
+    """(row_ord, into): an ordered fold of each block. rows: (block, row_ord, ...); start() begins a block and gives the step that takes its rows one by one, in
+    order and without the block's name, and says what each goes into.
+
+    Blocks stream through their task in sorted order, so a task holds what the fold has kept of one block, and no block is gathered.
+    """
+    dealt = rows.repartition("block").sortWithinPartitions("block", "row_ord")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, step = object(), None
+        for batch in batches:
+            into = []
+            for block, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if block != now:
+                    now, step = block, start()
+                into.append(step(tuple(row)))
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(into, pa.int64())], ["row_ord", "into"])
+
+    return dealt.mapInArrow(run, "row_ord long, into long")
+
+
 def programme_fold(rows: DataFrame) -> DataFrame:
     """(row_ord, into): each row in order goes into the kept row of its (url, name, stamp) if venues are compatible, else into the first kept row of its (name, stamp) with a
     compatible venue; else it is kept, into = row_ord. Rows without a stamp or a name are kept.
@@ -119,27 +142,27 @@ def programme_fold(rows: DataFrame) -> DataFrame:
         short, long = sorted((a, b), key=len)
         return a.split(",")[0].strip() == b.split(",")[0].strip() or (long.startswith(short) and long[len(short) : len(short) + 1] in tuple(" ,-/("))
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("row_ord")
+    def start() -> Callable[[tuple], int]:
         by_url: dict = {}
         kept: list[tuple[str, int]] = []
-        into = []
-        for ord_, url, name, place, unplaced in zip(pdf["row_ord"], pdf["url"], pdf["name_norm"], pdf["loc_norm"], pdf["unplaced"], strict=True):
+
+        def step(row: tuple) -> int:
+            ord_, url, name, place, unplaced = row
             own = by_url.get((url, name))
             # a row without a place that came first holds the url's slot, and nothing goes into it
-            blocked = unplaced is not None and unplaced == unplaced and (own is None or unplaced < own[1])
+            blocked = unplaced is not None and (own is None or unplaced < own[1])
             found = own[1] if own and not blocked and compatible(own[0], place) else next((k for p, k in kept if compatible(p, place)), None)
             if found is None:
-                found = ord_
                 by_url.setdefault((url, name), (place, ord_))
                 kept.append((place, ord_))
-            into.append(found)
-        return pd.DataFrame({"row_ord": pdf["row_ord"], "into": into})
+                return ord_
+            return found
 
-    sized = used.withColumn("n", F.count("*").over(Window.partitionBy("name_norm", "stamp")))
-    folded = sized.where("n > 1").groupBy("name_norm", "stamp").applyInPandas(fold, "row_ord long, into long")
-    alone = sized.where("n = 1").select("row_ord", F.col("row_ord").alias("into"))
-    return folded.unionByName(alone).unionByName(rows.where(~usable).select("row_ord", F.col("row_ord").alias("into")))
+        return step
+
+    block = F.concat_ws("|", "stamp", "name_norm")
+    folded = fold_blocks(used.select(block.alias("block"), "row_ord", "url", "name_norm", "loc_norm", "unplaced"), start)
+    return folded.unionByName(rows.where(~usable).select("row_ord", F.col("row_ord").alias("into")))
 
 
 def distinct_sessions(rows: DataFrame, more: DataFrame) -> DataFrame:
@@ -224,39 +247,38 @@ def greedy_fold(rows: DataFrame, threshold: float = 0.75) -> DataFrame:
     def minutes(stamp: str) -> int:
         return int(stamp[11:13]) * 60 + int(stamp[14:16])
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("row_ord")
+    def start() -> Callable[[tuple], int]:
         by_hash: dict = {}
         by_place: dict = {}
         at_place: dict = {}
         scores: dict = {}
-        into = []
-        for r in pdf.itertuples(index=False):
-            found = by_hash.get(r.slot_hash)
-            if found is None and r.day and r.loc_norm:
-                time = r.stamp[11:16] or "00:00"
-                found = by_place.get((r.name_norm, r.loc_norm, time))
+
+        def similar(name: str, other: str) -> bool:
+            pair, total = (name, other), len(name) + len(other)
+            if pair not in scores:
+                scores[pair] = 2 * min(map(len, pair)) >= threshold * total and 2 * text.common_length(*pair) >= threshold * total
+            return scores[pair]
+
+        def step(row: tuple) -> int:
+            ord_, hash_, name, place, stamp, day = row
+            found = by_hash.get(hash_)
+            placed = bool(day and place)
+            key = (name, place, stamp[11:16] or "00:00")
+            if found is None and placed:
+                found = by_place.get(key)
                 if found is None:
-                    for name, stamp, ord_ in at_place.get(r.loc_norm, ()):
-                        if abs(minutes(stamp) - minutes(r.stamp)) > 30:
-                            continue
-                        pair = (name, r.name_norm)
-                        total = len(name) + len(r.name_norm)
-                        if pair not in scores:
-                            scores[pair] = 2 * min(map(len, pair)) >= threshold * total and 2 * text.common_length(*pair) >= threshold * total
-                        if scores[pair]:
-                            found = ord_
-                            break
+                    found = next((o for n, s, o in at_place.get(place, ()) if abs(minutes(s) - minutes(stamp)) <= 30 and similar(n, name)), None)
             if found is None:
-                found = r.row_ord
-                if r.day and r.loc_norm:
-                    by_place.setdefault((r.name_norm, r.loc_norm, r.stamp[11:16] or "00:00"), found)
-                    at_place.setdefault(r.loc_norm, []).append((r.name_norm, r.stamp, found))
-                by_hash.setdefault(r.slot_hash, found)
-            into.append(found)
-        return pd.DataFrame({"row_ord": pdf["row_ord"], "into": into})
-
-    return used.groupBy("block").applyInPandas(fold, "row_ord long, into long")
+                found = ord_
+                if placed:
+                    by_place.setdefault(key, found)
+                    at_place.setdefault(place, []).append((name, stamp, found))
+                by_hash.setdefault(hash_, found)
+            return found
+
+        return step
+
+    return fold_blocks(used, start)
 
 
 def gaps_and_islands(rows: DataFrame, key: str, order: str, flag: Column) -> DataFrame:
