@@ -123,6 +123,41 @@ def is_street(c: Column) -> Column:
     return F.trim(F.coalesce(c, F.lit(""))).rlike(r"(?i)\b(?:" + "|".join(ROAD_TYPES) + r")\b\.?$")
 
 
+def street_line(c: Column) -> Column:
+    """Whether a line states a street: a house number first, or a road type anywhere."""
+    line = F.coalesce(c, F.lit(""))
+    return line.rlike(r"^\s*\d+[A-Za-z]?([-/][A-Za-z0-9]+)*\s") | line.rlike(r"(?i)\b(?:" + "|".join(ROAD_TYPES) + r")\b")
+
+
+# Words that can only go on with a URL.
+URL_ENDINGS = ("au", "com", "org", "net", "edu", "gov", "co", "io", "com.au", "org.au", "net.au", "edu.au", "gov.au", "vic.gov.au")
+#: Words that a URL may be put together from beyond its first, and characters below which there is no URL.
+URL_WORDS, URL_LEAST = 4, 13
+
+
+def joined_url(raw: Column, fallback: Column) -> Column:
+    """The first URL of a text whose line breaks became blanks, put together again; fallback without one.
+
+    A word goes on with the URL if it looks like part of one, if the URL ends in a hyphen, or if the word after it looks like part; a time of day never does.
+    """
+    text = F.coalesce(raw, F.lit(""))
+    first = F.regexp_extract(text, r"((?:https?://|www\.)\S+)", 1)
+    rest = F.split(F.trim(F.substr(text, F.instr(text, first) + F.length(first))), r"\s+")
+    looks = lambda w: F.coalesce(w, F.lit("")).rlike("[./?&=]")
+
+    def step(state: Column, i: Column) -> Column:
+        word, after = F.coalesce(F.get(rest, i), F.lit("")), F.coalesce(F.get(rest, i + 1), F.lit(""))
+        bare = F.regexp_replace(F.lower(word), r"[.,)]+$", "")
+        part = looks(word) | bare.isin(*URL_ENDINGS) | F.endswith(state["url"], F.lit("-")) | after.rlike("[./]")
+        goes = state["going"] & (word != "") & ~word.rlike(r"^\d{1,2}[:.]\d{2}") & part
+        return F.struct(F.when(goes, F.concat(state["url"], word)).otherwise(state["url"]).alias("url"), goes.alias("going"))
+
+    whole = F.aggregate(F.sequence(F.lit(0), F.lit(URL_WORDS - 1)), F.struct(first.alias("url"), F.lit(True).alias("going")), step)["url"]
+    url = F.regexp_replace(whole, r"[.,)]+$", "")
+    url = F.when(F.startswith(url, F.lit("http")), url).otherwise(F.concat(F.lit("https://"), url))
+    return F.when((first != "") & (F.length(url) >= URL_LEAST), url).otherwise(fallback)
+
+
 def price_sort(c: Column) -> Column:
     """0.0 free, 1.0 gold coin, else the first dollar amount, else null."""
     text = F.coalesce(c, F.lit(""))

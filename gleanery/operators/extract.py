@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, MapType, StringType, StructField, StructType
 
-from gleanery.functions import dates
+from gleanery.functions import dates, text
 
 PAGE = StructType(
     [
@@ -289,6 +289,41 @@ def split_address(text: Column) -> Column:
     return F.when((F.contains(bare, F.lit(","))) & (street != "") & (suburb != ""), F.struct(street.alias("street"), suburb.alias("suburb")))
 
 
+def detail_address(block: Column) -> Column:
+    """(street, suburb, postcode) of an address block, null without one: the first line that is a street below another line, with a suburb and a postcode 3xxx below it;
+    else, on one line, the first part that is a street before such a part."""
+    ending = r"^([A-Za-z][A-Za-z .'\-]{1,40}?)\s*,?\s*(?:(?i:vic)\.?\s*)?(3\d{3})\b"
+
+    def found(parts: Column, first: int) -> Column:
+        n = F.size(parts)
+
+        def after(i: Column) -> Column:  # a postcode may stand on a line of its own
+            nxt = F.coalesce(F.get(parts, i + 1), F.lit(""))
+            return F.when(nxt.rlike(ending), nxt).otherwise(F.concat_ws(" ", nxt, F.coalesce(F.get(parts, i + 2), F.lit(""))))
+
+        hit = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: (i >= first) & text.street_line(F.get(parts, i)) & after(i).rlike(ending))
+        at = F.get(hit, F.lit(0))
+        return F.when(at.isNotNull(), F.struct(F.trim(F.get(parts, at)).alias("street"), F.trim(F.regexp_extract(after(at), ending, 1)).alias("suburb"), F.regexp_extract(after(at), ending, 2).alias("postcode")))
+
+    said = F.coalesce(block, F.lit(""))
+    clean = lambda parts: F.filter(F.transform(parts, lambda x: F.trim(F.regexp_replace(x, r"\s+", " "))), lambda x: x != "")
+    lines, segments = clean(F.split(said, "\n")), clean(F.split(F.regexp_replace(said, "\n", " "), ","))
+    return F.coalesce(text.let(lines, lambda x: found(x, 1)), text.let(segments, lambda x: found(x, 0)))
+
+
+def enrich_from_events(rows: DataFrame, pages: DataFrame, link: str, html_col: str) -> DataFrame:
+    """rows with a second site's word on them: the JSON-LD event of the page of their link gives the place, the start and, where it runs for weeks, a row for each week
+    (day, at). Rows without such an event, or whose event has no start, keep one row without a day."""
+    e = json_ld_event(F.regexp_extract(html_col, r'(?s)<script type="application/ld\+json">(.*?)</script>', 1))
+    events = pages.select(link, e.alias("e")).where("e is not null").groupBy(link).agg(F.min("e").alias("e"))
+    start, end = F.substring("e.start", 1, 10).try_cast("date"), F.substring("e.end", 1, 10).try_cast("date")
+    days = F.when(start.isNull(), F.array(F.lit(None).cast("date"))).otherwise(dates.weekly_term(start, F.greatest(start, F.coalesce(end, start))))
+    joined = rows.join(events, link, "left").withColumn("day", F.explode(days))
+    at = F.when(F.col("day").isNotNull(), F.nullif(F.substring("e.start", 12, 5), F.lit("")))
+    place = F.coalesce(F.nullif(F.trim("e.place"), F.lit("")), F.col("location")) if "location" in rows.columns else F.col("e.place")
+    return joined.withColumn("at", at).withColumn("location", place).drop("e")
+
+
 def rejoin_urls(text: Column) -> Column:
     """URLs that a line break cut are put together again."""
     return F.regexp_replace(text, r"(https?://\S*[/\-_.])\s*\n\s*([a-z0-9][^\s]*)", "$1$2")

@@ -210,6 +210,42 @@ def reconcile(store: DataFrame, live: DataFrame, mid_crawl: tuple[str, ...] = ()
     return joined.select("row_ord", F.when(why == "withdrawn", "drop").otherwise("keep").alias("verdict"), why.alias("why"))
 
 
+def archive_flags(rows: DataFrame, live: DataFrame) -> DataFrame:
+    """(row_ord, archived, live_confirmed) of each row. A source is hidden that the archive names and nothing else publishes; of its rows those stay on the page whose series the archive says is live,
+    looked up by the row's stamped series id or by the one derived from it.
+
+    rows: (row_ord, source_id, series_id, name_norm, venue), live: (source_id, archived, status, name_norm, venue).
+    """
+    yes = F.coalesce("archived", F.lit(False))
+    sources = live.where(F.coalesce("source_id", F.lit("")) != "").groupBy("source_id").agg(F.bool_and(yes).alias("hidden"))
+    derived = text.series_id(F.col("source_id"), F.col("name_norm"), F.col("venue"))
+    status = live.where(yes & (F.coalesce("status", F.lit("")) != "")).groupBy(derived.alias("series")).agg(F.max("status").alias("status"))
+    by = lambda name: status.select(F.col("series").alias(name), F.col("status").alias(f"{name}_status"))
+    joined = rows.withColumn("own", derived).withColumn("stamped", F.coalesce("series_id", F.lit(""))).join(sources, "source_id", "left").join(by("own"), "own", "left").join(by("stamped"), "stamped", "left")
+    hidden, running = F.coalesce("hidden", F.lit(False)), F.coalesce("stamped_status", "own_status", F.lit("")) == "live"
+    return joined.select("row_ord", (hidden & ~running).alias("archived"), (hidden & running).alias("live_confirmed"))
+
+
+#: Columns that a store no longer has.
+RETIRED = ("source_label", "has_real_date", "datetime_display", "date_text", "_hours_schedule")
+
+
+def normalize_store(rows: DataFrame, retired: tuple[str, ...] = RETIRED) -> DataFrame:
+    """A store's rows as its schema has them: an unknown source named so, a blank date null, a missing price order worked out from the price text, a missing series id of an inferred
+    date derived, each source named once, and retired columns gone."""
+    blank = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) == ""
+    out = rows.withColumns(
+        {
+            "source_id": F.when(blank("source_id"), "unknown").otherwise(F.col("source_id")),
+            "datetime_iso": F.when(~blank("datetime_iso"), F.trim("datetime_iso")),
+            "price_sort": F.coalesce("price_sort", text.price_sort(F.col("price_text"))),
+            "sources": F.array_distinct(F.coalesce("sources", F.array(F.coalesce("source", F.lit(""))))),
+        }
+    )
+    derived = text.series_id(F.col("source_id"), text.normalize_name(F.col("name")), text.venue_head(F.col("location")))
+    return out.withColumn("series_id", F.when(F.coalesce("date_inferred", F.lit(False)) & blank("series_id"), derived).otherwise(F.col("series_id"))).drop(*retired)
+
+
 def repair(kept: DataFrame, live: DataFrame) -> DataFrame:
     """Blank price and description, and a malformed address, take the first live candidate's by (name, url, stamp), else by (name, url)."""
     fields = F.struct("row_ord", "price_text", "description", "address")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gleanery.functions import text
 from gleanery.operators import extract as X
 from gleanery.sources import store as S
 from gleanery.streaming import incremental
@@ -119,7 +120,34 @@ def split_address(spark, sf):
     return listings(spark, sf).select("row_ord", a["street"].alias("street"), a["suburb"].alias("suburb"))
 
 
-@query("extract_guide_cleanup__X17_X18_X20_S18", r"""SELECT row_ord, concat('see https://x.invalid/a-', 'b', CAST(row_ord AS VARCHAR)) AS url_text, coalesce(regexp_extract(price_text, '(?i)^\s*((?:free|gold coin(?: donation)?|\$\s*\d+(?:\.\d{2})?)(?:\s*(?:per|a)\s+\w+)?)', 1), '') AS cost FROM listings""", listing=True)
+@query("extract_detail_address__X08", """SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN '979 Nepean Highway|Moorabbin|3189' WHEN 1 THEN '2/5 Low Road|Mentone|3194' WHEN 2 THEN 'Bay Street|Chelsea|3196' WHEN 3 THEN '1 Old Lane|Carrum|3197' ELSE '' END AS address FROM supplier""")
+def detail_address(spark, sf):
+    said = ("Stitch, workshops during 2026\nHall\n979 Nepean Highway\nMoorabbin 3189", "Hall, 2/5 Low Road, Mentone, VIC 3194", "The Hall\nBay Street\nChelsea VIC\n3196", "Refugia 2026\nJane Doe, Contact 1300\nThe Rooms, 1 Old Lane,  Carrum 3197", "Kerri McConchie, Refugia 2026")
+    a = X.detail_address(F.array(*map(F.lit, said))[(F.col("s_suppkey") % 5).cast("int")])
+    return spark.read.parquet(f"{sf}/supplier.parquet").select("s_suppkey", F.concat_ws("|", a["street"], a["suburb"], a["postcode"]).alias("address"))
+
+
+@query("extract_joined_url__X18", """SELECT s_suppkey, CASE s_suppkey % 7 WHEN 0 THEN 'https://www.socialplanet.com.au/activity/' || s_suppkey WHEN 1 THEN 'https://www.chelseaheightscommunitycentre.com.au' WHEN 2 THEN 'https://x.au/comedy-at-the-shirley' WHEN 3 THEN 'https://www.chelt.com.au/' WHEN 4 THEN 'https://b.org/view?id=' || s_suppkey ELSE 'info' END AS url FROM supplier""")
+def joined_url(spark, sf):
+    k = F.col("s_suppkey").cast("string")
+    said = F.array(
+        F.concat(F.lit("book at www.socialplanet. com.au/activity/"), k, F.lit(" today")), F.lit("www.chelseaheights communitycentre .com.au"), F.lit("see https://x.au/comedy-at- the-shirley now"),
+        F.lit("www.chelt.com.au/ Join us soon"), F.concat(F.lit("https://b.org/view?id="), k, F.lit(" 1.00pm-2.00pm")), F.lit("http://a.b"), F.lit("no link"),
+    )
+    return spark.read.parquet(f"{sf}/supplier.parquet").select("s_suppkey", text.joined_url(said[(F.col("s_suppkey") % 7).cast("int")], F.lit("info")).alias("url"))
+
+
+@query("extract_second_site__S14", """WITH e AS (SELECT s_suppkey, s_suppkey % 3 AS k FROM supplier), d AS (SELECT s_suppkey, DATE '2026-10-05' + (7 * i)::INT AS day FROM e, range(0, 12) t(i) WHERE (k = 1 AND i = 0) OR (k = 2 AND 7 * i <= s_suppkey % 90))
+ SELECT s_suppkey, day, '09:30' AS at_time, 'Hall' AS location FROM d UNION ALL SELECT s_suppkey, NULL, NULL, 'own' FROM e WHERE k = 0""")
+def second_site(spark, sf):
+    k = F.col("s_suppkey")
+    rows = spark.read.parquet(f"{sf}/supplier.parquet").select("s_suppkey", F.concat(F.lit("u"), k.cast("string")).alias("link"), F.lit("own").alias("location"))
+    end = F.when(k % 3 == 1, F.lit("2026-10-04")).otherwise(F.date_add(F.lit("2026-10-05").cast("date"), (k % 90).cast("int")).cast("string"))
+    html = F.concat(F.lit('<script type="application/ld+json">{"@type":"Event","location":{"name":"Hall"},"startDate":"2026-10-05T09:30:00","endDate":"'), end, F.lit('T11:00:00"}</script>'))
+    return X.enrich_from_events(rows, rows.where(k % 3 != 0).select("link", html.alias("html")), "link", "html").select("s_suppkey", "day", F.col("at").alias("at_time"), "location")
+
+
+@query("extract_guide_cleanup__X20_S18", r"""SELECT row_ord, concat('see https://x.invalid/a-', 'b', CAST(row_ord AS VARCHAR)) AS url_text, coalesce(regexp_extract(price_text, '(?i)^\s*((?:free|gold coin(?: donation)?|\$\s*\d+(?:\.\d{2})?)(?:\s*(?:per|a)\s+\w+)?)', 1), '') AS cost FROM listings""", listing=True)
 def guide(spark, sf):
     return listings(spark, sf).select("row_ord", X.rejoin_urls(F.concat(F.lit("see https://x.invalid/a-\n b"), F.col("row_ord").cast("string"))).alias("url_text"), X.leading_price(F.col("price_text")).alias("cost"))
 

@@ -53,6 +53,18 @@ def dates_with_times(spark, sf):
     return G.pair_dates_with_times(pick("l_returnflag = 'N'", 5, "day"), pick("l_returnflag <> 'N'", 4, "at"), "k").withColumnRenamed("at", "at_n")
 
 
+@query("guide_pool_groups__X21", """WITH i AS (SELECT l_orderkey AS k, l_linenumber * 5 + l_partkey % 5 AS line, l_partkey AS v, l_linenumber % 3 AS kind FROM lineitem), d AS (SELECT k, line FROM i WHERE kind = 1 GROUP BY ALL), t AS (SELECT k, line, min(v) AS v FROM i WHERE kind = 2 GROUP BY ALL), c AS (SELECT k, line, min(v) AS v FROM i WHERE kind = 0 GROUP BY ALL),
+ z AS (SELECT k FROM (SELECT k, count(*) AS a FROM d GROUP BY 1) JOIN (SELECT k, count(*) AS b FROM t GROUP BY 1) USING (k) JOIN (SELECT k, count(*) AS e FROM c GROUP BY 1) USING (k) WHERE a = b AND b = e AND a > 1),
+ n AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY line) AS i FROM d WHERE k IN (FROM z)), m AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY line) AS i FROM t), o AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY line) AS i FROM c),
+ x AS (SELECT d.k, d.line, min({'g': abs(t.line - d.line), 'a': t.line > d.line, 'v': t.v}) AS w FROM d LEFT JOIN t ON t.k = d.k AND abs(t.line - d.line) <= 6 WHERE d.k NOT IN (FROM z) GROUP BY 1, 2),
+ y AS (SELECT d.k, d.line, min({'a': c.line > d.line, 'g': abs(c.line - d.line), 'v': c.v}) AS w FROM d LEFT JOIN c ON c.k = d.k AND c.line BETWEEN d.line - 30 AND d.line + 12 WHERE d.k NOT IN (FROM z) GROUP BY 1, 2)
+ SELECT n.k, n.line, m.v AS at_n, o.v::VARCHAR AS cost FROM n JOIN m USING (k, i) JOIN o USING (k, i) UNION ALL SELECT k, line, CASE WHEN x.w.g IS NOT NULL THEN x.w.v END, CASE WHEN y.w.g IS NOT NULL THEN y.w.v::VARCHAR ELSE '' END FROM x JOIN y USING (k, line)""")
+def pool_groups(spark, sf):
+    i = spark.read.parquet(f"{sf}/lineitem.parquet").select(F.col("l_orderkey").alias("k"), (F.col("l_linenumber") * 5 + F.col("l_partkey") % 5).alias("line"), F.col("l_partkey").alias("v"), (F.col("l_linenumber") % 3).alias("kind"))
+    of = lambda kind: i.where(F.col("kind") == kind).groupBy("k", "line").agg(F.min("v").alias("v"))
+    return G.pool_groups(of(1).select("k", "line"), of(2).withColumnRenamed("v", "at"), of(0).select("k", "line", F.col("v").cast("string").alias("cost")), "k").withColumnRenamed("at", "at_n")
+
+
 @query("guide_overrides__S19_J14", """, x AS (SELECT row_ord, CASE WHEN row_ord % 4 = 0 THEN NULL ELSE source_id END AS source_id, concat(CASE row_ord % 2 WHEN 0 THEN 'Super' ELSE '' END, name) AS name, location, address, description, source, ts_local FROM listings),
  y AS (SELECT *, trim(regexp_replace(lower(name), '\\s+', ' ', 'g')) AS low, contains(lower(concat_ws(' ', location, address)), 'supplier') AS here FROM x WHERE source_id = 'click'),
  m AS (SELECT row_ord, 1 AS o FROM y WHERE here AND (low = 'old anvil (mondays)' OR ends_with(low, 'old anvil (mondays)')) UNION ALL SELECT row_ord, 2 FROM y WHERE here AND low = 'bolt'),

@@ -116,15 +116,27 @@ def dateless(spark, sf):
     return rows.where("stamp = ''").join(dated, ["name_norm", "loc_norm"], "left_anti").select("row_ord")
 
 
-@query("join_archive_flags__J11_L08", _HALVES + """, a AS (SELECT series, min(status) AS status FROM (SELECT substring(sha1(concat_ws('|', source_id, name_norm, venue)), 1, 12) AS series, CASE row_ord % 3 WHEN 0 THEN 'live' WHEN 1 THEN 'unverified' ELSE 'finished' END AS status FROM lv) GROUP BY 1)
- SELECT row_ord, a.series IS NOT NULL AS archived, CASE WHEN a.series IS NOT NULL THEN a.status = 'live' END AS live_confirmed FROM st LEFT JOIN a ON a.series = substring(sha1(concat_ws('|', source_id, name_norm, venue)), 1, 12)""", listing=True)
+@query("join_archive_flags__J11_L08", """, a AS (SELECT source_id, name_norm, venue, source_id IN ('click', 'view') OR row_ord % 2 = 0 AS archived, CASE row_ord % 3 WHEN 0 THEN 'live' WHEN 1 THEN 'unverified' ELSE '' END AS status FROM l WHERE source_id <> 'purchase' AND stamp = ''),
+ h AS (SELECT source_id, bool_and(archived) AS hidden FROM a GROUP BY 1), t AS (SELECT substring(sha1(concat_ws('|', source_id, name_norm, venue)), 1, 12) AS series, max(status) AS status FROM a WHERE archived AND status <> '' GROUP BY 1),
+ r AS (SELECT row_ord, source_id, substring(sha1(concat_ws('|', source_id, name_norm, venue)), 1, 12) AS own, CASE WHEN row_ord % 4 = 0 THEN substring(sha1(concat_ws('|', source_id, name_norm, 'zz')), 1, 12) ELSE '' END AS stamped FROM l),
+ j AS (SELECT r.row_ord, coalesce(hidden, false) AS hidden, coalesce(x.status, y.status, '') = 'live' AS running FROM r LEFT JOIN h USING (source_id) LEFT JOIN t x ON x.series = stamped LEFT JOIN t y ON y.series = own) SELECT row_ord, hidden AND NOT running AS archived, hidden AND running AS live_confirmed FROM j""", listing=True)
 def archive_flags(spark, sf):
-    st, lv = halves(spark, sf)
-    series = text.series_id(F.col("source_id"), F.col("name_norm"), F.col("venue")).alias("series")
-    status = F.when(F.col("row_ord") % 3 == 0, "live").when(F.col("row_ord") % 3 == 1, "unverified").otherwise("finished")
-    archive = lv.select(series, status.alias("status")).groupBy("series").agg(F.min("status").alias("status"))
-    joined = st.withColumn("series", series).join(archive, "series", "left")
-    return joined.select("row_ord", F.col("status").isNotNull().alias("archived"), (F.col("status") == "live").alias("live_confirmed"))
+    rows, k = normalized(spark, sf), F.col("row_ord")
+    archive = rows.where("source_id <> 'purchase' AND stamp = ''").select("source_id", "name_norm", "venue", (F.col("source_id").isin("click", "view") | (k % 2 == 0)).alias("archived"), F.when(k % 3 == 0, "live").when(k % 3 == 1, "unverified").otherwise("").alias("status"))
+    stamped = F.when(k % 4 == 0, text.series_id(F.col("source_id"), F.col("name_norm"), F.lit("zz")))
+    return R.archive_flags(rows.withColumn("series_id", stamped), archive)
+
+
+@query("project_normalize_store__P04", """, x AS (SELECT row_ord, CASE WHEN row_ord % 3 = 0 THEN ' ' ELSE source_id END AS sid, stamp, price_sort, name_norm, venue, source, row_ord % 2 = 0 AS inferred FROM l)
+ SELECT row_ord, CASE WHEN trim(sid) = '' THEN 'unknown' ELSE sid END AS source_id, nullif(stamp, '') AS datetime_iso, price_sort, CASE WHEN inferred THEN substring(sha1(concat_ws('|', CASE WHEN trim(sid) = '' THEN 'unknown' ELSE sid END, name_norm, venue)), 1, 12) END AS series_id, CASE WHEN row_ord % 5 = 0 THEN 'a b' ELSE source END AS sources FROM x""", listing=True)
+def normalize_store(spark, sf):
+    k = F.col("row_ord")
+    rows = normalized(spark, sf).select(
+        "row_ord", "name", "location", "price_text", "source", F.when(k % 3 == 0, " ").otherwise(F.col("source_id")).alias("source_id"), F.concat(F.lit(" "), "stamp").alias("datetime_iso"), F.when(k % 2 == 0, F.col("price_sort")).alias("price_sort"),
+        (k % 2 == 0).alias("date_inferred"), F.lit(None).cast("string").alias("series_id"), F.when(k % 5 == 0, F.array(F.lit("a"), F.lit("b"), F.lit("a"))).alias("sources"), F.lit(1).alias("source_label"), F.lit(2).alias("has_real_date"),
+    )
+    out = R.normalize_store(rows)
+    return out.select("row_ord", "source_id", "datetime_iso", "price_sort", "series_id", F.array_join("sources", " ").alias("sources")) if "source_label" not in out.columns else rows
 
 
 @query("join_nearest__J12_X21_W09", """WITH a AS (SELECT l_suppkey AS k, l_orderkey * 10 + l_linenumber AS id, l_orderkey AS pos FROM lineitem WHERE l_returnflag = 'N'), b AS (SELECT l_suppkey AS k, l_orderkey * 10 + l_linenumber AS id, l_orderkey AS pos FROM lineitem WHERE l_returnflag <> 'N'),
