@@ -36,7 +36,7 @@ ROLL_BYTES = 1 << 30
 #: Payload bytes of a shard: the total over SHARDS, within these bounds. Every record counts HEAD bytes more.
 LEAST_SHARD, MOST_SHARD, SHARDS, HEAD = 4 << 20, 4 << 30, 256, 600
 #: Keys that the driver holds for the bounds, about, however many shards there are (16 for each shard at least).
-SAMPLE_KEYS = 50_000
+SAMPLE_KEYS = 20_000
 #: Bytes of an archive file that a reader holds beside the record at hand.
 CHUNK = 1 << 20
 #: The capture date of every record; pages carry none.
