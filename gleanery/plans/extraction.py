@@ -21,7 +21,7 @@ def title(spark, sf):
     return X.parse_pages(pages(spark, sf), "html").select("page_id", F.col("page.title").alias("title"))
 
 
-@query("extract_page_tree__X02_X03_X06_X09_X12_S09_S10_S12_S13_S15")
+@query("extract_page_tree__X02_X03_X06_X12")
 def tree(spark, sf):
     form = F.concat("html", F.lit('<form><input type="hidden" name="token" value="t1"><select><option value="1"><option value="2"></select></form><dl><dt>Cost:</dt><dd>Free</dd></dl>'))
     p = X.parse_pages(pages(spark, sf).withColumn("h", form), "h")
@@ -106,14 +106,14 @@ def calendar(spark, sf):
     return out.select(F.regexp_extract("Name", r"(\d+)", 1).cast("long").alias("o_orderkey"), F.col("Name").alias("name"), "venue", "complete")
 
 
-@query("extract_labelled_signals__X11_X13_X16", r"""SELECT row_ord, trim(regexp_extract(concat('When: ', description, ' Cost: ', price_text), '(?is)\bcost\s*:\s*(.*?)(?:\b(?:when)\s*:|$)', 1)) AS cost_field, regexp_extract(lower(description), '\b((?:mon|tues|wednes|thurs|fri|satur|sun)day)s?\b', 1) AS weekday,
+@query("extract_labelled_signals__X11_X13", r"""SELECT row_ord, trim(regexp_extract(concat('When: ', description, ' Cost: ', price_text), '(?is)\bcost\s*:\s*(.*?)(?:\b(?:when)\s*:|$)', 1)) AS cost_field, regexp_extract(lower(description), '\b((?:mon|tues|wednes|thurs|fri|satur|sun)day)s?\b', 1) AS weekday,
  array_to_string(regexp_extract_all(lower(description), '\b(\d{1,2}(?:[:.]\d{2})?\s*[ap]m)\b', 1)[1:3], '|') AS times FROM listings""", listing=True)
 def labelled(spark, sf):
     s = X.signals(F.col("description"))
     return listings(spark, sf).select("row_ord", X.labelled(F.concat(F.lit("When: "), "description", F.lit(" Cost: "), "price_text"), "cost", ("when", "cost")).alias("cost_field"), s["weekday"].alias("weekday"), s["times"].alias("times"))
 
 
-@query("extract_split_address__X08_X15_X19", r"""SELECT row_ord, CASE row_ord % 3 WHEN 0 THEN '1 High Street' WHEN 1 THEN 'Hall, 2 Low Road' END AS street, CASE WHEN row_ord % 3 < 2 THEN 'Mentone' END AS suburb FROM listings""", listing=True)
+@query("extract_split_address__X15", r"""SELECT row_ord, CASE row_ord % 3 WHEN 0 THEN '1 High Street' WHEN 1 THEN 'Hall, 2 Low Road' END AS street, CASE WHEN row_ord % 3 < 2 THEN 'Mentone' END AS suburb FROM listings""", listing=True)
 def split_address(spark, sf):
     text = F.when(F.col("row_ord") % 3 == 0, "Where\n1 High Street, Mentone (rear) VIC 3194").when(F.col("row_ord") % 3 == 1, "Hall, 2 Low Road, Mentone 3194").otherwise("no place")
     a = X.split_address(text)

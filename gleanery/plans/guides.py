@@ -80,7 +80,7 @@ def overrides(spark, sf):
     return G.apply_overrides(rows, o, "click").groupBy("source_id", "name", "location", "description", "ts_local").agg(F.count("*").alias("n"))
 
 
-@query("guide_listing_walk__S09_S10_S12_S13_S15_D06_K03", """WITH c AS (SELECT (o_orderkey % 40)::INT AS page, o_orderkey AS pos, CASE WHEN o_orderkey % 40 = 25 THEN 'x1' ELSE concat('x', CAST(o_custkey % 97 AS VARCHAR)) END AS link FROM orders),
+@query("guide_listing_walk__S09_S10_D06_K03", """WITH c AS (SELECT (o_orderkey % 40)::INT AS page, o_orderkey AS pos, CASE WHEN o_orderkey % 40 = 25 THEN 'x1' ELSE concat('x', CAST(o_custkey % 97 AS VARCHAR)) END AS link FROM orders),
  f AS (SELECT link, min({'page': page, 'pos': pos}) AS f FROM c GROUP BY 1), g AS (SELECT DISTINCT page FROM c WHERE page NOT IN (SELECT f.page FROM f)), s AS (SELECT min(page) AS stop FROM g)
  SELECT link, f.page AS page, f.pos AS pos FROM f, s WHERE stop IS NULL OR f.page < stop""")
 def listing_walk(spark, sf):
@@ -89,7 +89,15 @@ def listing_walk(spark, sf):
     return G.walk_listing(o.select((F.col("o_orderkey") % 40).cast("int").alias("page"), F.col("o_orderkey").alias("pos"), link.alias("link"))).select("link", "page", "pos")
 
 
-@query("guide_enrich_details__A11_S11", """WITH r AS (SELECT s_suppkey, concat('x', CAST(s_suppkey AS VARCHAR)) AS link FROM supplier), a AS (SELECT link, s_suppkey FROM r ORDER BY s_suppkey LIMIT 8), d AS (SELECT link FROM a WHERE s_suppkey % 3 <> 0)
+@query("guide_bounded_cards__S12_S13", """SELECT o_orderkey AS pos, (o_orderkey % 40)::INT AS page, CASE o_orderkey % 3 WHEN 0 THEN DATE '2026-10-06' WHEN 1 THEN DATE '2027-01-02' END AS day FROM orders WHERE o_orderkey % 40 <= 25""")
+def bounded(spark, sf):
+    k = F.col("o_orderkey")
+    cards = spark.read.parquet(f"{sf}/orders.parquet").select(k.alias("pos"), (k % 40).cast("int").alias("page"), F.concat(F.lit("x"), k.cast("string")).alias("link"), F.when(k % 3 == 0, "Tue 6 Oct, 10am").when(k % 3 == 1, "Saturday 2 January 2027").otherwise("soon").alias("when"))
+    pagers = cards.select("page", F.when(F.col("page") < 20, F.col("page") + 6).alias("last"))
+    return G.bounded_cards(cards, pagers, "2026-09-30").select("pos", "page", "day")
+
+
+@query("guide_enrich_details__A11", """WITH r AS (SELECT s_suppkey, concat('x', CAST(s_suppkey AS VARCHAR)) AS link FROM supplier), a AS (SELECT link, s_suppkey FROM r ORDER BY s_suppkey LIMIT 8), d AS (SELECT link FROM a WHERE s_suppkey % 3 <> 0)
  SELECT r.link, CASE WHEN r.link IN (SELECT link FROM d) THEN 'detail' ELSE '' END AS description, (SELECT 2 * (SELECT count(*) FROM d) >= (SELECT count(*) FROM a)) AS passed FROM r""")
 def enrich(spark, sf):
     s = spark.read.parquet(f"{sf}/supplier.parquet").select("s_suppkey", F.concat(F.lit("x"), F.col("s_suppkey").cast("string")).alias("link"))

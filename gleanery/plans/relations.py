@@ -256,10 +256,13 @@ def duplicates(spark, sf):
     return summed("slot", count("slot_hash")).unionByName(summed("listing", listing)).unionByName(summed("programme", count("name_norm", "venue", "stamp")))
 
 
-@query("agg_key_presence__A05_Q18", "SELECT k AS key, v::BIGINT AS n FROM (SELECT count(nullif(name, '')) AS name, count(nullif(location, '')) AS location, count(ts_local) AS ts_local, count(price_sort) AS price_sort FROM l) UNPIVOT (v FOR k IN (name, location, ts_local, price_sort))", listing=True)
+_AUDITED = ("name", "location", "address", "source", "source_id", "price_text", "description", "datetime_text")
+
+
+@query("agg_key_presence__A05_Q18", "SELECT k AS key, v::BIGINT AS n FROM (SELECT " + ", ".join(f"count(nullif({c}, '')) AS {c}" for c in _AUDITED) + ", count(ts_local) AS ts_local, count(price_sort) AS price_sort FROM l) UNPIVOT (v FOR k IN (" + ", ".join(_AUDITED) + ", ts_local, price_sort))", listing=True)
 def presence(spark, sf):
-    one = normalized(spark, sf).agg(*[F.count(F.nullif(F.col(c), F.lit(""))).alias(c) for c in ("name", "location")], F.count("ts_local").alias("ts_local"), F.count("price_sort").alias("price_sort"))
-    return one.unpivot([], ["name", "location", "ts_local", "price_sort"], "key", "n")
+    one = normalized(spark, sf).agg(*[F.count(F.nullif(F.col(c), F.lit(""))).alias(c) for c in _AUDITED], F.count("ts_local").alias("ts_local"), F.count("price_sort").alias("price_sort"))
+    return one.unpivot([], one.columns, "key", "n")
 
 
 @query("agg_series_spread__A06", ", s AS (SELECT substring(sha1(concat_ws('|', source_id, name_norm, venue)), 1, 12) AS series, count(*) AS size, count(DISTINCT description) AS labels FROM l GROUP BY 1) SELECT size, count(*) AS series_n, count(*) FILTER (WHERE labels > 1) AS disagree FROM s GROUP BY 1", listing=True)

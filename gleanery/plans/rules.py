@@ -196,6 +196,14 @@ def facets(spark, sf):
     return typed(spark, sf).select(F.explode("types").alias("type_name"), "source_id").groupBy("type_name").agg(F.count("*").alias("n"), F.countDistinct("source_id").alias("sources"))
 
 
+@query("agg_type_share__A08", _TYPES_SQL + """, x AS (SELECT unnest(types) AS t FROM tt), z AS (SELECT count(*) AS n, sum(len(types)) AS tags FROM tt) SELECT t AS type_name, count(*) AS n_rows, round(100.0 * count(*) / any_value(z.n), 4)::DOUBLE AS percent, round(any_value(z.tags)::DOUBLE / any_value(z.n), 4)::DOUBLE AS tags_per_row FROM x, z GROUP BY t""", listing=True)
+def type_share(spark, sf):
+    rows = typed(spark, sf).select("types")
+    total = rows.agg(F.count("*").alias("n"), F.sum(F.size("types")).alias("tags"))  # one row
+    each = rows.select(F.explode("types").alias("type_name")).groupBy("type_name").agg(F.count("*").alias("n_rows"))
+    return each.crossJoin(F.broadcast(total)).select("type_name", "n_rows", F.round(100.0 * F.col("n_rows") / F.col("n"), 4).alias("percent"), F.round(F.col("tags") / F.col("n"), 4).alias("tags_per_row"))
+
+
 @query("present_search__V01_V02_V03_V05", _TYPES_SQL.rstrip() + _SUBURB_SQL + "SELECT l.row_ord FROM l JOIN tt USING (row_ord) JOIN s USING (row_ord) WHERE contains(lower(concat_ws(' ', name, description, location)), 'lunch') AND list_has_any(types, ['Food & Drink', 'Dance']) AND suburb IN ('Chelsea', 'Mentone', '') AND (price_sort = 0 OR price_sort IS NULL)", listing=True)
 def search(spark, sf):
     rows = typed(spark, sf).withColumn("suburb", text.extract_suburb(F.col("address"), SUBURBS))
