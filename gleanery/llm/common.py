@@ -81,10 +81,34 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Bits of the filter that keeps rows which surely lack a key from being shuffled: 16 for each key, within these bounds (16 MB).
+LEAST_BITS, MOST_BITS = 1 << 15, 1 << 27
+
+
+def may_have(rows: DataFrame, key: str, ids: DataFrame, id_key: str, n_ids: int, flag: str = "__may") -> DataFrame:
+    """rows with a boolean `flag`: false only where the key is surely not among ids.
+
+    Bits at the hashes of the ids are broadcast, MOST_BITS of them at most, however many ids there are; the more there are beyond that, the more rows pass.
+    """
+    bits = min(max(LEAST_BITS, 1 << (16 * n_ids).bit_length()), MOST_BITS)
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits)) + 1
+    at = ids.select(place(id_key).alias("p"))
+    maps = at.groupBy(F.bitmap_bucket_number("p").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("__bits"))  # 4 kB for each 2 ** 15 bits
+    p = F.bitmap_bit_position(place(key))
+    octet = F.conv(F.hex(F.substring("__bits", (p / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    near = rows.withColumn("__bucket", F.bitmap_bucket_number(place(key))).join(F.broadcast(maps), "__bucket", "left")
+    return near.withColumn(flag, F.coalesce(F.getbit(octet.cast("long"), F.pmod(p, F.lit(8)).cast("int")) == 1, F.lit(False))).drop("__bucket", "__bits")
+
+
 def semi_by_key(rows: DataFrame, ids: DataFrame, key: str, n_ids: int, how: str = "left_semi") -> DataFrame:
-    """rows whose key is (left_semi) or is not (left_anti) among ids; ids is broadcast only if its counted size is small."""
+    """rows whose key is (left_semi) or is not (left_anti) among ids. Ids are broadcast only if their counted size is small; beyond that, rows that surely aren't
+    among them are told apart by a filter, and only the others are shuffled."""
     ids = ids.select(key)
-    return rows.join(F.broadcast(ids) if n_ids <= BROADCAST_IDS else ids, key, how)
+    if n_ids <= BROADCAST_IDS:
+        return rows.join(F.broadcast(ids), key, how)
+    marked = may_have(rows, key, ids, key, n_ids)
+    near = marked.where("__may").drop("__may").join(ids, key, how)
+    return near if how == "left_semi" else near.select(*[F.col(f"`{c}`") for c in rows.columns]).union(marked.where("not __may").drop("__may").select(*[F.col(f"`{c}`") for c in rows.columns]))
 
 
 def text_or_empty(col: str) -> Column:

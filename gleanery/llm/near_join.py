@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, buffer_of, fresh, groups_for, keyed, materialize, semi_by_key, slices, text_or_empty
+from .common import BROADCAST_IDS, buffer_of, fresh, groups_for, keyed, materialize, may_have, semi_by_key, slices, text_or_empty
 from .components import components
 from .wordhash import U, mix, shingles, words
 
@@ -283,7 +283,10 @@ def verify(members: DataFrame, docs: DataFrame, key: str, text_col: str, num: in
     parts = F.greatest(wished, F.ceil(F.col("texts") / PART_TEXTS), F.ceil(F.col("shingles") / PART_SHINGLES)).cast("int")
     placed = members.join(sizes.select("block", parts.alias("parts")), "block").withColumn("own", F.pmod(F.xxhash64("key"), F.col("parts").cast("long")).cast("int"))
     text = docs.select(F.col(key).alias("key"), text_or_empty(text_col).alias("text"))
-    full = text.join(F.broadcast(placed.drop("n")) if n_members <= BROADCAST_IDS // 4 else placed.drop("n"), "key")
+    if n_members <= BROADCAST_IDS // 4:
+        full = text.join(F.broadcast(placed.drop("n")), "key")
+    else:  # texts of no block are told apart by a filter and not shuffled
+        full = may_have(text, "key", members, "key", n_members).where("__may").drop("__may").join(placed.drop("n"), "key")
     dealt = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "block", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "key", "copies", "own", "parts", "text"
     )

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .common import buffer_of, fresh, keyed, materialize, partitions, size_of, slices, text_or_empty
+from .common import buffer_of, fresh, keyed, materialize, may_have, partitions, size_of, slices, text_or_empty
 from .wordhash import BASE_B, U, per_row, range_hash, words
 
 SENTENCES, WORDS, LONG = 3, 20, 10
@@ -36,8 +36,6 @@ _SPACE[[32, *range(9, 14)]] = True
 _ENTRY = np.dtype([("hash", "<u8"), ("more", "<u4"), ("key", "<i8"), ("start", "<u4"), ("size", "<u4")])
 #: Bytes of text whose runs one owner gets, about, and owners at most.
 _OWNED, _MOST_OWNERS = 32 << 20, 1 << 16
-#: Bits of the filter that keeps documents without repeats from being shuffled: 16 for each with some, within these bounds (16 MB).
-_LEAST_BITS, _MOST_BITS = 1 << 15, 1 << 27
 #: Runs that a task holds before it sends them on.
 _HELD = 2_000_000
 
@@ -189,19 +187,8 @@ def repeated_spans(docs: DataFrame, key: str, text_col: str, least_words: int =
 
 
 def with_spans(docs: DataFrame, key: str, spans: DataFrame) -> DataFrame:
-    """docs with starts and ends of their spans (null without any). Documents that surely have none aren't shuffled.
-
-    A filter of at most _MOST_BITS bits, set at the hashes of the keys that have spans, is broadcast; what passes it meets the spans by a join.
-    """
-    n = spans.count()
-    bits = min(max(_LEAST_BITS, 1 << (16 * n).bit_length()), _MOST_BITS)
-    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits)) + 1
-    at = spans.select(place("key").alias("p"))
-    maps = at.groupBy(F.bitmap_bucket_number("p").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("__bits"))  # 4 kB for each 2 ** 15 bits
-    p = F.bitmap_bit_position(place(key))
-    octet = F.conv(F.hex(F.substring("__bits", (p / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    near = docs.withColumn("__bucket", F.bitmap_bucket_number(place(key))).join(F.broadcast(maps), "__bucket", "left")
-    marked = near.withColumn("__may", F.coalesce(F.getbit(octet.cast("long"), F.pmod(p, F.lit(8)).cast("int")) == 1, F.lit(False))).drop("__bucket", "__bits")
+    """docs with starts and ends of their spans (null without any). Documents that surely have none, by a filter of bounded size, aren't shuffled."""
+    marked = may_have(docs, key, spans, "key", spans.count())
     own = spans.select(F.col("key").alias("__span_key"), F.col("starts").alias("__starts"), F.col("ends").alias("__ends"))
     joined = marked.where("__may").drop("__may").join(own, F.col(key) == F.col("__span_key"), "left").drop("__span_key")
     none = F.lit(None).cast("array<long>")

@@ -5,7 +5,7 @@ import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
-from gleanery.llm import near_join
+from gleanery.llm import common, near_join
 from gleanery.llm.components import components
 
 from .conftest import WORDS
@@ -142,6 +142,21 @@ def test_against_brute_force(spark, monkeypatch):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root))
 
 
+def test_beyond_the_broadcast(spark, monkeypatch):
+    texts = corpus()
+    root, links = brute(texts)
+    monkeypatch.setattr(near_join, "BROADCAST_IDS", 4)
+    monkeypatch.setattr(common, "BROADCAST_IDS", 4)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in near_join.join_near(docs, "doc_id", "text").collect()}
+    assert [got[i].class_id for i in range(len(texts))] == root and [got[i].n_links for i in range(len(texts))] == links
+    kept = near_join.keep_one(docs.withColumn("a.b", F.lit(1)), "doc_id", "text")
+    assert kept.columns == ["doc_id", "text", "a.b"] and sorted(r.doc_id for r in kept.collect()) == sorted(set(root))
+    ids = spark.range(0, 400, 3).withColumnRenamed("id", "doc_id")
+    inside = sorted(r.doc_id for r in common.semi_by_key(docs, ids, "doc_id", 134).collect())
+    assert inside == [i for i in range(0, len(texts), 3)]
+
+
 def test_null_and_repeated_ids(spark):
     texts = corpus()[:80]
     _, links = brute(texts)

@@ -4,7 +4,7 @@ import re
 import numpy as np
 
 from gleanery.llm import sentence_spans as S
-from gleanery.llm import wordhash
+from gleanery.llm import common, wordhash
 
 from .conftest import WORDS
 
@@ -174,8 +174,8 @@ def test_second_hash_tells_runs_apart(spark):
 
 
 def test_filter_keeps_all_that_have_spans(spark, monkeypatch):
-    monkeypatch.setattr(S, "_LEAST_BITS", 1 << 6)
-    monkeypatch.setattr(S, "_MOST_BITS", 1 << 8)  # nearly full: all but few pass
+    monkeypatch.setattr(common, "LEAST_BITS", 1 << 6)
+    monkeypatch.setattr(common, "MOST_BITS", 1 << 8)  # nearly full: all but few pass
     docs = spark.createDataFrame([(i * 37 - 500, f"t{i}", i) for i in range(900)], "k long, t string, __bits int").drop("__bits")
     for step in (3, 50):
         spans = spark.createDataFrame([(i * 37 - 500, [0], [1]) for i in range(0, 900, step)], "key long, starts array<long>, ends array<long>")
