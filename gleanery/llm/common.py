@@ -167,6 +167,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, chars: int = SLICE_CH
             end = min(n, max(end, start + 1))
             yield batch.slice(start, end - start)
             start = end
+        pa.default_memory_pool().release_unused()  # else a worker keeps the largest batch's memory for the tasks to come
 
 
 def buffer_of(array: pa.Array) -> tuple[bytes, "np.ndarray"]:  # noqa: F821

@@ -37,7 +37,7 @@ _ENTRY = np.dtype([("hash", "<u8"), ("more", "<u4"), ("key", "<i8"), ("start", "
 #: Bytes of text whose runs one owner gets, about, and owners at most.
 _OWNED, _MOST_OWNERS = 32 << 20, 1 << 16
 #: Runs that a task holds before it sends them on.
-_HELD = 2_000_000
+_HELD = 750_000
 
 
 def sentences(raw: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -14,7 +14,7 @@ BASE_A, BASE_B = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
 #: Values that are summed at one time; the tables of powers are as long, whatever the length of a text.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
