@@ -18,7 +18,7 @@ def pages(spark, sf):
 
 @query("extract_title__X07", "SELECT page_id, replace(replace(replace(trim(regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '\\s+', ' ', 'g')), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS title FROM pages")
 def title(spark, sf):
-    return X.parse_pages(pages(spark, sf), "html").select("page_id", F.col("page.title").alias("title"))
+    return pages(spark, sf).select("page_id", X.plain_title(F.col("html")).alias("title"))
 
 
 @query("extract_page_tree__X02_X03_X06_X12")

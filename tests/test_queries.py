@@ -32,6 +32,19 @@ def test_against_sql(spark, sf, duck, name):
     assert rows == sorted(str([norm(v) for v in r]) for r in duck.sql(f"SELECT {','.join(cols)} FROM ({registry.ORACLES[name]})").fetchall())
 
 
+def test_odd_titles_against_sql(spark, tmp_path):
+    """Titles whose references are cut off, rare or nested, odd blanks, and pages without a plain title element."""
+    name = "extract_title__X07"
+    titles = ["des&amp", "a &quot;b&quot; &#39;c&#x27; &nbsp;&eacute;", "&amp;lt; &amp;amp; &lt;b&gt; &ltb &AMP;", " \n a\t\r\n\fb \v c ", "\xa0\u3000a\xa0\xa0b\u2003", "\x85a\u2028", "", "  "]
+    pages = [f"<html><head><title>{t}</title></head><body><svg><title>drawn</title></svg></body>" for t in titles]
+    pages += ["<TITLE>a</TITLE>", '<title lang="en">a</title>', "<title>a<b>c</b></title><title>d</title>", "<title>never closed", "<!-- <title>a</title> --><title>b</title>", "no title", "", None]
+    spark.createDataFrame(list(enumerate(pages)), "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    got = registry.QUERIES[name](spark, str(tmp_path))
+    assert dict(map(tuple, got.select("page_id", "title").collect())) == dict(con.sql(registry.ORACLES[name]).fetchall())
+
+
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLES)))
 def test_runs(spark, sf, name):
     assert registry.QUERIES[name](spark, sf).limit(5).count() > 0
